@@ -648,7 +648,7 @@ def rerun_idempotent(spark, folder):
     store = _batch_store(spark, folder)
     path = run_summary(store, VIEW_RULES).first()["input_path"]
     again = run_export(spark, path, VIEW_RULES, store.root, incremental=True)
-    loads = store.loads().groupBy("run_id").agg(F.count("*").alias("loads"))
+    loads = store.read("loads").groupBy("run_id").agg(F.count("*").alias("loads"))
     events = store.read("runs").groupBy("run_id").agg(F.count("*").alias("run_events"))
     joined = again.join(loads, "run_id").join(events, "run_id")
     return joined.select(*_SUMMARY, "loads", "run_events")

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from deskwright import fixed
-from deskwright.plans.load import describe_run, finish_run, process_unit, run_summary, stage
+from deskwright.plans.load import describe_run, finish_run, process_unit, stage, stored_summary
 from deskwright.plans.reports import write_reports
 from deskwright.plans.store import TicketStore
 from deskwright.rules import QualityRules
@@ -46,9 +46,9 @@ def run_export(
     found = input_fingerprint(spark, path, fmt).first()
     run = describe_run(rules, path, found["fingerprint"], fmt, dry_run, incremental)
     run_id = run["run_id"]
-    summary = run_summary(store, rules).where(F.col("run_id") == run_id)
     status = store.run_status(run_id)
     if status == fixed.COMPLETED:
+        summary = stored_summary(store, rules, run_id)
         write_reports(store, summary, run_id, only_missing=True)
         return summary
 
@@ -56,6 +56,7 @@ def run_export(
         store.log_run(run, fixed.PENDING)
     store.record_lineage(
         run_id,
+        check=status is not None,
         source_system=rules.source_system,
         original_path=path,
         input_size_bytes=found["input_size_bytes"],
@@ -75,28 +76,32 @@ def run_export(
         )
         raise
     store.log_run(run, fixed.COMPLETED, duration_seconds=time.monotonic() - started)
-    summary = run_summary(store, rules).where(F.col("run_id") == run_id)
+    summary = stored_summary(store, rules, run_id)
     write_reports(store, summary, run_id)
     return summary
 
 
 def _process(spark, path, rules, store, run, fmt, multi_line, commit_rows, on_commit) -> None:
     envelope = read_tickets(spark, path, fmt, multi_line)
-    done = store.last_commit(run["run_id"])
+    done = store.commits_of(run["run_id"])
     if commit_rows is None:
-        if done["batch_id"] < 0:
+        if not done:
             staged = stage(store, run, spread(envelope), rules, WHOLE_INPUT)
-            process_unit(store, run, staged, envelope, rules, WHOLE_INPUT, remember_keys=False)
+            process_unit(
+                store, run, staged, envelope, rules, WHOLE_INPUT, row_offset=0, remember_keys=False
+            )
             if on_commit:
                 on_commit(1)
         return
-    offset, commits = done["row_offset"], 0
+    offset = done[-1]["row_offset"] if done else 0
+    first = done[-1]["batch_id"] + 1 if done else 0
+    commits = 0
     total = envelope.agg(F.coalesce(F.max("row_number"), F.lit(0)).alias("n")).first()["n"]
     while offset < total:
         unit = skip_rows(envelope, offset).where(F.col("row_number") <= offset + commit_rows)
-        batch_id = done["batch_id"] + 1 + commits
+        batch_id = first + commits
         staged = stage(store, run, unit, rules, batch_id)
-        process_unit(store, run, staged, unit, rules, batch_id, remember_keys=True)
+        process_unit(store, run, staged, unit, rules, batch_id, offset, remember_keys=True)
         offset, commits = offset + commit_rows, commits + 1
         if on_commit:
             on_commit(commits)

@@ -66,13 +66,13 @@ def process_unit(
     envelope: DataFrame,
     rules: QualityRules,
     batch_id: int,
+    row_offset: int,
     remember_keys: bool,
-    batch_index: int | None = None,
 ) -> None:
     """Flag repeats, quarantine the rejected rows and commit one unit.
 
-    ``remember_keys`` keeps the first row of every key, for runs of several units: a key of an
-    earlier unit makes every later row with it a repeat.
+    ``row_offset`` counts the rows of earlier units. ``remember_keys`` keeps the first row of every
+    key, for runs of several units: a key of an earlier unit makes every later row with it a repeat.
     """
     run_id = run["run_id"]
     claims = F.col("ticket_ok")
@@ -114,32 +114,23 @@ def process_unit(
             run_id,
             batch_id,
         )
-    previous = store.last_commit(run_id)
-    offset = F.lit(previous["row_offset"]) + F.col("total_records")
-    index = F.ceil(offset / rules.batch_size) if batch_index is None else F.lit(batch_index)
+    offset = F.lit(row_offset) + F.col("total_records")
     commit = measure(judged).select(
         offset.alias("row_offset"),
-        index.cast("long").alias("batch_index"),
+        F.ceil(offset / rules.batch_size).cast("long").alias("batch_index"),
         F.current_timestamp().alias("committed_at"),
         "*",
     )
     store.write_unit(commit.coalesce(1), "commits", run_id, batch_id)
 
 
-def accepted_tickets(store: TicketStore, run: dict, after_batch: int = -1) -> DataFrame:
-    """Accepted rows of the committed units, read from the stage and the list of repeats."""
+def accepted_tickets(store: TicketStore, run: dict, batches: list[int]) -> DataFrame:
+    """Accepted rows of committed units, read from the stage and the list of repeats."""
     run_id = run["run_id"]
-    done = [
-        row["batch_id"]
-        for row in store.read("commits", run_id)
-        .where((F.col("batch_id") > after_batch) & (F.col("total_records") > 0))
-        .select("batch_id")
-        .collect()
-    ]
-    if not done:
+    if not batches:
         return store.spark.createDataFrame([], TICKET_SCHEMA)
-    staged = store.spark.read.parquet(*[store.path("stage", run_id, n) for n in done])
-    repeats = store.spark.read.parquet(*[store.path("repeats", run_id, n) for n in done])
+    staged = store.spark.read.parquet(*[store.path("stage", run_id, n) for n in batches])
+    repeats = store.spark.read.parquet(*[store.path("repeats", run_id, n) for n in batches])
     accepted = staged.where("ticket_ok AND NOT invalid AND NOT inconsistent").join(
         repeats, "row_number", "left_anti"
     )
@@ -160,19 +151,16 @@ def load_tickets(store: TicketStore, run: dict) -> None:
     ``loads`` makes the result visible, and repeating the step after a crash does nothing twice.
     """
     run_id = run["run_id"]
-    merged = (
-        store.loads()
-        .where(F.col("run_id") == run_id)
-        .agg(F.coalesce(F.max("through_batch"), F.lit(-1)).alias("batch"))
-        .first()["batch"]
-    )
-    through = store.last_commit(run_id)["batch_id"]
-    if through <= merged:
+    loads, commits = store.loads(), store.commits_of(run_id)
+    merged = max((x["through_batch"] for x in loads if x["run_id"] == run_id), default=-1)
+    fresh = [c for c in commits if c["batch_id"] > merged]
+    if not fresh:
         return
-    number = store.last_load()["load_number"] + 1
+    number = loads[-1]["load_number"] + 1 if loads else 1
     folder = f"tickets/load={number}-{run_id}"
-    target, incoming = store.tickets(), accepted_tickets(store, run, after_batch=merged)
     path = f"{store.root}/{folder}"
+    target = store.tickets(loads)
+    incoming = accepted_tickets(store, run, [c["batch_id"] for c in fresh if c["total_records"]])
     if run["incremental"]:
         merge_actions(target, incoming).write.mode("overwrite").parquet(path)
         counts = load_counts(store.spark.read.parquet(path)).first()
@@ -180,14 +168,12 @@ def load_tickets(store: TicketStore, run: dict) -> None:
     else:
         insert_if_absent(target, incoming, TICKET_KEY).write.mode("overwrite").parquet(path)
         loaded = store.spark.read.parquet(path).count()
-        parts = store.read("commits", run_id).where(F.col("batch_id") > merged)
-        accepted = parts.agg(F.sum("accepted_records").alias("n")).first()["n"]
-        unchanged = accepted - loaded
+        unchanged = sum(c["accepted_records"] for c in fresh) - loaded
     store.append(
         "loads",
         load_number=number,
         run_id=run_id,
-        through_batch=through,
+        through_batch=fresh[-1]["batch_id"],
         folder=folder,
         replaces=run["incremental"],
         loaded_records=loaded,
@@ -207,15 +193,29 @@ def finish_run(store: TicketStore, run: dict, rules: QualityRules) -> None:
     ).parquet(store.path("quality_metrics", run["run_id"]))
 
 
-def run_summary(store: TicketStore, rules: QualityRules, threshold: float | None = None):
-    """One row per run: identity, counters, scores and gate."""
-    commits = store.read("commits")
+def stored_summary(store: TicketStore, rules: QualityRules, run_id: str) -> DataFrame:
+    """The one-row summary of a run, detached from the tables it was computed from."""
+    summary = run_summary(store, rules, run_id)
+    return store.spark.createDataFrame(summary.collect(), summary.schema)
+
+
+def run_summary(
+    store: TicketStore,
+    rules: QualityRules,
+    run_id: str | None = None,
+    threshold: float | None = None,
+) -> DataFrame:
+    """Identity, counters, scores and gate of one run, or of every run.
+
+    ``threshold`` judges stored scores by another threshold than the rules'.
+    """
+    commits = store.read("commits", run_id)
     progress = commits.groupBy("run_id").agg(
         F.max("row_offset").alias("resumed_from_offset"),
         F.max("batch_index").alias("batches_committed"),
     )
     loads = (
-        store.loads()
+        store.read("loads", run_id)
         .groupBy("run_id")
         .agg(
             F.sum("loaded_records").alias("loaded_records"),
@@ -224,7 +224,7 @@ def run_summary(store: TicketStore, rules: QualityRules, threshold: float | None
     )
     zero = ["loaded_records", "unchanged_records", "resumed_from_offset", "batches_committed"]
     joined = (
-        store.run_states()
+        store.run_states(run_id)
         .join(add_measures(commits, "run_id"), "run_id", "left")
         .join(progress, "run_id", "left")
         .join(loads, "run_id", "left")

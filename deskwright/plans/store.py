@@ -108,10 +108,10 @@ class TicketStore:
             **values,
         )
 
-    def run_states(self) -> DataFrame:
+    def run_states(self, run_id: str | None = None) -> DataFrame:
         """Latest event of every run, with its start, end and summed attempt time."""
         order = F.struct("event_at", F.col("status").isin(fixed.COMPLETED, fixed.FAILED))
-        events = self.read("runs")
+        events = self.read("runs", run_id)
         values = [c for c in events.columns if c not in ("run_id", "duration_seconds", "event_at")]
         return (
             events.groupBy("run_id")
@@ -127,32 +127,21 @@ class TicketStore:
         )
 
     def run_status(self, run_id: str) -> str | None:
-        row = self.run_states().where(F.col("run_id") == run_id).select("status").first()
-        return None if row is None else row["status"]
+        """Status of the latest of a run's few events."""
+        events = self.read("runs", run_id).select("event_at", "status").collect()
+        return max(events)["status"] if events else None
 
-    def create_run(self, run: dict) -> None:
-        """Insert the run unless its key is known."""
-        if self.run_status(run["run_id"]) is None:
-            self.log_run(run, fixed.PENDING)
-
-    def record_lineage(self, run_id: str, **values) -> None:
-        known = self.read("lineage").where(F.col("run_id") == run_id)
-        if known.isEmpty():
+    def record_lineage(self, run_id: str, check: bool = True, **values) -> None:
+        """Insert the lineage of a run unless it is there; a new run needs no check."""
+        if not check or self.read("lineage", run_id).isEmpty():
             self.append("lineage", run_id=run_id, recorded_at=F.current_timestamp(), **values)
 
     # Units of work
 
-    def last_commit(self, run_id: str) -> Row:
-        """Last committed batch id (or -1), row offset and batch index of a run."""
-        return (
-            self.read("commits", run_id)
-            .agg(
-                F.coalesce(F.max("batch_id"), F.lit(-1)).alias("batch_id"),
-                F.coalesce(F.max("row_offset"), F.lit(0)).alias("row_offset"),
-                F.coalesce(F.max("batch_index"), F.lit(0)).alias("batch_index"),
-            )
-            .first()
-        )
+    def commits_of(self, run_id: str) -> list[Row]:
+        """The commit rows of a run in order, one per unit of work."""
+        columns = ["batch_id", "row_offset", "batch_index", "total_records", "accepted_records"]
+        return sorted(self.read("commits", run_id).select(*columns).collect())
 
     def committed(self, table: str, run_id: str | None = None) -> DataFrame:
         """The rows of a table that belong to committed units."""
@@ -166,23 +155,16 @@ class TicketStore:
 
     # Tickets
 
-    def loads(self) -> DataFrame:
-        return self.read("loads")
-
-    def last_load(self) -> Row:
-        return self.loads().agg(
-            F.coalesce(F.max("load_number"), F.lit(0)).alias("load_number"),
-            F.coalesce(F.max(F.when(F.col("replaces"), F.col("load_number"))), F.lit(0)).alias(
-                "base_number"
-            ),
-        ).first()
+    def loads(self) -> list[Row]:
+        """The published loads in order: the manifest of the tickets table, one row per load."""
+        columns = ["load_number", "run_id", "through_batch", "folder", "replaces"]
+        return sorted(self.read("loads").select(*columns).collect())
 
-    def tickets(self) -> DataFrame:
+    def tickets(self, loads: list[Row] | None = None) -> DataFrame:
         """The current tickets: the last full snapshot and the insert-only loads after it."""
-        base = self.last_load()["base_number"]
-        live = self.loads().where(F.col("load_number") >= base).select("folder").collect()
+        live: list[str] = []
+        for load in self.loads() if loads is None else loads:
+            live = [load["folder"]] if load["replaces"] else [*live, load["folder"]]
         if not live:
             return self.spark.createDataFrame([], TICKET_SCHEMA)
-        return self.spark.read.schema(TICKET_SCHEMA).parquet(
-            *[f"{self.root}/{row['folder']}" for row in live]
-        )
+        return self.spark.read.schema(TICKET_SCHEMA).parquet(*[f"{self.root}/{f}" for f in live])

@@ -27,8 +27,11 @@ def pin_split_layout(spark: SparkSession) -> None:
         spark.conf.set(_MINIMUM_SPLITS, str(spark.sparkContext.defaultParallelism))
 
 
-def scan_position(row_index: bool) -> list[Column]:
-    """Where a scanned row sits: exact index for Parquet, running id per split for text."""
+def scan_position(row_index: bool, stream: bool = False) -> list[Column]:
+    """Where a scanned row sits: exact index for Parquet, running id per split for text.
+
+    A streaming plan cannot hold the running id; ``number_rows`` adds it inside the micro-batch.
+    """
     if row_index:
         return [
             F.col("_metadata.file_path").alias(FILE),
@@ -38,7 +41,7 @@ def scan_position(row_index: bool) -> list[Column]:
     return [
         F.col("_metadata.file_path").alias(FILE),
         F.col("_metadata.file_block_start").alias(BLOCK),
-        F.monotonically_increasing_id().alias(POSITION),
+        *([] if stream else [F.monotonically_increasing_id().alias(POSITION)]),
     ]
 
 
@@ -79,6 +82,8 @@ def number_rows(scan: DataFrame, first_number: int = 1, single_file: bool = Fals
     if single_file:
         number = F.col(POSITION) + F.lit(first_number).cast("long")
         return scan.select(number.alias("row_number"), "*").drop(FILE, BLOCK, POSITION)
+    if POSITION not in scan.columns:
+        scan = scan.withColumn(POSITION, F.monotonically_increasing_id())
     spark = scan.sparkSession
     path = scratch_path(spark, "splits")
     split_starts(scan).write.parquet(path)

@@ -17,9 +17,6 @@ from deskwright.functions import sql
 from deskwright.functions.text import truncate
 from deskwright.sources.formats import detect_format
 from deskwright.sources.numbering import (
-    BLOCK,
-    FILE,
-    POSITION,
     number_rows,
     pin_split_layout,
     scan_position,
@@ -27,7 +24,6 @@ from deskwright.sources.numbering import (
 
 # CSV rows with more fields than the header put the first surplus value here.
 SURPLUS = "__surplus"
-POSITION_COLUMNS = [FILE, BLOCK, POSITION]
 
 
 def csv_columns(spark: SparkSession, path: str, multi_line: bool = True) -> list[str]:
@@ -38,7 +34,9 @@ def csv_columns(spark: SparkSession, path: str, multi_line: bool = True) -> list
     return columns
 
 
-def _from_csv(reader, path: str, columns: list[str], multi_line: bool) -> DataFrame:
+def _from_csv(
+    reader, path: str, columns: list[str], multi_line: bool, stream: bool
+) -> DataFrame:
     schema = T.StructType([T.StructField(c, T.StringType()) for c in [*columns, SURPLUS]])
     scan = (
         reader.schema(schema)
@@ -49,15 +47,15 @@ def _from_csv(reader, path: str, columns: list[str], multi_line: bool) -> DataFr
     )
     too_long = F.when(F.col(SURPLUS).isNotNull(), F.lit("row has more fields than the header"))
     return scan.select(
-        *scan_position(row_index=False),
+        *scan_position(row_index=False, stream=stream),
         F.struct(*[F.col(f"`{c}`") for c in columns]).alias("data"),
         too_long.alias("read_error"),
     )
 
 
-def _from_json_lines(reader, path: str) -> DataFrame:
+def _from_json_lines(reader, path: str, stream: bool) -> DataFrame:
     scan = reader.text(path).select(
-        *scan_position(row_index=False),
+        *scan_position(row_index=False, stream=stream),
         F.col("value").alias("line"),
         F.try_parse_json("value").alias("data"),
     )
@@ -101,9 +99,9 @@ def scan_export(
     reader = (spark.readStream if stream else spark.read).options(**options)
     if fmt == "csv":
         columns = schema.names if schema else csv_columns(spark, path, multi_line)
-        return _from_csv(reader, path, columns, multi_line)
+        return _from_csv(reader, path, columns, multi_line, stream)
     if fmt == "jsonl":
-        return _from_json_lines(reader, path)
+        return _from_json_lines(reader, path, stream)
     return _from_parquet(reader, path, schema)
 
 

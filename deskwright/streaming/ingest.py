@@ -13,11 +13,10 @@ import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from deskwright import fixed
-from deskwright.plans.load import describe_run, finish_run, process_unit, run_summary, stage
+from deskwright.plans.load import describe_run, finish_run, process_unit, stage, stored_summary
 from deskwright.plans.reports import write_reports
 from deskwright.plans.store import TicketStore
 from deskwright.rules import QualityRules
@@ -30,12 +29,13 @@ def ingest_batch(
     store: TicketStore, run: dict, rules: QualityRules, rows: DataFrame, batch_id: int
 ) -> bool:
     """Process one micro-batch unless it is already committed."""
-    last = store.last_commit(run["run_id"])
-    if batch_id <= last["batch_id"]:
+    done = store.commits_of(run["run_id"])
+    if done and batch_id <= done[-1]["batch_id"]:
         return False
-    envelope = number_rows(rows, first_number=last["row_offset"] + 1)
+    offset = done[-1]["row_offset"] if done else 0
+    envelope = number_rows(rows, first_number=offset + 1)
     staged = stage(store, run, envelope, rules, batch_id)
-    process_unit(store, run, staged, envelope, rules, batch_id, remember_keys=True)
+    process_unit(store, run, staged, envelope, rules, batch_id, offset, remember_keys=True)
     return True
 
 
@@ -63,9 +63,12 @@ def run_stream(
     input_hash = hashlib.sha256(name.encode()).hexdigest()
     run = describe_run(rules, folder, input_hash, fmt, dry_run, incremental)
     run_id = run["run_id"]
-    store.create_run(run)
+    status = store.run_status(run_id)
+    if status is None:
+        store.log_run(run, fixed.PENDING)
     store.record_lineage(
         run_id,
+        check=status is not None,
         source_system=rules.source_system,
         original_path=folder,
         input_hash=input_hash,
@@ -104,6 +107,6 @@ def run_stream(
         )
         raise
     store.log_run(run, fixed.COMPLETED, duration_seconds=time.monotonic() - started)
-    summary = run_summary(store, rules).where(F.col("run_id") == run_id)
+    summary = stored_summary(store, rules, run_id)
     write_reports(store, summary, run_id)
     return summary
