@@ -224,7 +224,7 @@ def _summary(
         f"""SELECT 'COMPLETED' AS status, {str(dry).lower()} AS dry_run,
   {str(incremental).lower()} AS incremental, '{fmt}' AS input_format, total_records,
   accepted_records, quarantined_records, duplicate_records,
-  {'0' if dry else 'accepted_records'} AS loaded_records, 0 AS unchanged_records,
+  {'CAST(0 AS BIGINT)' if dry else 'accepted_records'} AS loaded_records, CAST(0 AS BIGINT) AS unchanged_records,
   total_records AS resumed_from_offset, {index} AS batches_committed,
   quality_score, CAST({_THRESHOLD} AS DOUBLE) AS quality_threshold,
   quality_score >= {_THRESHOLD} AS quality_gate_passed{extra} FROM scored"""
@@ -454,7 +454,7 @@ ORACLES: dict[str, str] = {
     ),
     "synthetic_tickets": _SYNTHETIC,
     "run_summary_batch": _summary("parquet", extra=_ALL_DIMENSIONS),
-    "rerun_idempotent": _summary("parquet", extra=", 1 AS loads, 3 AS run_events"),
+    "rerun_idempotent": _summary("parquet", extra=", CAST(1 AS BIGINT) AS loads, CAST(3 AS BIGINT) AS run_events"),
     "dry_run_summary": _summary("jsonl", dry=True, incremental=False, extra=_ALL_DIMENSIONS),
     "resume_after_failure": _summary("csv", incremental=False, extra=_ALL_DIMENSIONS),
     "stream_ingest_resume": _summary("parquet", incremental=False, extra=_ALL_DIMENSIONS),
@@ -468,7 +468,7 @@ ORACLES: dict[str, str] = {
     "stored_quarantine": _done(_QUARANTINE),
     "total_tickets": _done("SELECT count(*) AS tickets FROM done WHERE accepted"),
     "run_checkpoint": _measured(
-        "SELECT 'COMPLETED' AS status, 0 AS batch_id, total_records AS row_offset, "
+        "SELECT 'COMPLETED' AS status, CAST(0 AS BIGINT) AS batch_id, total_records AS row_offset, "
         f"CAST(ceil(total_records / {VIEW_RULES.batch_size}) AS BIGINT) AS batch_index FROM scored"
     ),
     "run_lineage": (

@@ -76,7 +76,7 @@ def clean_text(spark, folder):
 
 @query
 def clean_text_conversations(spark, folder):
-    turns = table(spark, folder, "conversations")
+    turns = numbering.spread(table(spark, folder, "conversations"))
     return turns.select("conv_id", "turn", text.clean_text(F.col("text")).alias("text"))
 
 
@@ -289,7 +289,7 @@ def first_row_per_key(spark, folder):
 
 @query
 def dedup_documents(spark, folder):
-    documents = table(spark, folder, "documents").select("doc_id", "text")
+    documents = numbering.spread(table(spark, folder, "documents").select("doc_id", "text"))
     key = F.sha2(text.clean_text(F.col("text")), 256)
     return repeats.flag_repeats(documents, key, order="doc_id").select("doc_id", "duplicate")
 

@@ -102,7 +102,8 @@ def process_unit(
     judged = add_repeat_verdict(flagged)
     if not run["dry_run"]:
         rejected = judged.where("NOT accepted").select("row_number", "violations")
-        payload = envelope.join(rejected, "row_number")
+        rejected_path = store.write_unit(rejected, "rejected", run_id, batch_id)
+        payload = envelope.join(store.spark.read.parquet(rejected_path), "row_number")
         store.write_unit(
             payload.select(
                 "row_number",
