@@ -24,6 +24,11 @@ def text(value: str) -> str:
     return f"r'{value}'" if "\\" in value else f"'{value}'"
 
 
+def name(value: str) -> str:
+    """A quoted column name."""
+    return "`" + value.replace("`", "``") + "`"
+
+
 def texts(values: list[str]) -> str:
     return ", ".join(text(v) for v in values)
 

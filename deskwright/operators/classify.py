@@ -51,18 +51,19 @@ def clean_fields(envelope: DataFrame, rules: QualityRules) -> DataFrame:
         f"transform(array({given}), x -> {sql.clean_text('x')}) AS _texts",
         *[f"{as_time_text(*field)} AS r_{name}" for name, field in times.items()],
     )
-    unusual = ", ".join(f"CASE WHEN NOT {sql.plain_timestamp(f'r_{n}')} THEN r_{n} END" for n in times)
-    columns = [f"_texts[{i}] AS `c_{name}`" for i, name in enumerate(names)]
+    plain = {name: sql.plain_timestamp(f"r_{name}") for name in times}
+    usual = [f"CASE WHEN {p} THEN try_cast(r_{name} AS TIMESTAMP) END" for name, p in plain.items()]
+    unusual = [f"CASE WHEN NOT {p} THEN r_{name} END" for name, p in plain.items()]
+    other = f"CASE WHEN x IS NOT NULL THEN {sql.other_timestamp('x')} END"
+    columns = [f"_texts[{i}] AS {sql.name(f'c_{name}')}" for i, name in enumerate(names)]
     for i, (name, (value, dtype)) in enumerate(times.items()):
-        if isinstance(dtype, T.TimestampType):
-            columns.append(f"{value} AS t_{name}")
-            continue
-        columns.append(f"coalesce(_usual[{i}], _unusual[{i}]) AS t_{name}")
-    usual = ", ".join(f"CASE WHEN {sql.plain_timestamp(f'r_{n}')} THEN try_cast(r_{n} AS TIMESTAMP) END" for n in times)
+        native = isinstance(dtype, T.TimestampType)
+        parsed = value if native else f"coalesce(_usual[{i}], _unusual[{i}])"
+        columns.append(f"{parsed} AS t_{name}")
     return raw.selectExpr(
         "*",
-        f"array({usual}) AS _usual",
-        f"transform(array({unusual}), x -> CASE WHEN x IS NOT NULL THEN {sql.other_timestamp('x')} END) AS _unusual",
+        f"array({', '.join(usual)}) AS _usual",
+        f"transform(array({', '.join(unusual)}), x -> {other}) AS _unusual",
     ).selectExpr("*", *columns)
 
 
@@ -77,7 +78,7 @@ def evaluate(envelope: DataFrame, rules: QualityRules) -> DataFrame:
     high = {name: bounds[1] for name, bounds in fixed.LENGTH_BOUNDS.items()}
 
     def missing(name: str) -> str:
-        return f"(`c_{name}` = '')"
+        return f"({sql.name(f'c_{name}')} = '')"
 
     def one_of(column: str, values: tuple[str, ...] | list[str]) -> str:
         return f"{column} IN ({sql.texts(list(values))})" if values else "false"

@@ -13,9 +13,10 @@ from deskwright.plans.load import describe_run, finish_run, process_unit, stage,
 from deskwright.plans.reports import write_reports
 from deskwright.plans.store import TicketStore
 from deskwright.rules import QualityRules
-from deskwright.sources.fingerprint import input_fingerprint
+from deskwright.session import size_shuffles
+from deskwright.sources.fingerprint import input_fingerprint, manifest_fingerprint
 from deskwright.sources.formats import detect_format
-from deskwright.sources.numbering import skip_rows, spread
+from deskwright.sources.numbering import skip_rows
 from deskwright.sources.readers import read_tickets
 
 # Batch id of the stage folder of a one-pass run.
@@ -33,17 +34,21 @@ def run_export(
     multi_line: bool = True,
     commit_rows: int | None = None,
     on_commit: Callable[[int], None] | None = None,
+    by_manifest: bool = False,
 ) -> DataFrame:
     """Check, load and report one export; returns its one-row summary.
 
     The same input, rules and flags are the same run: once completed, its stored summary comes
     back. A failed run continues after its last commit. ``commit_rows`` splits the work into
     commits of that many rows; by default the whole input is one. ``on_commit`` is called with the
-    number of commits made so far.
+    number of commits made so far. ``by_manifest`` identifies the input by the names, sizes and
+    modification times of its files instead of reading it once more.
     """
     store = TicketStore(spark, root)
     fmt = detect_format(path, fmt)
-    found = input_fingerprint(spark, path, fmt).first()
+    identify = manifest_fingerprint if by_manifest else input_fingerprint
+    found = identify(spark, path, fmt).first()
+    size_shuffles(spark, found["input_size_bytes"])
     run = describe_run(rules, path, found["fingerprint"], fmt, dry_run, incremental)
     run_id = run["run_id"]
     status = store.run_status(run_id)
@@ -86,7 +91,7 @@ def _process(spark, path, rules, store, run, fmt, multi_line, commit_rows, on_co
     done = store.commits_of(run["run_id"])
     if commit_rows is None:
         if not done:
-            staged = stage(store, run, spread(envelope), rules, WHOLE_INPUT)
+            staged = stage(store, run, envelope, rules, WHOLE_INPUT)
             process_unit(
                 store, run, staged, envelope, rules, WHOLE_INPUT, row_offset=0, remember_keys=False
             )

@@ -102,7 +102,7 @@ def process_unit(
     judged = add_repeat_verdict(flagged)
     if not run["dry_run"]:
         rejected = judged.where("NOT accepted").select("row_number", "violations")
-        rejected_path = store.write_unit(rejected, "rejected", run_id, batch_id)
+        rejected_path = store.write_unit(rejected, "rejected", run_id, batch_id, sparse=True)
         payload = envelope.join(store.spark.read.parquet(rejected_path), "row_number")
         store.write_unit(
             payload.select(
@@ -114,6 +114,7 @@ def process_unit(
             "quarantine",
             run_id,
             batch_id,
+            sparse=True,
         )
     offset = F.lit(row_offset) + F.col("total_records")
     commit = measure(judged).select(

@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from deskwright import fixed
 from deskwright.functions.text import truncate
 from deskwright.operators.scoring import MEASURES
+from deskwright.session import RECOMMENDED
 
 TICKET_SCHEMA = T.StructType(
     [T.StructField("source_system", T.StringType()), T.StructField("ticket_id", T.StringType())]
@@ -58,6 +59,8 @@ class TicketStore:
     def __init__(self, spark: SparkSession, root: str) -> None:
         self.spark = spark
         self.root = root.rstrip("/")
+        timestamps = "spark.sql.parquet.outputTimestampType"
+        spark.conf.set(timestamps, RECOMMENDED[timestamps])
 
     def path(self, table: str, run_id: str | None = None, batch_id: int | None = None) -> str:
         parts = [self.root, table]
@@ -148,8 +151,13 @@ class TicketStore:
         done = self.read("commits", run_id).select("run_id", "batch_id")
         return self.read(table, run_id).join(done, ["run_id", "batch_id"], "left_semi")
 
-    def write_unit(self, rows: DataFrame, table: str, run_id: str, batch_id: int) -> str:
+    def write_unit(
+        self, rows: DataFrame, table: str, run_id: str, batch_id: int, sparse: bool = False
+    ) -> str:
+        """Write an output of a unit. ``sparse`` rows come from many tasks with few rows each and
+        are gathered into files of a sensible size first."""
         path = self.path(table, run_id, batch_id)
+        rows = rows.hint("rebalance") if sparse else rows
         rows.write.mode("overwrite").parquet(path)
         return path
 

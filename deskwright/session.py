@@ -12,6 +12,8 @@ RECOMMENDED = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Timestamps with file statistics, so that filters on them prune.
+    "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
 }
 
 
@@ -24,6 +26,23 @@ def build_session(master: str | None = None, app: str = "deskwright", **conf: st
     return builder.getOrCreate()
 
 
+SHUFFLE_PARTITION_BYTES = 128 * 1024 * 1024
+MOST_SHUFFLE_PARTITIONS = 50_000
+_INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
+
+def size_shuffles(spark: SparkSession, input_bytes: int) -> None:
+    """Start shuffles with partitions that fit in memory for this input, unless it is configured.
+
+    Adaptive execution merges small partitions but does not split a plain one, so starting with
+    many is safe and starting with few is not.
+    """
+    if spark.conf.get(_INITIAL_PARTITIONS, None) is None:
+        wanted = min(input_bytes // SHUFFLE_PARTITION_BYTES, MOST_SHUFFLE_PARTITIONS)
+        if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")):
+            spark.conf.set(_INITIAL_PARTITIONS, str(wanted))
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new folder name under the shared folder that the cluster names.
 

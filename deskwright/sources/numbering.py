@@ -106,11 +106,13 @@ def batch_index(row_number: Column, batch_size: int) -> Column:
     return (F.floor((row_number - 1) / F.lit(batch_size)) + 1).cast("long")
 
 
-def spread(rows: DataFrame) -> DataFrame:
+def spread(rows: DataFrame, scan: DataFrame | None = None) -> DataFrame:
     """Use all cores when a small input was cut into fewer tasks than there are cores.
 
     Large inputs already have many more splits than cores and are returned as they are, so nothing
-    is shuffled at scale.
+    is shuffled at scale. ``scan`` is the bare file scan behind ``rows``: asking it for its number of
+    splits runs nothing.
     """
     cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+    splits = (rows if scan is None else scan).rdd.getNumPartitions()
+    return rows.repartition(cores) if splits < cores else rows

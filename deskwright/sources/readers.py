@@ -20,6 +20,7 @@ from deskwright.sources.numbering import (
     number_rows,
     pin_split_layout,
     scan_position,
+    spread,
 )
 
 # CSV rows with more fields than the header put the first surplus value here.
@@ -48,7 +49,7 @@ def _from_csv(
     too_long = F.when(F.col(SURPLUS).isNotNull(), F.lit("row has more fields than the header"))
     return scan.select(
         *scan_position(row_index=False, stream=stream),
-        F.struct(*[F.col(f"`{c}`") for c in columns]).alias("data"),
+        F.struct(*[F.col(sql.name(c)) for c in columns]).alias("data"),
         too_long.alias("read_error"),
     )
 
@@ -72,7 +73,7 @@ def _from_parquet(reader, path: str, schema: T.StructType | None) -> DataFrame:
     scan = (reader.schema(schema) if schema is not None else reader).parquet(path)
     return scan.select(
         *scan_position(row_index=True),
-        F.struct(*[F.col(f"`{c}`") for c in scan.columns]).alias("data"),
+        F.struct(*[F.col(sql.name(c)) for c in scan.columns]).alias("data"),
         F.lit(None).cast("string").alias("read_error"),
     )
 
@@ -112,7 +113,7 @@ def read_tickets(
     fmt = detect_format(path, fmt)
     scan = scan_export(spark, path, fmt, multi_line)
     single = fmt == "parquet" and len(scan.inputFiles()) == 1
-    return number_rows(scan, single_file=single)
+    return spread(number_rows(scan, single_file=single), scan)
 
 
 def envelope_of(rows: DataFrame, row_number: Column | str = "row_number") -> DataFrame:
@@ -121,7 +122,7 @@ def envelope_of(rows: DataFrame, row_number: Column | str = "row_number") -> Dat
     fields = [c for c in rows.columns if c != row_number]
     return rows.select(
         number.cast("long").alias("row_number"),
-        F.struct(*[F.col(f"`{c}`") for c in fields]).alias("data"),
+        F.struct(*[F.col(sql.name(c)) for c in fields]).alias("data"),
         F.lit(None).cast("string").alias("read_error"),
     )
 
@@ -138,7 +139,7 @@ def field_reader(envelope: DataFrame) -> Callable[[str], tuple[str, T.DataType]]
         def read(name: str) -> tuple[str, T.DataType]:
             if name not in known:
                 return "CAST(NULL AS STRING)", T.StringType()
-            return f"data.`{name.replace('`', '``')}`", known[name]
+            return f"data.{sql.name(name)}", known[name]
 
         return read
 

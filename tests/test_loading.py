@@ -3,6 +3,7 @@ from __future__ import annotations
 import glob
 import json
 import random
+from datetime import datetime, timezone
 
 import pytest
 from pyspark.sql import functions as F
@@ -110,8 +111,15 @@ def test_incremental_load_takes_only_newer_rows(spark, rules, good, tmp_path):
         loads.append(run_export(spark, path, rules, root, incremental=True).first())
     assert [r["loaded_records"] for r in loads] == [1, 1, 0]
     assert [r["unchanged_records"] for r in loads] == [0, 0, 1]
-    tickets = TicketStore(spark, root).tickets().collect()
-    assert [t["title"] for t in tickets] == ["Newer title"]
+    stored = TicketStore(spark, root).tickets()
+    assert [t["title"] for t in stored.collect()] == ["Newer title"]
+    since = datetime(2026, 1, 1, tzinfo=timezone.utc)
+    found = listing.find_tickets(stored, "Open", "Critical", since).select("ticket_id")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(status,Open)" in plan and "title" not in plan
+    recent = listing.find_tickets(stored, updated_since=since).select("ticket_id")
+    assert "GreaterThanOrEqual(updated_at" in recent._jdf.queryExecution().executedPlan().toString()
+    assert found.count() == recent.count() == 1
 
 
 def test_insert_only_load_keeps_existing_rows(spark, rules, good, tmp_path):

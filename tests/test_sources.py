@@ -140,3 +140,12 @@ def test_synthetic_rows_are_a_function_of_seed_and_index(spark):
 def test_envelope_of_a_numbered_table(spark):
     rows = envelope_of(spark.range(3).select((F.col("id") + 1).alias("row_number"), "id"))
     assert listed(rows)[0] == {"row_number": 1, "data": {"id": 0}, "read_error": None}
+
+
+def test_manifest_fingerprint_follows_the_files(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("a\n1\n", encoding="utf-8")
+    first = fingerprint.manifest_fingerprint(spark, str(tmp_path), "csv").first()
+    assert first["input_size_bytes"] == 4
+    assert fingerprint.manifest_fingerprint(spark, str(tmp_path), "csv").first() == first
+    (tmp_path / "b.csv").write_text("a\n2\n", encoding="utf-8")
+    assert fingerprint.manifest_fingerprint(spark, str(tmp_path), "csv").first() != first
