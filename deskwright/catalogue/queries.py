@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -257,9 +257,9 @@ def rule_stale_tickets(spark, folder):
 
 @query
 def rule_stale_events(spark, folder):
-    cutoff = F.lit(EVENT_REFERENCE) - F.make_dt_interval(F.lit(EVENT_DAYS))
-    events = table(spark, folder, "events")
-    return events.select("event_id", (F.col("ts").cast("timestamp") < cutoff).alias("stale"))
+    cutoff = EVENT_REFERENCE - timedelta(days=EVENT_DAYS)
+    stale = timestamps.is_stale(F.col("ts").cast("timestamp"), cutoff)
+    return table(spark, folder, "events").select("event_id", stale.alias("stale"))
 
 
 @query

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -43,6 +44,11 @@ def size_shuffles(spark: SparkSession, input_bytes: int) -> None:
             spark.conf.set(_INITIAL_PARTITIONS, str(wanted))
 
 
+@functools.cache
+def _local_scratch() -> str:
+    return tempfile.mkdtemp(prefix="deskwright-")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new folder name under the shared folder that the cluster names.
 
@@ -53,6 +59,5 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="deskwright-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = _local_scratch()
     return f"{base.rstrip('/')}/deskwright/{name}-{uuid.uuid4().hex}"

@@ -7,6 +7,7 @@ import pytest
 
 from deskwright import fixed
 from deskwright.rules import QualityRules
+from deskwright.session import scratch_path
 
 DOCUMENT = {
     "schema_version": 1,
@@ -69,3 +70,20 @@ def test_loads_a_json_file(tmp_path):
     path = tmp_path / "rules.json"
     path.write_text(json.dumps(DOCUMENT), encoding="utf-8")
     assert QualityRules.from_file(path) == QualityRules.from_dict(DOCUMENT)
+
+
+class FakeSession:
+    """Just the parts of a session that name the shared folder."""
+
+    def __init__(self, master, folder=None):
+        self.conf = {"spark.checkpoint.dir": folder}
+        self.sparkContext = type("Context", (), {"master": master})()
+
+
+def test_scratch_folder_is_the_shared_one():
+    assert scratch_path(FakeSession("yarn", "s3a://shared/"), "x").startswith(
+        "s3a://shared/deskwright/x-"
+    )
+    assert "deskwright" in scratch_path(FakeSession("local[2]"), "x")
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_path(FakeSession("yarn"), "x")
