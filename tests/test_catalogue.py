@@ -9,6 +9,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from deskwright.catalogue.oracles import ORACLES
+from deskwright.catalogue.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 # Queries over whole runs take long to start; test_loading covers the same jobs.
@@ -18,7 +20,6 @@ RUNS = {
     "stored_tickets", "stored_quarantine", "total_tickets", "run_checkpoint", "run_lineage",
     "runs_listing", "metrics_listing", "report_markdown", "report_json",
 }
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
 
 pytestmark = pytest.mark.skipif(not Path(FOLDER).is_dir(), reason="test tables are not there")
 
@@ -53,6 +54,11 @@ def test_query_equals_sql(spark, duck, name):
     assert found == wanted
 
 
+def test_every_query_is_registered():
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(ORACLES) <= set(entry.oracle_sql()) <= set(entry.queries())
+
+
 def test_entry_point(spark):
     row = entry.entry(spark).first()
     assert row["quality_score"] == 0.852647
