@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from deskwright.llm import line_dedup, quality, sharding
+from deskwright.llm import bpe, line_dedup, quality, secret_scan, sharding
 from deskwright.llm.common import documents
 from deskwright.llm.oracles import ORACLES  # noqa: F401
 
@@ -16,6 +16,16 @@ def query(function):
     return function
 
 
+@query
+def op3_bpe(spark, folder):
+    return bpe.round_trip(spark, documents(spark, folder))
+
+
+@query
+def op4_secret_scan(spark, folder):
+    return secret_scan.secret_digest(spark, documents(spark, folder))
+
+
 @query
 def op5_quality(spark, folder):
     return quality.judge(spark, documents(spark, folder))
