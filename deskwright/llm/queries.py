@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from deskwright.llm import bpe, line_dedup, quality, secret_scan, sharding
+from deskwright.llm import bpe, fingerprint, line_dedup, quality, secret_scan, sharding
 from deskwright.llm.common import documents
 from deskwright.llm.oracles import ORACLES  # noqa: F401
 
@@ -16,6 +16,11 @@ def query(function):
     return function
 
 
+@query
+def op2_fingerprint(spark, folder):
+    return fingerprint.with_next(spark, documents(spark, folder))
+
+
 @query
 def op3_bpe(spark, folder):
     return bpe.round_trip(spark, documents(spark, folder))

@@ -19,7 +19,7 @@ from __future__ import annotations
 from collections import defaultdict
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from deskwright.llm.arrow import map_columns
@@ -387,22 +387,19 @@ def secret_digest(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """doc_id, the number of spans of each base kind, a digest of these, and all spans as text."""
     base = [r.kind for r in BASE]
 
-    def spelled(spans):
-        return F.array_join(
-            F.transform(
-                spans, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])
-            ),
-            ",",
-        )
+    def spelled(spans: Column) -> Column:
+        one = F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"]))
+        return F.array_join(one, ",")
+
+    def count(kind: str) -> Column:
+        own = F.filter("found", lambda x: x["kind"] == kind)
+        return F.size(own).cast("long").alias(f"n_{kind}")
 
     found = find_secrets(spark, docs)
     own = F.filter("found", lambda x: x["kind"].isin(base))
     return found.select(
         "doc_id",
-        *[
-            F.size(F.filter("found", lambda x, k=k: x["kind"] == k)).cast("long").alias(f"n_{k}")
-            for k in base
-        ],
+        *map(count, base),
         F.sha2(spelled(own), 256).alias("base_sha256"),
         spelled(F.col("found")).alias("spans"),
     )
