@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from deskwright.llm import bpe, fingerprint, line_dedup, quality, secret_scan, sharding
+from deskwright.llm import bpe, fingerprint, language, line_dedup, quality, secret_scan, sharding
 from deskwright.llm.common import documents
 from deskwright.llm.oracles import ORACLES  # noqa: F401
 
@@ -36,6 +36,11 @@ def op5_quality(spark, folder):
     return quality.judge(spark, documents(spark, folder))
 
 
+@query
+def op6_language(spark, folder):
+    return language.predict_held_out(spark, documents(spark, folder))
+
+
 @query
 def op9_line_dedup(spark, folder):
     found = line_dedup.repeated_lines(spark, documents(spark, folder))
