@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from deskwright.llm import bpe, fingerprint, language, line_dedup, quality, secret_scan, sharding
+from deskwright.llm import bpe, fingerprint, language, line_dedup, quality, secret_scan, sharding, toxicity
 from deskwright.llm.common import documents
 from deskwright.llm.oracles import ORACLES  # noqa: F401
 
@@ -16,6 +16,12 @@ def query(function):
     return function
 
 
+@query
+def op1_toxicity(spark, folder):
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    return toxicity.score_held_out(spark, documents(spark, folder), labels)
+
+
 @query
 def op2_fingerprint(spark, folder):
     return fingerprint.with_next(spark, documents(spark, folder))
