@@ -36,9 +36,9 @@ from deskwright.llm.components import components
 
 SHINGLE_WORDS = 5
 TREES = 12
-ROUNDS = (3, 9)  # trees of each round
+ROUNDS = (3, 4, 5)  # trees of each round
 LEVELS = 6
-LEAF = 8  # classes that a node may have to be compared exhaustively
+OUTSIDE = 12  # classes outside the largest component of a node that is compared exhaustively
 PIVOTS = 3
 SMALLEST_ID = -(1 << 63)
 
@@ -133,78 +133,94 @@ def sketch(docs: DataFrame) -> DataFrame:
 
 
 def _paths(classes: DataFrame, trees: range) -> DataFrame:
-    """class, root, path and the tokens of further levels, for each tree."""
+    """class, root, links, path and the tokens of further levels, for each tree."""
     tree = F.explode(F.lit(list(trees))).alias("tree")
-    rows = classes.select("class", "root", "tokens", tree)
+    rows = classes.select("class", "root", "links", "tokens", tree)
     first = F.col("tree") * LEVELS
     return rows.select(
         "class",
         "root",
+        "links",
         F.xxhash64("tree", F.get("tokens", first)).alias("path"),
         F.slice("tokens", first + 2, LEVELS - 1).alias("rest"),
     )
 
 
-def _pairs_of(nodes: DataFrame) -> DataFrame:
-    """a < b for the members of different components in ``nodes(path, members)``."""
-    other = F.transform(
-        F.col("members"),
-        lambda x: F.transform(
-            F.filter(
-                "members", lambda y: (y["class"] > x["class"]) & (y["root"] != x["root"])
-            ),
-            lambda y: F.struct(x["class"].alias("a"), y["class"].alias("b")),
-        ),
+def _nodes(frame: DataFrame) -> DataFrame:
+    """path, its largest component, the number of classes outside that, and pivots.
+
+    Nodes within one component have nothing to compare and are left out.
+    """
+    slot = F.pmod(F.xxhash64("class", "path"), F.lit(PIVOTS))
+    order = F.struct(-F.col("links"), F.xxhash64("path", "class"), F.col("class"), F.col("root"))
+    pivots = [f"pivot{i}" for i in range(PIVOTS)]
+    return (
+        frame.groupBy("path", "root")
+        .agg(
+            F.count("*").alias("n"),
+            *[F.min(F.when(slot == i, order)).alias(p) for i, p in enumerate(pivots)],
+        )
+        .groupBy("path")
+        .agg(
+            F.sum("n").alias("n"),
+            F.max(F.struct("n", "root")).alias("top"),
+            *[F.min(p).alias(p) for p in pivots],
+        )
+        .select(
+            "path",
+            F.col("top.root").alias("inside"),
+            (F.col("n") - F.col("top.n")).alias("n_out"),
+            F.array(*pivots).alias("pivots"),
+        )
+        .where(F.col("n_out") > 0)
     )
-    return nodes.select(F.explode(F.flatten(other)).alias("pair")).select("pair.a", "pair.b")
+
+
+def _pair(x: str, y: str) -> list[Column]:
+    return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
 
 def candidates(spark: SparkSession, classes: DataFrame, trees: range) -> DataFrame:
-    """Pairs of classes of different components that meet in a node, each once.
+    """Pairs of classes of different components that meet in a node, each once, and the pivot if any.
 
-    ``classes(class, root, tokens)``; root is the component so far.
+    ``classes(class, root, links, tokens)``; root is the component so far. In a node with few
+    classes outside its largest component these are compared with all members; any two members of
+    different components are among such pairs. In other nodes the pivots are, and the node branches.
+    Pivots are the members that were linked to most earlier pivots, since the centre of a group of
+    near copies is similar to many that are not similar to each other.
     """
     frame, found = _paths(classes, trees), []
     for level in range(1, LEVELS + 1):
-        slot = F.pmod(F.xxhash64("class", "path"), F.lit(PIVOTS))
-        order = F.struct(F.xxhash64("path", "class"), F.col("class"), F.col("root"))
-        nodes = (
-            frame.groupBy("path")
-            .agg(
-                F.count("*").alias("n"),
-                F.min("root").alias("low"),
-                F.max("root").alias("high"),
-                *[F.min(F.when(slot == i, order)).alias(f"pivot{i}") for i in range(PIVOTS)],
-            )
-            .where((F.col("n") > 1) & (F.col("low") != F.col("high")))
-        )
-        nodes = nodes.select("path", "n", F.array(*[f"pivot{i}" for i in range(PIVOTS)]).alias("p"))
-        met = stored(spark, frame.join(nodes, "path"), "near-nodes")
-        small = (
-            met.where(F.col("n") <= LEAF)
+        met = stored(spark, frame.join(_nodes(frame), "path"), "near-nodes")
+        few, many = met.where(F.col("n_out") <= OUTSIDE), met.where(F.col("n_out") > OUTSIDE)
+        outside = (
+            few.where(F.col("root") != F.col("inside"))
             .groupBy("path")
-            .agg(F.collect_list(F.struct("class", "root")).alias("members"))
+            .agg(F.collect_list(F.struct("class", "root")).alias("outside"))
         )
-        large = met.where(F.col("n") > LEAF)
-        pivot = large.select("class", "root", F.explode("p").alias("pivot")).where(
-            F.col("pivot").isNotNull() & (F.col("pivot.root") != F.col("root"))
+        met_outside = few.join(outside, "path").select(
+            "class", "root", "inside", F.explode("outside").alias("other")
         )
-        found.append(_pairs_of(small))
-        found.append(
-            pivot.select(
-                F.least("class", "pivot.class").alias("a"),
-                F.greatest("class", "pivot.class").alias("b"),
-            )
-        )
-        if level == LEVELS or large.isEmpty():
+        once = (F.col("root") == F.col("inside")) | (F.col("class") < F.col("other.class"))
+        met_pivot = many.select("class", "root", F.explode("pivots").alias("other"))
+        no_pivot = F.lit(None).cast("binary").alias("pivot")
+        for pairs, pivot in (
+            (met_outside.where(once), no_pivot),
+            (met_pivot.where(F.col("other").isNotNull()), F.col("other.class").alias("pivot")),
+        ):
+            apart = pairs.where(F.col("other.root") != F.col("root"))
+            found.append(apart.select(*_pair("class", "other.class"), pivot))
+        if level == LEVELS or many.isEmpty():
             break
-        frame = large.select(
+        frame = many.select(
             "class",
             "root",
+            "links",
             F.xxhash64("path", F.get("rest", F.lit(level - 1))).alias("path"),
             "rest",
         )
-    return stored(spark, reduce(DataFrame.unionByName, found).distinct(), "near-pairs")
+    pairs = reduce(DataFrame.unionByName, found).groupBy("a", "b").agg(F.max("pivot").alias("pivot"))
+    return stored(spark, pairs, "near-pairs")
 
 
 def _alike(a: Column, b: Column, percent: int) -> Column:
@@ -224,7 +240,7 @@ def confirmed(
         pairs.join(tokens.toDF("a", "ta"), "a")
         .join(tokens.toDF("b", "tb"), "b")
         .where(_alike(F.col("ta"), F.col("tb"), percent))
-        .select("a", "b")
+        .select("a", "b", "pivot")
     )
     likely = stored(spark, likely, "near-likely")
     wanted = likely.select(F.explode(F.array("a", "b")).alias("class")).distinct()
@@ -262,7 +278,7 @@ def confirmed(
         likely.join(sets.toDF("a", "sa"), "a")
         .join(sets.toDF("b", "sb"), "b")
         .where(100 * both >= percent * (F.size("sa") + F.size("sb") - both))
-        .select("a", "b")
+        .select("a", "b", "pivot")
     )
 
 
@@ -278,12 +294,22 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, percent: int = 85) ->
     )
     links, roots, start = None, None, 0
     for trees in ROUNDS:
-        if roots is None:
-            known = classes.withColumn("root", F.col("class"))
+        if links is None:
+            own = F.col("class").alias("root")
+            known = classes.select("class", own, F.lit(0).alias("links"), "tokens")
         else:
-            root = F.coalesce("root", "class").alias("root")
-            known = classes.join(roots.withColumnRenamed("node", "class"), "class", "left")
-            known = known.select("class", root, "tokens")
+            ends = links.select(F.explode(F.array("a", "b")).alias("class"), "pivot")
+            degree = ends.where(~F.col("class").eqNullSafe(F.col("pivot"))).groupBy("class")
+            known = (
+                classes.join(roots.withColumnRenamed("node", "class"), "class", "left")
+                .join(degree.agg(F.count("*").cast("int").alias("links")), "class", "left")
+                .select(
+                    "class",
+                    F.coalesce("root", "class").alias("root"),
+                    F.coalesce("links", F.lit(0)).alias("links"),
+                    "tokens",
+                )
+            )
         pairs = candidates(spark, known, range(start, start + trees))
         more = stored(spark, confirmed(spark, docs, classes, pairs, percent), "near-links")
         links = more if links is None else links.unionByName(more)
