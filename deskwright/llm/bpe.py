@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from deskwright.llm.arrow import map_columns
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-CACHE_PIECES = 250_000
+CACHE_PIECES = 400_000
 HEAP_FROM = 96
 WINDOW = 1 << 20
 BLOCK = 64
@@ -293,6 +293,10 @@ class ByteBpe:
         return b"".join(map(self.tokens.__getitem__, ids.tolist()))
 
 
+# The coder of a worker process, which serves many tasks and keeps its merged pieces.
+_CODERS: dict[str, ByteBpe] = {}
+
+
 def _coder(spark: SparkSession, vocabulary: str | None):
     """A function for tasks that makes the coder; the driver reads the vocabulary once."""
     if vocabulary is None:
@@ -300,8 +304,17 @@ def _coder(spark: SparkSession, vocabulary: str | None):
 
         vocabulary = public_tokenizers.path(VOCABULARY)
     with open(vocabulary, "rb") as file:
-        shared = spark.sparkContext.broadcast((file.read(), code_point_classes()))
-    return lambda: ByteBpe(*shared.value)
+        rank_file = file.read()
+    shared = spark.sparkContext.broadcast((rank_file, code_point_classes()))
+    name = hashlib.sha256(rank_file).hexdigest()
+
+    def coder() -> ByteBpe:
+        if name not in _CODERS:
+            _CODERS.clear()
+            _CODERS[name] = ByteBpe(*shared.value)
+        return _CODERS[name]
+
+    return coder
 
 
 def encode_documents(
@@ -349,6 +362,32 @@ def decode_documents(
     return map_columns(encoded.select("doc_id", "ids"), make, "doc_id long, text string")
 
 
+def tokenize(spark: SparkSession, docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
+    """doc_id, source, ids, n_tokens and the digest of the decoded bytes of every document."""
+    coder = _coder(spark, vocabulary)
+
+    def make():
+        bpe = coder()
+
+        def work(columns):
+            ids = bpe.encode([t or "" for t in columns["text"]])
+            return {
+                "doc_id": columns["doc_id"],
+                "source": columns["source"],
+                "n_tokens": [len(x) for x in ids],
+                "ids": [x.astype(np.int32) for x in ids],
+                "decoded_sha256": [hashlib.sha256(bpe.decode(x)).hexdigest() for x in ids],
+            }
+
+        return work
+
+    return map_columns(
+        docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", "text"),
+        make,
+        "doc_id long, source string, n_tokens long, ids array<int>, decoded_sha256 string",
+    )
+
+
 def round_trip(spark: SparkSession, docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
     """doc_id, n_tokens and digests of the ids and of the bytes decoded from them."""
     coder = _coder(spark, vocabulary)

@@ -106,7 +106,7 @@ def smallest(shingles: np.ndarray) -> np.ndarray:
 
 
 def sketch(docs: DataFrame) -> DataFrame:
-    """doc_id, class (null for an empty set), n_shingles and tokens of every document."""
+    """doc_id, text_hash, class (null for an empty set), n_shingles and tokens of documents."""
 
     def make():
         shingles_of = Shingles()
@@ -117,6 +117,7 @@ def sketch(docs: DataFrame) -> DataFrame:
             width = TREES * LEVELS
             return {
                 "doc_id": columns["doc_id"],
+                "text_hash": columns["text_hash"],
                 "class": [class_of(s) if len(s) else None for s in sets],
                 "n_shingles": [len(s) for s in sets],
                 "tokens": pa.ListArray.from_arrays(
@@ -126,12 +127,20 @@ def sketch(docs: DataFrame) -> DataFrame:
 
         return work
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    rows = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), "text", _text_hash().alias("text_hash")
+    )
     return map_columns(
-        rows, make, "doc_id long, class binary, n_shingles long, tokens array<int>"
+        rows,
+        make,
+        "doc_id long, text_hash long, class binary, n_shingles long, tokens array<int>",
     )
 
 
+def _text_hash() -> Column:
+    return F.xxhash64(F.coalesce("text", F.lit("")))
+
+
 def _paths(classes: DataFrame, trees: range) -> DataFrame:
     """class, root, links, path and the tokens of further levels, for each tree."""
     tree = F.explode(F.lit(list(trees))).alias("tree")
@@ -282,8 +291,8 @@ def confirmed(
     )
 
 
-def near_duplicates(spark: SparkSession, docs: DataFrame, percent: int = 85) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept of every document of ``docs(doc_id, text)``."""
+def document_components(spark: SparkSession, docs: DataFrame, percent: int) -> DataFrame:
+    """doc_id, text_hash, n_shingles and component_id of every document."""
     sketches = stored(spark, sketch(docs), "near-sketches")
     classes = stored(
         spark,
@@ -321,15 +330,44 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, percent: int = 85) ->
     least = placed.groupBy("root").agg(F.min("min_doc").alias("component_id"))
     placed = stored(spark, placed.join(least, "root").select("class", "component_id"), "near-found")
     component = F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return (
-        sketches.select("doc_id", "class", "n_shingles")
-        .join(placed, "class", "left")
-        .select("doc_id", "n_shingles", component.alias("component_id"))
-        .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    return sketches.join(placed, "class", "left").select(
+        "doc_id", "text_hash", "n_shingles", component.alias("component_id"), "class"
+    )
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, percent: int = 85) -> DataFrame:
+    """doc_id, n_shingles, component_id and kept of every document of ``docs(doc_id, text)``."""
+    return document_components(spark, docs, percent).select(
+        "doc_id",
+        "n_shingles",
+        "component_id",
+        F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"),
     )
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, percent: int = 80) -> DataFrame:
-    """Rows of ``docs`` that are the first of their component, with their columns."""
-    lost = near_duplicates(spark, docs, percent).where(~F.col("kept")).select("doc_id")
-    return docs.join(stored(spark, lost.distinct(), "near-lost"), "doc_id", "left_anti")
+    """Rows of ``docs`` that are the first of their component, with their columns.
+
+    Of texts that share the component's smallest id, that of the smallest hash stays. Rows equal
+    in id and text are one document and stay or go together. Documents without words stay.
+    """
+    found = document_components(spark, docs, percent).where(F.col("class").isNotNull())
+    found = stored(spark, found.select("doc_id", "text_hash", "component_id"), "near-members")
+    own = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    rivals = found.where(own).groupBy("component_id").agg(
+        F.min("text_hash").alias("first"), F.max("text_hash").alias("last")
+    )
+    rivals = rivals.where("first != last").select("component_id", "first")
+    beaten = found.where(own).join(rivals, "component_id").where("text_hash != first")
+    lost = found.where(~own).select("doc_id", "text_hash").unionByName(
+        beaten.select("doc_id", "text_hash")
+    )
+    lost = stored(spark, lost.distinct(), "near-lost").toDF("lost_id", "lost_hash")
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+        F.col("doc_id").cast("long").alias("own_id"),
+        _text_hash().alias("own_hash"),
+    )
+    same = F.col("own_id").eqNullSafe(F.col("lost_id")) & (F.col("own_hash") == F.col("lost_hash"))
+    kept = rows.join(lost, same, "left_anti")
+    return kept.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])

@@ -76,3 +76,76 @@ SELECT doc_id, CAST(n_lines AS BIGINT) AS n_lines, CAST(n_dropped AS BIGINT) AS
   sha256(kept) AS kept_sha256
 FROM d JOIN joined USING (rid)
 """
+
+ORACLES["op7_mixing"] = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(source, '') AS source,
+    len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS n_tokens,
+    CAST('0x' || substr(md5(concat_ws(':', 'mixing', 'block', CAST(doc_id AS VARCHAR))), 1, 15)
+      AS BIGINT) AS block_hash,
+    CAST('0x' || substr(md5(concat_ws(':', 'mixing', 'order', CAST(doc_id AS VARCHAR))), 1, 15)
+      AS BIGINT) AS order_hash
+  FROM documents),
+sources AS (SELECT source, CAST(sum(n_tokens) AS BIGINT) AS tokens FROM d GROUP BY source),
+logs AS (
+  SELECT source, tokens, ln(tokens / max(tokens) OVER ()) AS x FROM sources WHERE tokens > 0),
+measured AS (
+  SELECT step, ln(sum(exp(step / 4096 * x)))
+      - step / 4096 * sum(x * exp(step / 4096 * x)) / sum(exp(step / 4096 * x)) AS entropy,
+    exp((1 - step / 4096) * -min(x)) AS repeats, count(*) AS n
+  FROM logs, (SELECT unnest(range(4097)) AS step) GROUP BY step),
+chosen AS (
+  SELECT greatest(max(step) FILTER (WHERE entropy >= 0.95 * ln(n) - 1e-12),
+    min(step) FILTER (WHERE repeats <= 3 + 1e-9)) / 4096 AS a FROM measured),
+powers AS (SELECT source, tokens, exp(a * x) AS power FROM logs, chosen),
+plan AS (
+  SELECT s.source, s.tokens, round(coalesce(power / (SELECT sum(power) FROM powers), 0), 9) AS weight,
+    greatest(coalesce(CAST(round(power * (SELECT max(tokens) FROM sources)) AS BIGINT), 0), s.tokens)
+      AS budget,
+    CAST(ceil(greatest(s.tokens, 1) / 4194304) AS BIGINT) AS n_blocks
+  FROM sources s LEFT JOIN powers p ON s.source = p.source),
+rows AS (
+  SELECT d.*, weight, budget, block_hash % n_blocks AS block,
+    CASE WHEN tokens > 0 THEN budget // tokens ELSE 1 END AS epochs,
+    CASE WHEN tokens > 0 THEN budget % tokens ELSE 0 END AS rest
+  FROM d JOIN plan USING (source)),
+blocks AS (
+  SELECT source, block, sum(n_tokens) AS n, any_value(rest) AS rest,
+    CAST('0x' || substr(md5(concat_ws(':', 'mixing', 'last', source, CAST(block AS VARCHAR))), 1, 15)
+      AS BIGINT) AS place
+  FROM rows GROUP BY source, block),
+fitting AS (
+  SELECT source, block, n,
+    rest - (sum(n) OVER (PARTITION BY source ORDER BY place, block) - n) AS fits FROM blocks),
+marked AS (
+  SELECT r.*, sum(r.n_tokens) OVER (PARTITION BY r.source, r.block ORDER BY r.order_hash) AS running,
+    f.n, f.fits
+  FROM rows r JOIN fitting f ON r.source = f.source AND r.block = f.block)
+SELECT doc_id, source, n_tokens, weight, budget, CAST(block AS INTEGER) AS block,
+  CAST(epochs + CASE WHEN fits > 0 AND (n <= fits OR running <= fits) THEN 1 ELSE 0 END AS INTEGER)
+    AS copies
+FROM marked
+"""
+
+ORACLES["op8_near_dedup"] = r"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+      'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+places AS (SELECT rid, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM d WHERE len(w) > 0),
+shingles AS (SELECT DISTINCT rid, array_to_string(w[i:i + 4], ' ') AS shingle FROM places),
+sizes AS (SELECT rid, count(*) AS n FROM shingles GROUP BY rid),
+shared AS (
+  SELECT a.rid AS x, b.rid AS y, count(*) AS n
+  FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.rid <> b.rid GROUP BY a.rid, b.rid),
+links AS (
+  SELECT x, y FROM shared JOIN sizes p ON x = p.rid JOIN sizes q ON y = q.rid
+  WHERE 100 * shared.n >= 85 * (p.n + q.n - shared.n)),
+reached AS (
+  SELECT rid AS x, rid AS y FROM d UNION SELECT r.x, l.y FROM reached r JOIN links l ON r.y = l.x),
+found AS (
+  SELECT x, min(doc_id) AS component_id FROM reached JOIN d ON reached.y = d.rid GROUP BY x)
+SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id,
+  doc_id IS NOT DISTINCT FROM component_id AS kept
+FROM d JOIN found ON d.rid = found.x LEFT JOIN sizes ON d.rid = sizes.rid
+"""

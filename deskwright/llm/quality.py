@@ -69,23 +69,36 @@ def repeat_words(words: Column) -> Column:
 
 
 def document_counts(docs: DataFrame, *keep: str) -> DataFrame:
-    """Columns ``keep`` of ``docs(text, ...)``, the counts, and ``n_lines`` (lines with a word)."""
+    """Columns ``keep`` of ``docs(text, ...)``, the counts, and ``n_lines`` (lines with a word).
+
+    Words and lines are bound inside the expression, so that filters on the counts, which the
+    optimizer moves below the projection, do not split the text again for every word.
+    """
     text = F.coalesce(F.col("text"), F.lit(""))
-    split = docs.select(
-        *keep,
-        F.regexp_extract_all(text, F.lit(f"({WORD})"), F.lit(1)).alias("words"),
-        F.regexp_count(text, F.lit("[#*$%&|<>]")).cast("long").alias("n_symbols"),
-        F.filter(F.split(text, "\n", -1), lambda line: line.rlike(WORD)).alias("lines"),
+    words = F.regexp_extract_all(text, F.lit(f"({WORD})"), F.lit(1))
+    lines = F.filter(F.split(text, "\n", -1), lambda line: line.rlike(WORD))
+    by_word = bound(
+        words,
+        lambda w: F.struct(
+            F.size(w).cast("long").alias("n_words"),
+            F.char_length(F.array_join(w, "")).cast("long").alias("word_chars"),
+            repeat_words(w).alias("n_repeat_words"),
+        ),
+    )
+    by_line = bound(
+        lines,
+        lambda x: F.struct(
+            (F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
+            F.size(x).cast("long").alias("n_lines"),
+        ),
     )
-    return split.select(
+    counted = docs.select(
         *keep,
-        F.size("words").cast("long").alias("n_words"),
-        F.char_length(F.array_join("words", "")).cast("long").alias("word_chars"),
-        "n_symbols",
-        (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
-        repeat_words(F.col("words")).alias("n_repeat_words"),
-        F.size("lines").cast("long").alias("n_lines"),
+        by_word.alias("by_word"),
+        by_line.alias("by_line"),
+        F.regexp_count(text, F.lit("[#*$%&|<>]")).cast("long").alias("n_symbols"),
     )
+    return counted.select(*keep, "by_word.*", "n_symbols", "by_line.*")
 
 
 def failures(counts: DataFrame) -> DataFrame:

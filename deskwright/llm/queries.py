@@ -4,7 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from deskwright.llm import bpe, fingerprint, language, line_dedup, near_dedup, quality, secret_scan, sharding, toxicity
+from deskwright.llm import (
+    bpe,
+    fingerprint,
+    language,
+    line_dedup,
+    mixing,
+    near_dedup,
+    quality,
+    secret_scan,
+    sharding,
+    toxicity,
+)
 from deskwright.llm.common import documents
 from deskwright.llm.oracles import ORACLES  # noqa: F401
 
@@ -47,6 +58,11 @@ def op6_language(spark, folder):
     return language.predict_held_out(spark, documents(spark, folder))
 
 
+@query
+def op7_mixing(spark, folder):
+    return mixing.mixing_weights(spark, documents(spark, folder))
+
+
 @query
 def op8_near_dedup(spark, folder):
     return near_dedup.near_duplicates(spark, documents(spark, folder))
