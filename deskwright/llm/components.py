@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from deskwright.llm.common import stored
 
-MOST_ROUNDS = 100
+MOST_STEPS = 100
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -15,37 +15,43 @@ def _state(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.sum(digest)).first())
 
 
-def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
-    """node and root (the smallest node of its component) of every node of ``edges(a, b)``.
-
-    Every round points each node at the smallest node that it or a neighbour knows; the number of
-    rounds grows with the logarithm of the size of a component. Rounds are written tables.
+def star_step(spark: SparkSession, edges: DataFrame) -> DataFrame:
+    """One large-star and one small-star step; components stay as they are, paths get shorter."""
+    # Every larger neighbour of a node points at the smallest node that this one knows.
+    both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("least"))
+    larger = (
+        both.join(least, "a")
+        .where(F.col("b") > F.col("a"))
+        .select(F.col("b").alias("a"), F.col("least").alias("b"))
+    )
+    larger = stored(spark, larger, "edges-larger")
+    # A node and its smaller neighbours point at the smallest of them.
+    least = larger.groupBy("a").agg(F.min("b").alias("least"))
+    smaller = (
+        larger.join(least, "a")
+        .select(F.explode(F.array("a", "b")).alias("a"), F.col("least").alias("b"))
+        .where("a != b")
+        .distinct()
+    )
+    return stored(spark, smaller, "edges")
+
+
+def stars(spark: SparkSession, edges: DataFrame, steps: int | None = None) -> DataFrame:
+    """a and b (the smallest node of its component) of every other node of ``edges(a, b)``.
+
+    The number of steps grows with the logarithm of the size of a component. With ``steps`` given,
+    no more are made, and b is then some smaller node of the component.
     """
     edges = stored(spark, edges.select("a", "b").where("a != b").distinct(), "edges")
-    before = _state(edges)
-    for _ in range(MOST_ROUNDS):
-        # Large star: every larger neighbour of a node points at the smallest one.
-        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("least"))
-        edges = (
-            both.join(least, "a")
-            .where(F.col("b") > F.col("a"))
-            .select(F.col("b").alias("a"), F.col("least").alias("b"))
-            .distinct()
-        )
-        # Small star: a node and its smaller neighbours point at the smallest of them.
-        least = edges.groupBy("a").agg(F.min("b").alias("least"))
-        edges = (
-            edges.join(least, "a")
-            .select(F.explode(F.array("a", "b")).alias("a"), F.col("least").alias("b"))
-            .where("a != b")
-            .distinct()
-        )
-        edges = stored(spark, edges, "edges")
-        after = _state(edges)
-        if after == before:
-            return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(
-                edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
-            )
-        before = after
-    raise RuntimeError("components did not settle")
+    before = None if steps else _state(edges)
+    for _ in range(steps or MOST_STEPS):
+        edges = star_step(spark, edges)
+        if not steps:
+            after = _state(edges)
+            if after == before:
+                return edges
+            before = after
+    if not steps:
+        raise RuntimeError("components did not settle")
+    return edges

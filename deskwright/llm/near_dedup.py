@@ -6,10 +6,13 @@ under the hash of tree and level, so that two classes share a child with a chanc
 similarity. Small nodes are compared exhaustively. Members of larger nodes are compared with a few
 pivots of the node and branched further. Pairs that are compared are confirmed on the full sets.
 
+Shingles that very many documents share, found by probing every document, make large nodes. A
+document that has such also enters by its smallest other shingles.
+
 Trees come in rounds. After a round, linked classes are components, and later rounds look only at
 pairs of different components, so that a large group of near copies costs its size and not its
-square. With ``trees`` trees a pair of similarity s that shares d levels on its way to a small node is missed
-with chance (1 - s**d) ** trees; at s = 0.85 and 12 trees this is 1e-10 for one level, 2e-7 for two.
+square. With ``trees`` trees a pair of similarity s that shares d levels on its way to a small node is missed with
+chance (1 - s**d) ** trees; at s = 0.85 and 12 trees this is 1e-10 for one level, 2e-7 for two.
 
 Hot nodes and hot classes are counted by partial aggregation, and rows meet their counts in joins that
 adaptive execution may split. Sets are read again only for classes that are compared.
@@ -32,16 +35,23 @@ from pyspark.sql import functions as F
 
 from deskwright.llm.arrow import map_columns
 from deskwright.llm.common import stored
-from deskwright.llm.components import components
+from deskwright.llm.components import stars
 
 SHINGLE_WORDS = 5
 TREES = 12
-ROUNDS = (3, 4, 5)  # trees of each round
-LEVELS = 6
+ROUNDS = (4, 8)  # trees of each round
+LEVELS = 4
 OUTSIDE = 12  # classes outside the largest component of a node that is compared exhaustively
-PIVOTS = 3
+PIVOTS = 2  # the member linked to most pivots, and the pivot linked to most members
+PROBES = 8  # shingles of each document that are counted to find common ones
+COMMON_FROM = 30  # times that a common shingle is seen among the probes
+MOST_COMMON = 100_000
+RARE_TOKENS = 32  # of a document with common shingles that enter as paths of their own
+RARE_SHARE = 0.95  # documents with a larger share of uncommon shingles need no such paths
 SMALLEST_ID = -(1 << 63)
 
+SAME = ["class", "root", "links", "pivot_links"]
+
 _random = np.random.default_rng(20240229)
 _BYTE_VALUES = _random.integers(0, 1 << 64, 256, dtype=np.uint64)
 _MULTIPLIERS = _random.integers(0, 1 << 64, TREES * LEVELS, dtype=np.uint64) | np.uint64(1)
@@ -105,11 +115,51 @@ def smallest(shingles: np.ndarray) -> np.ndarray:
     return (found >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
 
-def sketch(docs: DataFrame) -> DataFrame:
-    """doc_id, text_hash, class (null for an empty set), n_shingles and tokens of documents."""
+def common_shingles(spark: SparkSession, docs: DataFrame) -> np.ndarray:
+    """Sorted shingles that very many documents share, from a few probes of every document.
+
+    They only steer which tokens are branched by; the array is bounded by MOST_COMMON.
+    """
 
     def make():
         shingles_of = Shingles()
+        addends, multipliers = _ADDENDS[:PROBES], _MULTIPLIERS[:PROBES]
+
+        def work(columns):
+            probes = []
+            for text in columns["text"]:
+                own = shingles_of(text)
+                if len(own):
+                    probes.append(own[((own[:, None] + addends) * multipliers).argmin(axis=0)])
+            found = np.concatenate(probes) if probes else np.zeros(0, np.uint64)
+            shingles, times = np.unique(found, return_counts=True)
+            return {"shingle": shingles.view(np.int64), "times": times}
+
+        return work
+
+    found = map_columns(docs.select("text"), make, "shingle long, times long", rows=4096)
+    counted = found.groupBy("shingle").agg(F.sum("times").alias("times"))
+    counted = counted.where(F.col("times") >= COMMON_FROM)
+    most = counted.orderBy(F.desc("times"), "shingle").limit(MOST_COMMON).toArrow()
+    return np.sort(most.column("shingle").to_numpy().view(np.uint64))
+
+
+def rare_tokens(shingles: np.ndarray, common: np.ndarray) -> np.ndarray:
+    """The smallest uncommon shingles of a document that has common ones, as 32 bits."""
+    at = np.minimum(np.searchsorted(common, shingles), max(len(common) - 1, 0))
+    rare = shingles[common[at] != shingles] if len(common) else shingles
+    if len(rare) > RARE_SHARE * len(shingles):
+        return np.zeros(0, np.int32)
+    ordered = np.sort(rare * _MULTIPLIERS[-1])[:RARE_TOKENS]
+    return (ordered >> np.uint64(32)).astype(np.uint32).view(np.int32)
+
+
+def sketch(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """doc_id, text_hash, class (null for an empty set), n_shingles, tokens and rare tokens."""
+    shared = spark.sparkContext.broadcast(common_shingles(spark, docs))
+
+    def make():
+        shingles_of, common = Shingles(), shared.value
 
         def work(columns):
             sets = [shingles_of(t) for t in columns["text"]]
@@ -123,6 +173,7 @@ def sketch(docs: DataFrame) -> DataFrame:
                 "tokens": pa.ListArray.from_arrays(
                     np.arange(0, len(tokens) + 1, width, dtype=np.int32), tokens
                 ),
+                "rare": [rare_tokens(s, common) for s in sets],
             }
 
         return work
@@ -133,7 +184,8 @@ def sketch(docs: DataFrame) -> DataFrame:
     return map_columns(
         rows,
         make,
-        "doc_id long, text_hash long, class binary, n_shingles long, tokens array<int>",
+        "doc_id long, text_hash long, class binary, n_shingles long, tokens array<int>, "
+        "rare array<int>",
     )
 
 
@@ -142,44 +194,64 @@ def _text_hash() -> Column:
 
 
 def _paths(classes: DataFrame, trees: range) -> DataFrame:
-    """class, root, links, path and the tokens of further levels, for each tree."""
+    """class, root, links, path, alone, tree and the tokens of further levels, for each tree."""
     tree = F.explode(F.lit(list(trees))).alias("tree")
-    rows = classes.select("class", "root", "links", "tokens", tree)
+    rows = classes.select(*SAME, "tokens", tree)
     first = F.col("tree") * LEVELS
     return rows.select(
-        "class",
-        "root",
-        "links",
+        *SAME,
         F.xxhash64("tree", F.get("tokens", first)).alias("path"),
+        F.lit(True).alias("alone"),
+        "tree",
         F.slice("tokens", first + 2, LEVELS - 1).alias("rest"),
     )
 
 
+def _rare_paths(classes: DataFrame) -> DataFrame:
+    """The same for paths that begin with an uncommon shingle."""
+    rows = classes.select(*SAME, "tokens", F.explode("rare").alias("token"))
+    return rows.select(
+        *SAME,
+        F.xxhash64(F.lit("rare"), "token").alias("path"),
+        F.lit(False).alias("alone"),
+        F.lit(TREES).alias("tree"),
+        F.slice("tokens", 1, LEVELS - 1).alias("rest"),
+    )
+
+
 def _nodes(frame: DataFrame) -> DataFrame:
     """path, its largest component, the number of classes outside that, and pivots.
 
     Nodes within one component have nothing to compare and are left out.
     """
-    slot = F.pmod(F.xxhash64("class", "path"), F.lit(PIVOTS))
-    order = F.struct(-F.col("links"), F.xxhash64("path", "class"), F.col("class"), F.col("root"))
-    pivots = [f"pivot{i}" for i in range(PIVOTS)]
+
+    def order(links: str, seed: str) -> Column:
+        return F.struct(-F.col(links), F.xxhash64("path", "class", F.lit(seed)), "class", "root")
+
     return (
         frame.groupBy("path", "root")
         .agg(
             F.count("*").alias("n"),
-            *[F.min(F.when(slot == i, order)).alias(p) for i, p in enumerate(pivots)],
+            F.min(order("links", "a")).alias("pivot"),
+            F.min(order("pivot_links", "b")).alias("hub"),
         )
         .groupBy("path")
         .agg(
             F.sum("n").alias("n"),
             F.max(F.struct("n", "root")).alias("top"),
-            *[F.min(p).alias(p) for p in pivots],
+            F.min("pivot").alias("pivot"),
+            F.min("hub").alias("hub"),
         )
         .select(
             "path",
             F.col("top.root").alias("inside"),
             (F.col("n") - F.col("top.n")).alias("n_out"),
-            F.array(*pivots).alias("pivots"),
+            F.array(
+                *[
+                    F.struct(F.col(f"{p}.class").alias("class"), F.col(f"{p}.root").alias("root"))
+                    for p in ("pivot", "hub")
+                ]
+            ).alias("pivots"),
         )
         .where(F.col("n_out") > 0)
     )
@@ -189,16 +261,23 @@ def _pair(x: str, y: str) -> list[Column]:
     return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
 
-def candidates(spark: SparkSession, classes: DataFrame, trees: range) -> DataFrame:
+def candidates(
+    spark: SparkSession, classes: DataFrame, trees: range, with_rare: bool
+) -> DataFrame:
     """Pairs of classes of different components that meet in a node, each once, and the pivot if any.
 
-    ``classes(class, root, links, tokens)``; root is the component so far. In a node with few
+    ``classes(class, root, links, pivot_links, tokens, rare)``; root is the component so far. In a node with few
     classes outside its largest component these are compared with all members; any two members of
-    different components are among such pairs. In other nodes the pivots are, and the node branches.
-    Pivots are the members that were linked to most earlier pivots, since the centre of a group of
+    different components are among such pairs. Other nodes branch: a member goes on to the child
+    of its next token, and from nodes of a single token also to the node of the next token alone,
+    as the token that makes the node large may come from a passage that many texts share. Pivots
+    are met in the first and the last nodes. They are the member that was linked to most earlier
+    pivots and the earlier pivot that was linked to most members, since the centre of a group of
     near copies is similar to many that are not similar to each other.
     """
     frame, found = _paths(classes, trees), []
+    if with_rare:
+        frame = frame.unionByName(_rare_paths(classes))
     for level in range(1, LEVELS + 1):
         met = stored(spark, frame.join(_nodes(frame), "path"), "near-nodes")
         few, many = met.where(F.col("n_out") <= OUTSIDE), met.where(F.col("n_out") > OUTSIDE)
@@ -211,23 +290,25 @@ def candidates(spark: SparkSession, classes: DataFrame, trees: range) -> DataFra
             "class", "root", "inside", F.explode("outside").alias("other")
         )
         once = (F.col("root") == F.col("inside")) | (F.col("class") < F.col("other.class"))
-        met_pivot = many.select("class", "root", F.explode("pivots").alias("other"))
+        apart = met_outside.where(once & (F.col("other.root") != F.col("root")))
         no_pivot = F.lit(None).cast("binary").alias("pivot")
-        for pairs, pivot in (
-            (met_outside.where(once), no_pivot),
-            (met_pivot.where(F.col("other").isNotNull()), F.col("other.class").alias("pivot")),
-        ):
-            apart = pairs.where(F.col("other.root") != F.col("root"))
-            found.append(apart.select(*_pair("class", "other.class"), pivot))
+        found.append(apart.select(*_pair("class", "other.class"), no_pivot))
+        if level in (1, LEVELS):
+            others = F.filter("pivots", lambda p: p["root"] != F.col("root"))
+            first_or_last = F.lit(level == 1) | ~F.col("alone")
+            met_pivot = many.where(first_or_last).select("class", F.explode(others).alias("other"))
+            pivot = F.col("other.class").alias("pivot")
+            found.append(met_pivot.select(*_pair("class", "other.class"), pivot))
         if level == LEVELS or many.isEmpty():
             break
-        frame = many.select(
-            "class",
-            "root",
-            "links",
-            F.xxhash64("path", F.get("rest", F.lit(level - 1))).alias("path"),
-            "rest",
+        token = F.get("rest", F.lit(level - 1))
+        below = many.select(
+            *SAME, F.xxhash64("path", token).alias("path"), F.lit(False).alias("alone"), "tree", "rest"
+        )
+        beside = many.where("alone").select(
+            *SAME, F.xxhash64("tree", F.lit(level), token).alias("path"), "alone", "tree", "rest"
         )
+        frame = below.unionByName(beside)
     pairs = reduce(DataFrame.unionByName, found).groupBy("a", "b").agg(F.max("pivot").alias("pivot"))
     return stored(spark, pairs, "near-pairs")
 
@@ -293,40 +374,42 @@ def confirmed(
 
 def document_components(spark: SparkSession, docs: DataFrame, percent: int) -> DataFrame:
     """doc_id, text_hash, n_shingles and component_id of every document."""
-    sketches = stored(spark, sketch(docs), "near-sketches")
+    sketches = stored(spark, sketch(spark, docs), "near-sketches")
     classes = stored(
         spark,
         sketches.where(F.col("class").isNotNull())
         .groupBy("class")
-        .agg(F.min("doc_id").alias("min_doc"), F.first("tokens").alias("tokens")),
+        .agg(
+            F.min("doc_id").alias("min_doc"),
+            F.first("tokens").alias("tokens"),
+            F.first("rare").alias("rare"),
+        ),
         "near-classes",
     )
-    links, roots, start = None, None, 0
+    none = F.lit(0).cast("long")
+    known = classes.withColumns({"root": F.col("class"), "links": none, "pivot_links": none})
+    found, start = None, 0
     for trees in ROUNDS:
-        if links is None:
-            own = F.col("class").alias("root")
-            known = classes.select("class", own, F.lit(0).alias("links"), "tokens")
-        else:
+        last = start + trees == TREES
+        pairs = candidates(spark, known, range(start, start + trees), with_rare=last)
+        links = stored(spark, confirmed(spark, docs, classes, pairs, percent), "near-links")
+        edges = links.select("a", "b")
+        edges = edges if found is None else found.unionByName(edges)
+        # Between rounds a few steps do: an unfinished component costs comparisons, not links.
+        found = stars(spark, edges, None if last else 2)
+        roots = classes.join(found.toDF("class", "root"), "class", "left").withColumn(
+            "root", F.coalesce("root", "class")
+        )
+        if not last:
+            is_pivot = F.col("class").eqNullSafe(F.col("pivot"))
             ends = links.select(F.explode(F.array("a", "b")).alias("class"), "pivot")
-            degree = ends.where(~F.col("class").eqNullSafe(F.col("pivot"))).groupBy("class")
-            known = (
-                classes.join(roots.withColumnRenamed("node", "class"), "class", "left")
-                .join(degree.agg(F.count("*").cast("int").alias("links")), "class", "left")
-                .select(
-                    "class",
-                    F.coalesce("root", "class").alias("root"),
-                    F.coalesce("links", F.lit(0)).alias("links"),
-                    "tokens",
-                )
+            degree = ends.groupBy("class").agg(
+                F.count_if(~is_pivot).alias("links"), F.count_if(is_pivot).alias("pivot_links")
             )
-        pairs = candidates(spark, known, range(start, start + trees))
-        more = stored(spark, confirmed(spark, docs, classes, pairs, percent), "near-links")
-        links = more if links is None else links.unionByName(more)
-        roots = components(spark, links)
+            known = roots.join(degree, "class", "left").na.fill(0, ["links", "pivot_links"])
+            known = stored(spark, known, "near-known")
         start += trees
-    placed = classes.join(roots.withColumnRenamed("node", "class"), "class", "left").select(
-        "class", "min_doc", F.coalesce("root", "class").alias("root")
-    )
+    placed = stored(spark, roots.select("class", "min_doc", "root"), "near-roots")
     least = placed.groupBy("root").agg(F.min("min_doc").alias("component_id"))
     placed = stored(spark, placed.join(least, "root").select("class", "component_id"), "near-found")
     component = F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
