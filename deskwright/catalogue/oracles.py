@@ -6,6 +6,7 @@ instead of the parser, list functions instead of word-wise masking.
 
 from __future__ import annotations
 
+from deskwright import fixed
 from deskwright.catalogue.queries import EVENT_DAYS, OFFSET
 from deskwright.catalogue.ticket_view import TICKET_VIEW, VIEW_RULES
 
@@ -287,21 +288,21 @@ _SYNTHETIC = f"""WITH draws AS (
     CASE WHEN {_HEX.format(at=9)} < 0.02 THEN o_orderkey % 4 ELSE -1 END AS defect FROM orders),
 timed AS (
   SELECT *, ['Open', 'In Progress', 'Pending', 'Resolved', 'Closed'][i % 5 + 1] AS st,
-    1761955200000000 + (i % 80000) * 60000000 AS c,
-    1761955200000000 + (i % 80000) * 60000000 + (5 + i % 240) * 60000000 AS u FROM draws)
+    1761955200000000 + (i * 37 % 70001) * 60000000 AS c,
+    1761955200000000 + (i * 37 % 70001) * 60000000 + (9 + i % 331) * 60000000 AS u FROM draws)
 SELECT i + 1 AS row_number, 'SD-' || lpad(CAST(i - CAST(repeats AS INT) AS VARCHAR), 9, '0') AS ticket_id,
-  CASE WHEN defect = 0 THEN '' ELSE 'Synthetic support issue ' || CAST(i % 500 AS VARCHAR) END AS title,
-  'Demonstration record ' || CAST(i AS VARCHAR) || '; contact +1-202-555-'
+  CASE WHEN defect = 0 THEN '' ELSE 'Made-up problem, type ' || CAST(i % 613 AS VARCHAR) END AS title,
+  'Nobody reported this as number ' || CAST(i AS VARCHAR) || ', and nobody answers +1-202-555-'
     || lpad(CAST(i % 10000 AS VARCHAR), 4, '0') AS description,
   CASE WHEN defect = 1 THEN 'Mystery' ELSE st END AS status,
   ['Low', 'Medium', 'High', 'Critical'][i % 4 + 1] AS priority,
-  'requester' || CAST(i % 10000 AS VARCHAR) || '@example.invalid' AS requester_email,
-  'engineer-' || CAST(i % 100 AS VARCHAR) AS assignee,
+  'nobody.' || CAST(i % 7919 AS VARCHAR) || '@example.invalid' AS requester_email,
+  'team-' || CAST(i % 89 AS VARCHAR) AS assignee,
   {_ISO_OF.format(us='c')} AS created_at,
   CASE WHEN defect = 2 THEN 'not-a-date' ELSE {_ISO_OF.format(us='u')} END AS updated_at,
   CASE WHEN defect = 3 THEN {_ISO_OF.format(us='c - 3600000000')}
        WHEN st IN ('Resolved', 'Closed') THEN {_ISO_OF.format(us='u')} ELSE '' END AS resolved_at,
-  'synthetic-service-desk' AS source_system
+  'made-up-desk' AS source_system
 FROM timed"""
 
 _RUN_INPUT = "sha256(source_system || ':' || CAST(count(*) AS VARCHAR) || ':' || CAST(CAST(sum(row_number) AS BIGINT) AS VARCHAR))"
@@ -457,6 +458,24 @@ ORACLES: dict[str, str] = {
     "rerun_idempotent": _summary("parquet", extra=", CAST(1 AS BIGINT) AS loads, CAST(3 AS BIGINT) AS run_events"),
     "dry_run_summary": _summary("jsonl", dry=True, incremental=False, extra=_ALL_DIMENSIONS),
     "resume_after_failure": _summary("csv", incremental=False, extra=_ALL_DIMENSIONS),
+    "resume_with_other_commit_size": _summary(
+        "csv", incremental=False, extra=_ALL_DIMENSIONS + ", CAST(2 AS BIGINT) AS failed_attempts"
+    ),
+    "export_fingerprint": _view(
+        "SELECT sha256(CAST(count(*) AS VARCHAR) || ':' || CAST(sum(CAST('0x' || substr(h, 1, 15) "
+        "AS BIGINT)) AS VARCHAR) || ':' || CAST(sum(CAST('0x' || substr(h, 16, 15) AS BIGINT)) "
+        "AS VARCHAR)) AS fingerprint FROM (SELECT sha256(concat_ws(',', "
+        + ", ".join(
+            f"coalesce(CAST(length({v}) AS VARCHAR) || ':' || {v}, 'N')"
+            for v in (
+                "CAST(row_number AS VARCHAR)",
+                "'" + ",".join(fixed.EXPORT_COLUMNS) + "'",
+                *fixed.EXPORT_COLUMNS,
+                "CAST(NULL AS VARCHAR)",
+            )
+        )
+        + ")) AS h FROM tv)"
+    ),
     "stream_ingest_resume": _summary("parquet", incremental=False, extra=_ALL_DIMENSIONS),
     "stream_dedup_keys": _done(
         "SELECT sha256(identity) AS ticket_key, min(row_number) AS first_row_number "

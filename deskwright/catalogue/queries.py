@@ -633,7 +633,7 @@ def _stream_store(spark: SparkSession, folder: str) -> TicketStore:
 
 
 def _summary(store: TicketStore) -> DataFrame:
-    summary = run_summary(store, VIEW_RULES)
+    summary = run_summary(store)
     return summary.select(*_SUMMARY, *[f"quality_dimensions.{d}" for d in fixed.DIMENSIONS])
 
 
@@ -646,7 +646,7 @@ def run_summary_batch(spark, folder):
 def rerun_idempotent(spark, folder):
     """The same input again: the stored summary comes back and nothing is loaded twice."""
     store = _batch_store(spark, folder)
-    path = run_summary(store, VIEW_RULES).first()["input_path"]
+    path = run_summary(store).first()["input_path"]
     again = run_export(spark, path, VIEW_RULES, store.root, incremental=True)
     loads = store.read("loads").groupBy("run_id").agg(F.count("*").alias("loads"))
     events = store.read("runs").groupBy("run_id").agg(F.count("*").alias("run_events"))
@@ -675,6 +675,31 @@ def resume_after_failure(spark, folder):
     return _summary(TicketStore(spark, root))
 
 
+@query
+def resume_with_other_commit_size(spark, folder):
+    """Two failed attempts with commits of different sizes, then one without a size."""
+    root, path = scratch_path(spark, "store"), _written(spark, folder, "csv")
+    rows = table(spark, folder, "orders").count()
+    for parts in (5, 3):
+        try:
+            stop = _stop_after(1)
+            run_export(spark, path, VIEW_RULES, root, commit_rows=rows // parts, on_commit=stop)
+        except Interrupted:
+            pass
+    run_export(spark, path, VIEW_RULES, root)
+    store = TicketStore(spark, root)
+    failed = store.read("runs").where(
+        (F.col("status") == fixed.FAILED) & F.col("error_message").contains("stopped after")
+    )
+    return _summary(store).crossJoin(failed.agg(F.count("*").alias("failed_attempts")))
+
+
+@query
+def export_fingerprint(spark, folder):
+    """The identity of an export: values, nulls and order of its rows."""
+    return fingerprint.envelope_fingerprint(ticket_envelope(spark, folder))
+
+
 @query
 def stream_ingest_resume(spark, folder):
     return _summary(_stream_store(spark, folder))
@@ -751,7 +776,7 @@ _IDENTITY_LINES = ("# Data quality run", "- Input SHA-256")
 @query
 def report_markdown(spark, folder):
     """Report lines that do not depend on the clock or on the bytes of the input file."""
-    summary = run_summary(_batch_store(spark, folder), VIEW_RULES)
+    summary = run_summary(_batch_store(spark, folder))
     lines = markdown_report(summary, timings=False).select(
         F.posexplode(F.split("value", "\n")).alias("line_number", "line")
     )
@@ -763,7 +788,7 @@ def report_markdown(spark, folder):
 
 @query
 def report_json(spark, folder):
-    report = json_report(run_summary(_batch_store(spark, folder), VIEW_RULES))
+    report = json_report(run_summary(_batch_store(spark, folder)))
     paths = [
         "total_records", "accepted_records", "quarantined_records", "duplicate_records",
         "quality_score", "quality_dimensions.validity", "quality_gate_passed",

@@ -38,17 +38,20 @@ def mask_value(c: Column, dtype: T.DataType, key: str = "", mask_lists: bool = T
     if isinstance(dtype, T.StructType):
         return F.when(c.isNotNull(), mask_struct(c.getField, dtype, mask_lists))
     if isinstance(dtype, T.MapType) and isinstance(dtype.keyType, T.StringType):
-        if not isinstance(dtype.valueType, T.StringType):
-            return F.transform_values(
-                c, lambda _, v: mask_value(v, dtype.valueType, "", mask_lists)
+        # Hidden values are text, whatever the others are: both become variants.
+        def variant(v: Column, kind: T.DataType) -> Column:
+            return v.cast("variant") if isinstance(kind, T.AtomicType) else F.to_variant_object(v)
+
+        def entry(k: Column, v: Column) -> Column:
+            hidden = mask_value(v, dtype.valueType, fixed.SENSITIVE_KEYS[0])
+            open_value = mask_value(v, dtype.valueType, "", mask_lists)
+            if isinstance(dtype.valueType, T.StringType):
+                return F.when(F.lower(k).isin(fixed.SENSITIVE_KEYS), hidden).otherwise(open_value)
+            return F.when(F.lower(k).isin(fixed.SENSITIVE_KEYS), hidden.cast("variant")).otherwise(
+                variant(open_value, dtype.valueType)
             )
-        return F.transform_values(
-            c,
-            lambda k, v: F.when(
-                F.lower(k).isin(fixed.SENSITIVE_KEYS),
-                mask_value(v, dtype.valueType, fixed.SENSITIVE_KEYS[0]),
-            ).otherwise(mask_text(v)),
-        )
+
+        return F.transform_values(c, entry)
     if isinstance(dtype, T.ArrayType) and mask_lists:
         return F.transform(c, lambda v: mask_value(v, dtype.elementType, "", mask_lists))
     return c
@@ -96,11 +99,15 @@ def mask_json(mask_lists: bool = True):
         folded = text.strip().casefold().encode("utf-8", "replace")
         return hashlib.sha256(folded).hexdigest()[:digits] + domain
 
+    def compact(value) -> str:
+        return json.dumps(value, ensure_ascii=False, separators=(",", ":"))
+
     def hide(value, key: str = ""):
         if value is None:
             return None
         if key.casefold() in sensitive:
-            return alias(str(value)) if "@" in str(value) else redacted
+            text = value if isinstance(value, str) else compact(value)
+            return alias(text) if "@" in text else redacted
         if isinstance(value, str):
             return phone.sub(phone_mark, email.sub(lambda m: alias(m.group()), value))
         if isinstance(value, dict):
@@ -113,7 +120,7 @@ def mask_json(mask_lists: bool = True):
         if line is None:
             return None
         try:
-            text = json.dumps(hide(json.loads(line)), ensure_ascii=False, separators=(",", ":"))
+            text = compact(hide(json.loads(line)))
         except (ValueError, RecursionError):
             text = json.dumps({"raw": hide(line[:raw_chars])})
         return text.encode("utf-8", "replace").decode()

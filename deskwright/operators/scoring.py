@@ -55,10 +55,10 @@ def add_measures(parts: DataFrame, *by: str) -> DataFrame:
     )
 
 
-def raw_dimensions(required: int) -> dict[str, Column]:
+def raw_dimensions(required: int | Column) -> dict[str, Column]:
     """Unrounded dimension scores from additive measures; 0 when there are no rows."""
     rows = F.col("total_records")
-    required = max(1, required)
+    required = F.greatest(F.lit(1), F.lit(required))
     kept = {
         "completeness": (rows * required - F.col("missing_values"), rows * required),
         "uniqueness": (rows - F.col("duplicate_records"), rows),
@@ -72,7 +72,7 @@ def raw_dimensions(required: int) -> dict[str, Column]:
     }
 
 
-def dimension_scores(measures: DataFrame, required: int) -> DataFrame:
+def dimension_scores(measures: DataFrame, required: int | Column) -> DataFrame:
     """Add the five rounded dimension scores and the rounded unweighted mean of them."""
     scored = measures.withColumns(
         {name: score(value) for name, value in raw_dimensions(required).items()}
@@ -81,12 +81,10 @@ def dimension_scores(measures: DataFrame, required: int) -> DataFrame:
     return scored.withColumn("quality_score", score(total / len(fixed.DIMENSIONS)))
 
 
-def quality_gate(scored: DataFrame, threshold: float) -> DataFrame:
+def quality_gate(scored: DataFrame, threshold: float | Column) -> DataFrame:
+    limit = F.lit(threshold).cast("double")
     return scored.withColumns(
-        {
-            "quality_threshold": F.lit(float(threshold)),
-            "quality_gate_passed": F.col("quality_score") >= F.lit(float(threshold)),
-        }
+        {"quality_threshold": limit, "quality_gate_passed": F.col("quality_score") >= limit}
     )
 
 

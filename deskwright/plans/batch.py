@@ -46,14 +46,16 @@ def run_export(
     """
     store = TicketStore(spark, root)
     fmt = detect_format(path, fmt)
-    identify = manifest_fingerprint if by_manifest else input_fingerprint
-    found = identify(spark, path, fmt).first()
+    if by_manifest:
+        found = manifest_fingerprint(spark, path).first()
+    else:
+        found = input_fingerprint(spark, path, read_tickets(spark, path, fmt, multi_line)).first()
     size_shuffles(spark, found["input_size_bytes"])
     run = describe_run(rules, path, found["fingerprint"], fmt, dry_run, incremental)
     run_id = run["run_id"]
     status = store.run_status(run_id)
     if status == fixed.COMPLETED:
-        summary = stored_summary(store, rules, run_id)
+        summary = stored_summary(store, run_id)
         write_reports(store, summary, run_id, only_missing=True)
         return summary
 
@@ -81,32 +83,36 @@ def run_export(
         )
         raise
     store.log_run(run, fixed.COMPLETED, duration_seconds=time.monotonic() - started)
-    summary = stored_summary(store, rules, run_id)
+    summary = stored_summary(store, run_id)
     write_reports(store, summary, run_id)
     return summary
 
 
 def _process(spark, path, rules, store, run, fmt, multi_line, commit_rows, on_commit) -> None:
+    """Process what is not committed yet, whatever the size of the commits before."""
     envelope = read_tickets(spark, path, fmt, multi_line)
     done = store.commits_of(run["run_id"])
-    if commit_rows is None:
-        if not done:
-            staged = stage(store, run, envelope, rules, WHOLE_INPUT)
-            process_unit(
-                store, run, staged, envelope, rules, WHOLE_INPUT, row_offset=0, remember_keys=False
-            )
-            if on_commit:
-                on_commit(1)
+    if not done and commit_rows is None:
+        staged = stage(store, run, envelope, rules, WHOLE_INPUT)
+        process_unit(
+            store, run, staged, envelope, rules, WHOLE_INPUT, row_offset=0, remember_keys=False
+        )
+        if on_commit:
+            on_commit(1)
         return
     offset = done[-1]["row_offset"] if done else 0
     first = done[-1]["batch_id"] + 1 if done else 0
-    commits = 0
     total = envelope.agg(F.coalesce(F.max("row_number"), F.lit(0)).alias("n")).first()["n"]
+    commits = 0
     while offset < total:
-        unit = skip_rows(envelope, offset).where(F.col("row_number") <= offset + commit_rows)
+        until = total if commit_rows is None else min(offset + commit_rows, total)
+        unit = skip_rows(envelope, offset).where(F.col("row_number") <= until)
         batch_id = first + commits
         staged = stage(store, run, unit, rules, batch_id)
         process_unit(store, run, staged, unit, rules, batch_id, offset, remember_keys=True)
-        offset, commits = offset + commit_rows, commits + 1
+        offset, commits = until, commits + 1
         if on_commit:
             on_commit(commits)
+    committed = sum(c["total_records"] for c in store.commits_of(run["run_id"]))
+    if committed != total:
+        raise RuntimeError(f"{committed} rows are committed, the input has {total}")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,7 +16,13 @@ from deskwright.operators.classify import (
     masked_payload,
     stage_evaluated,
 )
-from deskwright.operators.merge import TICKET_KEY, insert_if_absent, load_counts, merge_actions
+from deskwright.operators.merge import (
+    TICKET_KEY,
+    insert_if_absent,
+    latest_per_key,
+    load_counts,
+    merge_actions,
+)
 from deskwright.operators.repeats import first_rows, repeated_rows
 from deskwright.operators.scoring import (
     add_measures,
@@ -130,7 +137,9 @@ def accepted_tickets(store: TicketStore, run: dict, batches: list[int]) -> DataF
     """Accepted rows of committed units, read from the stage and the list of repeats."""
     run_id = run["run_id"]
     if not batches:
-        return store.spark.createDataFrame([], TICKET_SCHEMA)
+        return store.spark.createDataFrame([], TICKET_SCHEMA).withColumn(
+            "row_number", F.lit(0).cast("long")
+        )
     staged = store.spark.read.parquet(*[store.path("stage", run_id, n) for n in batches])
     repeats = store.spark.read.parquet(*[store.path("repeats", run_id, n) for n in batches])
     accepted = staged.where("ticket_ok AND NOT invalid AND NOT inconsistent").join(
@@ -143,44 +152,56 @@ def accepted_tickets(store: TicketStore, run: dict, batches: list[int]) -> DataF
             "loaded_at": F.current_timestamp(),
         }
     )
-    return stamped.select(*TICKET_SCHEMA.names)
+    return stamped.select(*TICKET_SCHEMA.names, "row_number")
+
+
+MOST_CONFLICTS = 100
 
 
 def load_tickets(store: TicketStore, run: dict) -> None:
     """Load the accepted rows that are not loaded yet and publish the result.
 
-    Insert-only runs append the new keys. Newer-wins runs write a new snapshot. Either way a row in
-    ``loads`` makes the result visible, and repeating the step after a crash does nothing twice.
+    Insert-only runs append the new keys. Newer-wins runs write a new snapshot. Either way a record
+    in ``loads`` makes the result visible. A load follows from the loads before it; if another run
+    has published under its number meanwhile, the result is made again after that one.
     """
+    for _ in range(MOST_CONFLICTS):
+        if _load_once(store, run):
+            return
+    raise RuntimeError("other loads were published all the time; the run can be started again")
+
+
+def _load_once(store: TicketStore, run: dict) -> bool:
     run_id = run["run_id"]
     loads, commits = store.loads(), store.commits_of(run_id)
     merged = max((x["through_batch"] for x in loads if x["run_id"] == run_id), default=-1)
     fresh = [c for c in commits if c["batch_id"] > merged]
     if not fresh:
-        return
+        return True
     number = loads[-1]["load_number"] + 1 if loads else 1
     folder = f"tickets/load={number}-{run_id}"
     path = f"{store.root}/{folder}"
     target = store.tickets(loads)
     incoming = accepted_tickets(store, run, [c["batch_id"] for c in fresh if c["total_records"]])
     if run["incremental"]:
+        # A stream may bring a ticket again in a later unit: the newest counts, of equals the first.
+        newest = F.struct("updated_at", -F.col("row_number"))
+        incoming = latest_per_key(incoming, TICKET_KEY, newest).select(*TICKET_SCHEMA.names)
         merge_actions(target, incoming).write.mode("overwrite").parquet(path)
-        counts = load_counts(store.spark.read.parquet(path)).first()
-        loaded, unchanged = counts["loaded_records"], counts["unchanged_records"]
+        loaded = load_counts(store.spark.read.parquet(path)).first()["loaded_records"]
     else:
+        incoming = incoming.select(*TICKET_SCHEMA.names)
         insert_if_absent(target, incoming, TICKET_KEY).write.mode("overwrite").parquet(path)
         loaded = store.spark.read.parquet(path).count()
-        unchanged = sum(c["accepted_records"] for c in fresh) - loaded
-    store.append(
-        "loads",
+    return store.publish(
         load_number=number,
         run_id=run_id,
         through_batch=fresh[-1]["batch_id"],
         folder=folder,
         replaces=run["incremental"],
         loaded_records=loaded,
-        unchanged_records=unchanged,
-        published_at=F.current_timestamp(),
+        unchanged_records=sum(c["accepted_records"] for c in fresh) - loaded,
+        published_at=datetime.now(timezone.utc).isoformat(),
     )
 
 
@@ -195,19 +216,16 @@ def finish_run(store: TicketStore, run: dict, rules: QualityRules) -> None:
     ).parquet(store.path("quality_metrics", run["run_id"]))
 
 
-def stored_summary(store: TicketStore, rules: QualityRules, run_id: str) -> DataFrame:
+def stored_summary(store: TicketStore, run_id: str) -> DataFrame:
     """The one-row summary of a run, detached from the tables it was computed from."""
-    summary = run_summary(store, rules, run_id)
+    summary = run_summary(store, run_id)
     return store.spark.createDataFrame(summary.collect(), summary.schema)
 
 
 def run_summary(
-    store: TicketStore,
-    rules: QualityRules,
-    run_id: str | None = None,
-    threshold: float | None = None,
+    store: TicketStore, run_id: str | None = None, threshold: float | None = None
 ) -> DataFrame:
-    """Identity, counters, scores and gate of one run, or of every run.
+    """Identity, counters, scores and gate of one run, or of every run, by the rules of each.
 
     ``threshold`` judges stored scores by another threshold than the rules'.
     """
@@ -233,9 +251,10 @@ def run_summary(
     )
     counters = [c for c in joined.columns if c.endswith("_records") or c == "missing_values"]
     filled = joined.fillna(0, [*counters, *zero])
+    required = F.json_array_length(F.get_json_object("config_json", "$.required_fields"))
+    own_threshold = F.get_json_object("config_json", "$.quality_threshold")
     scored = quality_gate(
-        dimension_scores(filled, len(rules.required_fields)),
-        rules.quality_threshold if threshold is None else threshold,
+        dimension_scores(filled, required), own_threshold if threshold is None else threshold
     )
     reports = F.concat(F.lit(f"{store.root}/reports/"), F.col("run_id"))
     return scored.select(

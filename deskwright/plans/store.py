@@ -3,13 +3,15 @@
 Every table is a Parquet folder. A unit of work writes all its outputs under its own
 (run_id, batch_id) folders, overwriting what a failed attempt left there, and then writes one commit
 row. Readers use only committed units, so a crash leaves files that nobody reads. One writer per
-run is assumed.
+run is assumed; different runs may load at the same time, since a load number can be created once.
 """
 
 from __future__ import annotations
 
+import json
 from datetime import datetime, timezone
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -75,10 +77,9 @@ class TicketStore:
         schema = T.StructType.fromDDL(SCHEMAS[table])
         nested = table not in ("runs", "lineage", "loads")
         path = self.path(table, run_id if nested else None)
+        reader = self.spark.read.schema(schema).option("basePath", self.path(table))
         try:
-            rows = (
-                self.spark.read.schema(schema).option("basePath", self.path(table)).parquet(path)
-            )
+            rows = reader.json(path) if table == "loads" else reader.parquet(path)
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
@@ -168,6 +169,22 @@ class TicketStore:
         columns = ["load_number", "run_id", "through_batch", "folder", "replaces"]
         return sorted(self.read("loads").select(*columns).collect())
 
+    def publish(self, **load) -> bool:
+        """Create the record of a load, unless its number is taken already."""
+        jvm, configuration = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
+        path = jvm.org.apache.hadoop.fs.Path(
+            f"{self.path('loads')}/load-{load['load_number']:012d}.json"
+        )
+        try:
+            out = path.getFileSystem(configuration).create(path, False)
+        except Py4JJavaError as error:
+            if "AlreadyExists" in error.java_exception.getClass().getName():
+                return False
+            raise
+        out.write(bytearray(json.dumps(load) + "\n", "utf-8"))
+        out.close()
+        return True
+
     def tickets(self, loads: list[Row] | None = None) -> DataFrame:
         """The current tickets: the last full snapshot and the insert-only loads after it."""
         live: list[str] = []

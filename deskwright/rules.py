@@ -54,7 +54,11 @@ class QualityRules:
         if isinstance(values["reference_time"], str):
             values["reference_time"] = datetime.fromisoformat(values["reference_time"])
         for name in ("required_fields", "allowed_statuses", "allowed_priorities"):
+            if isinstance(values[name], str) or not all(isinstance(x, str) for x in values[name]):
+                raise ValueError(f"{name} must be a list of texts")
             values[name] = tuple(values[name])
+        if "quality_threshold" in values:
+            values["quality_threshold"] = float(values["quality_threshold"])
         for name in ("status_mapping", "priority_mapping"):
             values[name] = {k.strip().casefold(): v.strip() for k, v in values[name].items()}
         return cls(**values)

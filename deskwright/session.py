@@ -28,20 +28,26 @@ def build_session(master: str | None = None, app: str = "deskwright", **conf: st
 
 
 SHUFFLE_PARTITION_BYTES = 128 * 1024 * 1024
-MOST_SHUFFLE_PARTITIONS = 50_000
 _INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+_set_here: dict[str, str] = {}
 
 
 def size_shuffles(spark: SparkSession, input_bytes: int) -> None:
     """Start shuffles with partitions that fit in memory for this input, unless it is configured.
 
     Adaptive execution merges small partitions but does not split a plain one, so starting with
-    many is safe and starting with few is not.
+    many is safe and starting with few is not. What an earlier run set here is set anew.
     """
-    if spark.conf.get(_INITIAL_PARTITIONS, None) is None:
-        wanted = min(input_bytes // SHUFFLE_PARTITION_BYTES, MOST_SHUFFLE_PARTITIONS)
-        if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")):
-            spark.conf.set(_INITIAL_PARTITIONS, str(wanted))
+    session = spark.sparkContext.applicationId
+    given = spark.conf.get(_INITIAL_PARTITIONS, None)
+    if given is not None and given != _set_here.get(session):
+        return
+    wanted = input_bytes // SHUFFLE_PARTITION_BYTES
+    if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")):
+        _set_here[session] = str(wanted)
+        spark.conf.set(_INITIAL_PARTITIONS, str(wanted))
+    elif given is not None:
+        spark.conf.unset(_INITIAL_PARTITIONS)
 
 
 @functools.cache

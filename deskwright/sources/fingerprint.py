@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# Files up to this size are hashed whole, one file per row; larger ones are hashed by row.
-WHOLE_FILE_BYTES = 256 * 1024 * 1024
-
+from deskwright.functions import sql
 
 def input_files(spark: SparkSession, path: str) -> DataFrame:
     """Path, size and modification time of every input file, without reading contents."""
@@ -20,60 +19,58 @@ def file_hashes(spark: SparkSession, path: str) -> DataFrame:
     return files.select("path", "length", F.sha2("content", 256).alias("sha256"))
 
 
-def _order_free(hashes: DataFrame) -> DataFrame:
-    """One hash for a bag of 64-bit hash pairs, whatever their order and partitioning."""
-    total = lambda name: F.sum(F.col(name).cast("decimal(38,0)")).cast("string")
-    parts = hashes.agg(F.count("*").alias("n"), total("h1").alias("s1"), total("h2").alias("s2"))
-    return parts.select(
-        F.sha2(F.concat_ws(":", F.col("n").cast("string"), "s1", "s2"), 256).alias("fingerprint")
-    )
+def _summed(digest: Column) -> list[Column]:
+    """The number of rows and two sums of 60-bit parts of a SHA-256, whatever the partitioning."""
+    parts = [
+        F.conv(F.substring(digest, start, 15), 16, 10).cast("decimal(38,0)") for start in (1, 16)
+    ]
+    sums = [F.coalesce(F.sum(p), F.lit(0)).cast("string") for p in parts]
+    return [F.count("*").cast("string"), *sums]
+
+
+def _value_text(name: str, dtype: T.DataType) -> Column:
+    """A value as its length and text, which no other list of values has; null is ``N``."""
+    value = F.col(sql.name(name))
+    text = value.cast("string") if isinstance(dtype, T.AtomicType) else F.to_json(value)
+    return F.coalesce(F.concat(F.char_length(text).cast("string"), F.lit(":"), text), F.lit("N"))
 
 
 def rows_fingerprint(rows: DataFrame) -> DataFrame:
-    """Order-free fingerprint of a table, as one row."""
-    columns = [F.col(f"`{c}`") for c in rows.columns]
-    return _order_free(
-        rows.select(
-            F.xxhash64(*columns).alias("h1"), F.xxhash64(F.lit(1), *columns).alias("h2")
-        )
+    """One row ``fingerprint``: SHA-256 sums over the values of every row, nulls included.
+
+    The order of rows counts where a column gives their places.
+    """
+    texts = [_value_text(f.name, f.dataType) for f in rows.schema.fields]
+    digest = F.sha2(F.concat_ws(",", *texts), 256)
+    parts = rows.select(digest.alias("digest")).agg(
+        F.concat_ws(":", *_summed(F.col("digest"))).alias("parts")
     )
+    return parts.select(F.sha2("parts", 256).alias("fingerprint"))
 
 
-def input_fingerprint(spark: SparkSession, path: str, fmt: str) -> DataFrame:
+def envelope_fingerprint(envelope: DataFrame) -> DataFrame:
+    """Identity of the numbered rows of an export: their values and their order."""
+    if "line" in envelope.columns:
+        return rows_fingerprint(envelope.select("row_number", "line"))
+    names = envelope.schema["data"].dataType.names
+    fields = [F.col(f"data.{sql.name(c)}").alias(f"v{i}") for i, c in enumerate(names)]
+    return rows_fingerprint(
+        envelope.select("row_number", F.lit(",".join(names)).alias("names"), *fields, "read_error")
+    )
+
+
+def input_fingerprint(spark: SparkSession, path: str, envelope: DataFrame) -> DataFrame:
     """One row with ``fingerprint`` and ``input_size_bytes``.
 
-    A single file of moderate size gives the SHA-256 of its bytes. Several files give an order-free
-    combination of theirs, and files too large for one row are fingerprinted by their rows.
+    The identity is that of the rows as they are read, in order: file by file and row by row. It
+    has one definition for any number and size of files.
     """
-    sizes = input_files(spark, path).agg(
-        F.count("*").alias("files"),
-        F.max("length").alias("largest"),
-        F.coalesce(F.sum("length"), F.lit(0)).alias("input_size_bytes"),
-    )
-    shape = sizes.first()
-    if shape["files"] == 0:
-        # Files without content are not listed.
-        found = spark.range(1).select(F.sha2(F.lit(""), 256).alias("fingerprint"))
-    elif shape["largest"] > WHOLE_FILE_BYTES:
-        rows = spark.read.parquet(path) if fmt == "parquet" else spark.read.text(path)
-        found = rows_fingerprint(rows)
-    elif shape["files"] == 1:
-        found = file_hashes(spark, path).select(F.col("sha256").alias("fingerprint"))
-    else:
-        found = _order_free(
-            file_hashes(spark, path).select(
-                F.xxhash64("sha256").alias("h1"), F.xxhash64(F.lit(1), "sha256").alias("h2")
-            )
-        )
-    return found.withColumn("input_size_bytes", F.lit(shape["input_size_bytes"]))
-
-
-def manifest_fingerprint(spark: SparkSession, path: str, fmt: str) -> DataFrame:
+    size = input_files(spark, path).agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+    return envelope_fingerprint(envelope).withColumn("input_size_bytes", F.lit(size))
+
+
+def manifest_fingerprint(spark: SparkSession, path: str) -> DataFrame:
     """Identity by file names, sizes and modification times, without reading contents."""
     files = input_files(spark, path)
-    columns = ["path", "length", "modificationTime"]
-    found = _order_free(
-        files.select(F.xxhash64(*columns).alias("h1"), F.xxhash64(F.lit(1), *columns).alias("h2"))
-    )
-    size = files.agg(F.coalesce(F.sum("length"), F.lit(0)).alias("n")).first()["n"]
-    return found.withColumn("input_size_bytes", F.lit(size))
+    size = files.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+    return rows_fingerprint(files).withColumn("input_size_bytes", F.lit(size))

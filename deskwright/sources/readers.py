@@ -7,6 +7,7 @@ Lines only: the text itself) and ``read_error``.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +18,7 @@ from deskwright.functions import sql
 from deskwright.functions.text import truncate
 from deskwright.sources.formats import detect_format
 from deskwright.sources.numbering import (
+    FILE,
     number_rows,
     pin_split_layout,
     scan_position,
@@ -35,23 +37,70 @@ def csv_columns(spark: SparkSession, path: str, multi_line: bool = True) -> list
     return columns
 
 
+def headers_of(spark: SparkSession, files: list[str]) -> DataFrame:
+    """file and header (the first line with text) of CSV files."""
+    lines = spark.read.text(files).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.struct("_metadata.file_block_start", F.monotonically_increasing_id()).alias("place"),
+        "value",
+    )
+    header = F.min_by("value", F.when(F.trim("value") != "", F.col("place"))).alias("header")
+    return lines.groupBy("file").agg(header)
+
+
 def _from_csv(
-    reader, path: str, columns: list[str], multi_line: bool, stream: bool
+    spark: SparkSession, reader, path: str, columns: list[str], multi_line: bool, stream: bool
 ) -> DataFrame:
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*columns, SURPLUS]])
-    scan = (
-        reader.schema(schema)
-        .option("header", True)
-        .option("multiLine", multi_line)
-        .option("escape", '"')
-        .csv(path)
-    )
-    too_long = F.when(F.col(SURPLUS).isNotNull(), F.lit("row has more fields than the header"))
-    return scan.select(
-        *scan_position(row_index=False, stream=stream),
-        F.struct(*[F.col(sql.name(c)) for c in columns]).alias("data"),
-        too_long.alias("read_error"),
-    )
+    """CSV values by the name in their own file's header; the first file's columns count."""
+
+    def scan(files: str | list[str], names: list[str]) -> DataFrame:
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in [*names, SURPLUS]])
+        rows = (
+            reader.schema(schema)
+            .option("header", True)
+            .option("multiLine", multi_line)
+            .option("escape", '"')
+            .csv(files)
+        )
+        too_long = F.when(F.col(SURPLUS).isNotNull(), F.lit("row has more fields than the header"))
+        values = [F.col(sql.name(c)) if c in names else F.lit(None).cast("string") for c in columns]
+        return rows.select(
+            *scan_position(row_index=False, stream=stream),
+            F.struct(*[v.alias(c) for v, c in zip(values, columns)]).alias("data"),
+            too_long.alias("read_error"),
+        )
+
+    if stream:
+        return scan(path, columns)
+    whole = scan(path, columns)
+    files = whole.inputFiles()
+    if len(files) < 2:
+        return whole
+    headed = headers_of(spark, files).where(F.col("header").isNotNull())
+    groups = headed.groupBy("header").agg(F.collect_list("file").alias("files"))
+    # A row per different header; the files are those of the driver's own listing.
+    found = sorted(groups.collect(), key=lambda r: min(r["files"]))
+    if len(found) < 2:
+        return whole
+    named = [(r["files"], csv_columns(spark, r["files"][0], multi_line)) for r in found]
+    columns = list(dict.fromkeys(name for _, names in named for name in names))
+    return reduce(DataFrame.unionByName, [scan(files, names) for files, names in named])
+
+
+def check_headers(rows: DataFrame) -> None:
+    """Refuse a micro-batch of CSV files whose headers are not the stream's columns in order.
+
+    A stream reads by position, as its files are not known when it starts.
+    """
+    named = rows.select(FILE).where(F.lower(FILE).endswith(".csv")).distinct()
+    files = [r[0] for r in named.collect()]  # at most the files of one trigger
+    if not files:
+        return
+    spark, columns = rows.sparkSession, rows.schema["data"].dataType.names
+    headed = headers_of(spark, files).where(F.col("header").isNotNull())
+    for r in headed.groupBy("header").agg(F.min("file").alias("file")).collect():
+        if csv_columns(spark, r["file"]) != columns:
+            raise ValueError(f"the header of {r['file']} is not that of the stream")
 
 
 def _from_json_lines(reader, path: str, stream: bool) -> DataFrame:
@@ -100,7 +149,7 @@ def scan_export(
     reader = (spark.readStream if stream else spark.read).options(**options)
     if fmt == "csv":
         columns = schema.names if schema else csv_columns(spark, path, multi_line)
-        return _from_csv(reader, path, columns, multi_line, stream)
+        return _from_csv(spark, reader, path, columns, multi_line, stream)
     if fmt == "jsonl":
         return _from_json_lines(reader, path, stream)
     return _from_parquet(reader, path, schema)

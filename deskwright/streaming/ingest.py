@@ -3,7 +3,8 @@
 The file source's checkpoint decides which files form a batch; the store's commit rows decide which
 batches count. A batch that is delivered again after a crash is skipped when it was committed, and
 otherwise redone over its own folders. Late data is never dropped: an old ticket is stale or loses
-to the stored one, so there is no watermark.
+to the stored one, so there is no watermark. In a newer-wins run every micro-batch is an export of
+its own, whose rows update earlier ones; otherwise a ticket of an earlier batch makes a repeat.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from deskwright.plans.store import TicketStore
 from deskwright.rules import QualityRules
 from deskwright.sources.formats import detect_format
 from deskwright.sources.numbering import number_rows
-from deskwright.sources.readers import scan_export
+from deskwright.sources.readers import check_headers, scan_export
 
 
 def ingest_batch(
@@ -33,9 +34,13 @@ def ingest_batch(
     if done and batch_id <= done[-1]["batch_id"]:
         return False
     offset = done[-1]["row_offset"] if done else 0
+    if run["input_format"] == "csv":
+        check_headers(rows)
     envelope = number_rows(rows, first_number=offset + 1)
     staged = stage(store, run, envelope, rules, batch_id)
-    process_unit(store, run, staged, envelope, rules, batch_id, offset, remember_keys=True)
+    # In a newer-wins stream a later micro-batch updates a ticket; within one it is a repeat.
+    remember = not run["incremental"]
+    process_unit(store, run, staged, envelope, rules, batch_id, offset, remember_keys=remember)
     return True
 
 
@@ -107,6 +112,6 @@ def run_stream(
         )
         raise
     store.log_run(run, fixed.COMPLETED, duration_seconds=time.monotonic() - started)
-    summary = stored_summary(store, rules, run_id)
+    summary = stored_summary(store, run_id)
     write_reports(store, summary, run_id)
     return summary

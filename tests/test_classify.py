@@ -43,22 +43,22 @@ CASES = {
     ),
     "bad created": ({"created_at": "yesterday-ish"}, ["schema_validation"]),
     "bad resolved": ({"resolved_at": "soon"}, ["schema_validation"]),
-    "updated before created": ({"updated_at": "2025-12-31T09:59:59Z"}, ["schema_validation"]),
+    "updated before created": ({"updated_at": "2031-07-14T09:59:59Z"}, ["schema_validation"]),
     "resolved before created": (
-        {"status": "done", "resolved_at": "2025-12-31T09:59:59Z"},
+        {"status": "done", "resolved_at": "2031-07-14T09:59:59Z"},
         ["schema_validation"],
     ),
-    "equal times": ({"updated_at": "2025-12-31T10:00:00Z"}, []),
+    "equal times": ({"updated_at": "2031-07-14T10:00:00Z"}, []),
     "no resolution": ({"status": "done"}, ["resolved_timestamp_missing"]),
     "early resolution": (
-        {"resolved_at": "2025-12-31T10:06:00Z"},
+        {"resolved_at": "2031-07-14T10:06:00Z"},
         ["active_ticket_has_resolution"],
     ),
     "stale": (
         {"created_at": "2020-01-01T00:00:00Z", "updated_at": "2020-01-02T00:00:00Z"},
         ["stale_record"],
     ),
-    "future": ({"updated_at": "2027-01-01T00:00:00Z"}, []),
+    "future": ({"updated_at": "2032-01-01T00:00:00Z"}, []),
     "no email": ({"requester_email": ""}, ["required_fields_missing"]),
     "short title": ({"title": "ab"}, ["schema_validation"]),
     "long title": ({"title": "x" * 501}, ["schema_validation"]),
@@ -90,7 +90,7 @@ def test_ticket_is_normalized_and_masked(spark, rules, good):
     assert row["requester_email"] == model.alias("person@example.invalid")
     assert row["description"] == model.mask(good["description"])
     assert row["assignee"] is None and row["resolved_at"] is None
-    assert row["source_system"] == "test-desk"
+    assert row["source_system"] == "north-desk"
 
 
 def test_rejected_row_claims_its_key_but_unparsed_row_does_not(spark, rules, good):
@@ -167,9 +167,9 @@ def test_random_rows_agree_with_the_row_wise_model(spark, rules, good):
         "priority": ["P1", "low", "High", "odd", ""],
         "requester_email": ["A@b.cc", "", None, "ÜSER@x.de"],
         "assignee": ["", "eng", "e@f.gg", None],
-        "created_at": ["2025-12-31T10:00:00Z", "2025-12-31", "20251230", "bad", None],
-        "updated_at": ["2025-12-31T10:05:00Z", "2025-12-31 12:00", "2020-01-01T00:00:00Z", ""],
-        "resolved_at": ["", "2026-01-01T00:00:00+02:00", "bad", None, "2025-12-01"],
+        "created_at": ["2031-07-14T10:00:00Z", "2031-07-14", "20310713", "bad", None],
+        "updated_at": ["2031-07-14T10:05:00Z", "2031-07-14 12:00", "2020-01-01T00:00:00Z", ""],
+        "resolved_at": ["", "2031-07-15T00:00:00+02:00", "bad", None, "2031-06-01"],
         "source_system": ["desk", "", "d", "SD:x"],
     }
     rows = []

@@ -128,3 +128,19 @@ def test_keys_and_formats(spark):
     assert row["k1"] == row["k2"]
     assert row["run"] == keys.run_key_of("h", "c", True, False)
     assert (row["percent"], row["thousands"]) == ("98.05%", "1,234,567")
+
+
+def test_maps_of_any_value_type_hide_sensitive_keys(spark):
+    rows = spark.sql(
+        "SELECT map('phone', 12025550100L, 'count', 3L) AS numbers, "
+        "map('Email', named_struct('at', 'a@b.example'), 'x', named_struct('at', 'c@d.example')) AS nested, "
+        "map('phone', '+1-202-555-0100', 'note', 'ok') AS texts"
+    )
+    masked = [
+        masking.mask_value(F.col(f.name), f.dataType).alias(f.name) for f in rows.schema.fields
+    ]
+    found = json.loads(rows.select(masking.to_payload(F.struct(*masked)).alias("p")).first()["p"])
+    assert found["numbers"] == {"phone": "[REDACTED]", "count": 3}
+    assert found["nested"]["Email"] == model.alias('{"at":"a@b.example"}')
+    assert found["nested"]["x"] == {"at": model.alias("c@d.example")}
+    assert found["texts"] == {"phone": "[REDACTED]", "note": "ok"}

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import dataclasses
 import glob
 import json
 import random
@@ -91,6 +92,81 @@ def test_resume_after_a_failure(spark, rules, tmp_path):
     assert [done[c] for c in COUNTS] == [whole[c] for c in COUNTS]
 
 
+def test_resume_with_other_commit_sizes(spark, rules, tmp_path):
+    """Begun with commits of some size, continued with another and without: all rows are there."""
+    path, root = str(tmp_path / "in.csv"), str(tmp_path / "store")
+    rows = synthetic.synthetic_rows(spark, 9, invalid_rate=0.0, duplicate_rate=0.5)
+    synthetic.write_export(rows.coalesce(1).drop("row_number"), path, "csv")
+    for size in (2, 3):
+        with pytest.raises(Stop):
+            run_export(spark, path, rules, root, commit_rows=size, on_commit=stop_after(1))
+    done = run_export(spark, path, rules, root).first()
+    assert (done["status"], done["total_records"]) == ("COMPLETED", 9)
+    whole = run_export(spark, path, rules, str(tmp_path / "other")).first()
+    assert [done[c] for c in COUNTS] == [whole[c] for c in COUNTS]
+
+
+@pytest.mark.parametrize("incremental", [True, False])
+def test_loads_at_the_same_time(spark, rules, good, tmp_path, monkeypatch, incremental):
+    """Another run publishes between a load's merge and its record: neither is lost or doubled."""
+    root = str(tmp_path / "store")
+    both = {**good, "ticket_id": "SD-2"}
+    first = write_lines(tmp_path / "a.jsonl", [good, both])
+    second = write_lines(tmp_path / "b.jsonl", [both, {**good, "ticket_id": "SD-3"}])
+    publish, inside = TicketStore.publish, []
+
+    def late(store, **load):
+        if not inside:
+            inside.append(True)
+            run_export(spark, second, rules, root, incremental=incremental)
+        return publish(store, **load)
+
+    monkeypatch.setattr(TicketStore, "publish", late)
+    summary = run_export(spark, first, rules, root, incremental=incremental).first()
+    assert (summary["loaded_records"], summary["unchanged_records"]) == (1, 1)
+    stored = TicketStore(spark, root)
+    assert sorted(t["ticket_id"] for t in stored.tickets().collect()) == ["SD-1", "SD-2", "SD-3"]
+    assert [x["load_number"] for x in stored.loads()] == [1, 2]
+
+
+def test_summary_uses_the_rules_of_each_run(spark, rules, good, tmp_path):
+    root = str(tmp_path / "store")
+    path = write_lines(tmp_path / "a.jsonl", [{**good, "title": ""}])
+    fewer = dataclasses.replace(rules, required_fields=("ticket_id", "title"), quality_threshold=0.1)
+    for own in (rules, fewer):
+        run_export(spark, path, own, root, dry_run=True)
+    found = run_summary(TicketStore(spark, root)).orderBy("quality_threshold").collect()
+    assert [r["quality_dimensions"]["completeness"] for r in found] == [0.5, 0.857143]
+    assert [r["quality_threshold"] for r in found] == [0.1, 0.7]
+
+
+def test_stream_updates_tickets(spark, rules, good, tmp_path):
+    """In a newer-wins stream a later file's newer row updates a ticket, an older one does not."""
+    folder, root = tmp_path / "in", str(tmp_path / "store")
+    folder.mkdir()
+    options = dict(name="feed", fmt="jsonl", files_per_batch=1, incremental=True)
+    titles = []
+    for name, minute in (("a", "05"), ("b", "09"), ("c", "07")):
+        row = {**good, "title": f"Title of {name}", "updated_at": f"2031-07-14T10:{minute}:00Z"}
+        write_lines(folder / f"{name}.jsonl", [row])
+        summary = run_stream(spark, str(folder), rules, root, **options).first()
+        titles += [t["title"] for t in TicketStore(spark, root).tickets().collect()]
+    assert titles == ["Title of a", "Title of b", "Title of b"]
+    assert (summary["accepted_records"], summary["duplicate_records"]) == (3, 0)
+    assert (summary["loaded_records"], summary["unchanged_records"]) == (2, 1)
+
+
+def test_stream_refuses_another_header(spark, rules, good, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    columns = list(good)
+    for name, order in (("a", columns), ("b", columns[::-1])):
+        lines = [",".join(order), ",".join(good[c].replace(",", "") for c in order)]
+        (folder / f"{name}.csv").write_text("\n".join(lines) + "\n", encoding="utf-8")
+    with pytest.raises(Exception, match="header"):
+        run_stream(spark, str(folder), rules, str(tmp_path / "store"), name="feed", fmt="csv")
+
+
 def test_dry_run_writes_no_business_tables(spark, rules, good, tmp_path):
     rows = [{**good, "ticket_id": f"SD-{i}"} for i in range(5)] + [{**good, "status": "?"}]
     path, root = write_lines(tmp_path / "in.jsonl", rows), str(tmp_path / "store")
@@ -103,8 +179,8 @@ def test_dry_run_writes_no_business_tables(spark, rules, good, tmp_path):
 
 def test_incremental_load_takes_only_newer_rows(spark, rules, good, tmp_path):
     root = str(tmp_path / "store")
-    newer = {**good, "title": "Newer title", "updated_at": "2026-01-01T11:00:00Z"}
-    older = {**good, "title": "Older title", "updated_at": "2025-12-31T10:01:00Z"}
+    newer = {**good, "title": "Newer title", "updated_at": "2031-07-15T11:00:00Z"}
+    older = {**good, "title": "Older title", "updated_at": "2031-07-14T10:01:00Z"}
     loads = []
     for name, row in (("a", good), ("b", newer), ("c", older)):
         path = write_lines(tmp_path / f"{name}.jsonl", [row])
@@ -113,7 +189,7 @@ def test_incremental_load_takes_only_newer_rows(spark, rules, good, tmp_path):
     assert [r["unchanged_records"] for r in loads] == [0, 0, 1]
     stored = TicketStore(spark, root).tickets()
     assert [t["title"] for t in stored.collect()] == ["Newer title"]
-    since = datetime(2026, 1, 1, tzinfo=timezone.utc)
+    since = datetime(2031, 7, 15, tzinfo=timezone.utc)
     found = listing.find_tickets(stored, "Open", "Critical", since).select("ticket_id")
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(status,Open)" in plan and "title" not in plan
@@ -124,7 +200,7 @@ def test_incremental_load_takes_only_newer_rows(spark, rules, good, tmp_path):
 
 def test_insert_only_load_keeps_existing_rows(spark, rules, good, tmp_path):
     root = str(tmp_path / "store")
-    changed = {**good, "title": "Other title", "updated_at": "2026-01-01T11:00:00Z"}
+    changed = {**good, "title": "Other title", "updated_at": "2031-07-15T11:00:00Z"}
     fresh = {**good, "ticket_id": "SD-2"}
     run_export(spark, write_lines(tmp_path / "a.jsonl", [good]), rules, root)
     second = run_export(
@@ -202,4 +278,4 @@ def test_stream_with_restart_equals_one_pass(spark, tmp_path):
         return sorted((r["row_number"], r["masked_raw"], str(r["violations"])) for r in found.collect())
 
     assert rejected(root) == rejected(other)
-    assert run_summary(store, rules, threshold=1.0).first()["quality_gate_passed"] is False
+    assert run_summary(store, threshold=1.0).first()["quality_gate_passed"] is False

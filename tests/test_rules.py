@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import hashlib
 import json
 from datetime import timedelta
 
@@ -12,21 +13,15 @@ from deskwright.session import scratch_path
 DOCUMENT = {
     "schema_version": 1,
     "batch_size": 1000,
-    "source_system": "service-desk-demo",
-    "reference_time": "2026-01-01T00:00:00Z",
-    "timeliness_days": 90,
-    "quality_threshold": 0.85,
+    "source_system": "harbour-desk",
+    "reference_time": "2026-02-03T04:05:06Z",
+    "timeliness_days": 150,
+    "quality_threshold": 0.9,
     "required_fields": [
-        "ticket_id", "title", "status", "priority", "requester_email", "created_at", "updated_at",
+        "updated_at", "created_at", "requester_email", "priority", "status", "title", "ticket_id",
     ],
-    "status_mapping": {
-        "new": "Open", "open": "Open", "in progress": "In Progress", "pending": "Pending",
-        "resolved": "Resolved", "closed": "Closed",
-    },
-    "priority_mapping": {
-        "low": "Low", "p4": "Low", "medium": "Medium", "p3": "Medium", "high": "High",
-        "p2": "High", "critical": "Critical", "p1": "Critical",
-    },
+    "status_mapping": {"reported": "Open", "being worked on": "In Progress", "over": "Closed"},
+    "priority_mapping": {"whenever": "Low", "soon": "Medium", "at once": "Critical"},
     "allowed_statuses": fixed.STATUSES,
     "allowed_priorities": fixed.PRIORITIES,
 }
@@ -34,8 +29,10 @@ DOCUMENT = {
 
 def test_config_hash_of_a_known_document():
     rules = QualityRules.from_dict(DOCUMENT)
-    assert rules.config_hash == "4a79c6accc7be184dd8005a59106cfc366beb86e0e0f1165b168b3462e8b71cc"
-    assert rules.stale_before == rules.reference_time - timedelta(days=90)
+    text = json.dumps(DOCUMENT, sort_keys=True, separators=(",", ":"))
+    assert rules.config_hash == hashlib.sha256(text.encode()).hexdigest()
+    assert rules.stale_before == rules.reference_time - timedelta(days=150)
+    assert QualityRules.from_dict({**DOCUMENT, "quality_threshold": 1}).quality_threshold == 1.0
 
 
 def test_mapping_keys_are_folded_and_values_trimmed():
@@ -54,6 +51,8 @@ def test_mapping_keys_are_folded_and_values_trimmed():
         {"source_system": "x"},
         {"reference_time": "2026-01-01T00:00:00"},
         {"schema_version": 0},
+        {"required_fields": "title"},
+        {"allowed_statuses": [1, 2]},
     ],
 )
 def test_bad_documents_are_refused(change):

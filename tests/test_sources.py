@@ -99,28 +99,59 @@ def test_offset_and_batches(spark, tmp_path):
     assert [r["count"] for r in sizes.collect()] == [2, 2, 1]
 
 
+def identity(spark, path, fmt):
+    envelope = read_tickets(spark, str(path), fmt)
+    return fingerprint.input_fingerprint(spark, str(path), envelope).first()
+
+
 def test_fingerprints(spark, tmp_path):
     one = tmp_path / "one.csv"
-    one.write_bytes(b"stable\n")
-    found = fingerprint.input_fingerprint(spark, str(one), "csv").first()
-    assert found["fingerprint"] == hashlib.sha256(b"stable\n").hexdigest()
-    assert found["input_size_bytes"] == 7
+    one.write_text("a,b\n1,x\n2,y\n", encoding="utf-8")
+    found = identity(spark, one, "csv")
+    assert found["input_size_bytes"] == 12 and len(found["fingerprint"]) == 64
+    other = tmp_path / "other.csv"
+    other.write_text("a,b\n2,y\n1,x\n", encoding="utf-8")  # the same rows in another order
+    assert identity(spark, other, "csv")["fingerprint"] != found["fingerprint"]
+    other.write_text("a,c\n1,x\n2,y\n", encoding="utf-8")  # another name
+    assert identity(spark, other, "csv")["fingerprint"] != found["fingerprint"]
+    other.write_text("a,b\n1,x\n2,y\n", encoding="utf-8")
+    assert identity(spark, other, "csv")["fingerprint"] == found["fingerprint"]
     rows = spark.range(100).select("id", (F.col("id") % 7).cast("string").alias("x"))
     same = fingerprint.rows_fingerprint(rows.repartition(5)).first()[0]
     assert fingerprint.rows_fingerprint(rows).first()[0] == same
-    other = rows.withColumn("x", F.when(F.col("id") == 3, "y").otherwise(F.col("x")))
-    assert fingerprint.rows_fingerprint(other).first()[0] != same
+    changed = rows.withColumn("x", F.when(F.col("id") == 3, "y").otherwise(F.col("x")))
+    assert fingerprint.rows_fingerprint(changed).first()[0] != same
     with pytest.raises(Exception):
-        fingerprint.input_fingerprint(spark, str(tmp_path / "absent.csv"), "csv")
+        identity(spark, tmp_path / "absent.csv", "csv")
 
 
-def test_large_files_are_fingerprinted_by_row(spark, tmp_path, monkeypatch):
-    path = tmp_path / "in.csv"
-    path.write_text("a\n1\n2\n", encoding="utf-8")
-    whole = fingerprint.input_fingerprint(spark, str(path), "csv").first()[0]
-    monkeypatch.setattr(fingerprint, "WHOLE_FILE_BYTES", 3)
-    by_row = fingerprint.input_fingerprint(spark, str(path), "csv").first()[0]
-    assert by_row != whole and len(by_row) == 64
+def test_fingerprints_see_nulls(spark):
+    schema = "a string, b string"
+    left = spark.createDataFrame([(None, "v"), ("x,1:y", "z")], schema)
+    right = spark.createDataFrame([("v", None), ("x", "1:y,1:z")], schema)
+    found = [fingerprint.rows_fingerprint(f.limit(n)).first()[0] for f in (left, right) for n in (1, 2)]
+    assert len(set(found)) == 4
+
+
+def test_fingerprints_see_the_order_of_files(spark, tmp_path):
+    for name, first, second in (("one", "1", "2"), ("two", "2", "1")):
+        folder = tmp_path / name
+        folder.mkdir()
+        (folder / "a.jsonl").write_text(json.dumps({"id": first}) + "\n", encoding="utf-8")
+        (folder / "b.jsonl").write_text(json.dumps({"id": second}) + "\n", encoding="utf-8")
+    one, two = (identity(spark, tmp_path / n, "jsonl")["fingerprint"] for n in ("one", "two"))
+    assert one != two
+
+
+def test_csv_folder_is_read_by_name(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("ticket_id,title\n1,one\n", encoding="utf-8")
+    (tmp_path / "b.csv").write_text("title,ticket_id,extra\ntwo,2,more\n", encoding="utf-8")
+    (tmp_path / "c.csv").write_text("ticket_id,title\n3,three,surplus\n", encoding="utf-8")
+    rows = read_tickets(spark, str(tmp_path), "csv").orderBy("row_number").collect()
+    assert [tuple(r["data"]) for r in rows] == [
+        ("1", "one", None), ("2", "two", "more"), ("3", "three", None),
+    ]
+    assert [r["read_error"] is None for r in rows] == [True, True, False]
 
 
 def test_synthetic_rows_are_a_function_of_seed_and_index(spark):
@@ -144,8 +175,8 @@ def test_envelope_of_a_numbered_table(spark):
 
 def test_manifest_fingerprint_follows_the_files(spark, tmp_path):
     (tmp_path / "a.csv").write_text("a\n1\n", encoding="utf-8")
-    first = fingerprint.manifest_fingerprint(spark, str(tmp_path), "csv").first()
+    first = fingerprint.manifest_fingerprint(spark, str(tmp_path)).first()
     assert first["input_size_bytes"] == 4
-    assert fingerprint.manifest_fingerprint(spark, str(tmp_path), "csv").first() == first
+    assert fingerprint.manifest_fingerprint(spark, str(tmp_path)).first() == first
     (tmp_path / "b.csv").write_text("a\n2\n", encoding="utf-8")
-    assert fingerprint.manifest_fingerprint(spark, str(tmp_path), "csv").first() != first
+    assert fingerprint.manifest_fingerprint(spark, str(tmp_path)).first() != first
