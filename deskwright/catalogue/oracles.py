@@ -206,14 +206,9 @@ _LATEST = """(SELECT user_id, event_id, ts, value FROM (
   FROM events WHERE {condition}) WHERE n = 1)"""
 _GROUP = "event_type IN ('view', 'click', 'error')"
 
-_READ = "row_number, {id} AS ticket_id, {title} AS title, priority, {resolved} AS resolved_at, {source} AS source_system"
-
-
 def _read(csv: bool) -> str:
-    wrap = (lambda c: f"nullif({c}, '')") if csv else (lambda c: c)
-    return _READ.format(
-        id="ticket_id", title=wrap("title"), resolved=wrap("resolved_at"), source=wrap("source_system")
-    )
+    """All columns as a scan gives them; empty CSV values are null."""
+    return ", ".join(f"nullif({c}, '') AS {c}" if csv else c for c in fixed.EXPORT_COLUMNS)
 
 
 def _summary(
@@ -443,16 +438,29 @@ ORACLES: dict[str, str] = {
         "count(*) AS n_rows, min(row_number) AS first_row, max(row_number) AS last_row FROM tv GROUP BY 1"
     ),
     "offset_skip": _view(f"SELECT row_number, ticket_id FROM tv WHERE row_number > {OFFSET}"),
-    "scan_csv": _view(f"SELECT {_read(csv=True)} FROM tv"),
-    "scan_parquet": _view(f"SELECT {_read(csv=False)} FROM tv"),
+    "scan_csv": _view(f"SELECT row_number, {_read(csv=True)} FROM tv"),
+    "scan_parquet": _view(f"SELECT row_number, {_read(csv=False)} FROM tv"),
     "scan_jsonl_corrupt": _view(
         "SELECT row_number, "
         + ", ".join(
             f"CASE WHEN title = '' OR title LIKE ' %' THEN NULL ELSE {c} END AS {c}"
-            for c in ("ticket_id", "priority", "source_system")
+            for c in fixed.EXPORT_COLUMNS
         )
         + ", title = '' OR title LIKE ' %' AS has_read_error FROM tv"
     ),
+    "scan_csv_folder": _view(f"SELECT {_read(csv=True)} FROM tv"),
+    "scan_jsonl_numbers": _view(
+        "SELECT row_number, CASE WHEN row_number % 3 = 0 THEN CAST(row_number AS VARCHAR) || '.0' "
+        "WHEN row_number % 7 = 0 THEN '' ELSE CAST(row_number AS VARCHAR) END AS ticket_id FROM tv"
+    ),
+    "read_error_rows": _view(
+        "SELECT row_number, 'read_error' AS code, 'validity' AS dimension, "
+        "'line is not valid JSON' AS message FROM tv WHERE row_number % 50 = 0"
+    ),
+    "mask_payload_maps": (
+        "SELECT o_orderkey, '{\"phone\":\"[REDACTED]\",\"count\":' || CAST(o_orderkey AS VARCHAR) "
+        "|| '}' AS masked FROM orders"
+    ),
     "synthetic_tickets": _SYNTHETIC,
     "run_summary_batch": _summary("parquet", extra=_ALL_DIMENSIONS),
     "rerun_idempotent": _summary("parquet", extra=", CAST(1 AS BIGINT) AS loads, CAST(3 AS BIGINT) AS run_events"),

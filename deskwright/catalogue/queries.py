@@ -156,6 +156,19 @@ def mask_payload(spark, folder):
     return rows.select("row_number", masked_payload(rows).alias("masked_raw"))
 
 
+@query
+def mask_payload_maps(spark, folder):
+    """A map of numbers whose sensitive keys are hidden."""
+    orders = numbering.spread(table(spark, folder, "orders"))
+    numbers = F.create_map(
+        F.lit("phone"), F.col("o_custkey"), F.lit("count"), F.col("o_orderkey")
+    ).alias("numbers")
+    rows = orders.select("o_orderkey", numbers)
+    dtype = rows.schema["numbers"].dataType
+    masked = masking.mask_value(F.col("numbers"), dtype)
+    return rows.select("o_orderkey", F.to_json(masked).alias("masked"))
+
+
 @query
 def mask_payload_json(spark, folder):
     """The same payloads as JSON lines of unknown shape."""
@@ -522,7 +535,7 @@ def _written(spark: SparkSession, folder: str, fmt: str) -> str:
     return path
 
 
-_READ_BACK = ["ticket_id", "title", "priority", "resolved_at", "source_system"]
+_READ_BACK = fixed.EXPORT_COLUMNS
 
 
 @query
@@ -554,12 +567,50 @@ def scan_jsonl_corrupt(spark, folder):
         "row_number",
         *[
             F.try_variant_get("data", f"$.{c}", "string").alias(c)
-            for c in ("ticket_id", "priority", "source_system")
+            for c in fixed.EXPORT_COLUMNS
         ],
         F.col("read_error").isNotNull().alias("has_read_error"),
     )
 
 
+@query
+def scan_csv_folder(spark, folder):
+    """A folder of CSV files with their columns in two orders."""
+    path = f"{scratch_path(spark, 'export')}/tickets.csv"
+    view = ticket_view(spark, folder)
+    for half, columns in enumerate((_READ_BACK, _READ_BACK[::-1])):
+        rows = view.where(F.col("row_number") % 2 == half).select(*columns)
+        synthetic.write_export(rows, path, "csv", mode="append")
+    rows = read_tickets(spark, path)
+    return rows.select(*[F.col(f"data.{c}").alias(c) for c in _READ_BACK])
+
+
+@query
+def scan_jsonl_numbers(spark, folder):
+    """Identifiers that are JSON numbers keep their text; zero counts as empty."""
+    plain = F.col("row_number").cast("string")
+    number = F.when(F.col("row_number") % 3 == 0, F.concat(plain, F.lit(".0")))
+    number = number.when(F.col("row_number") % 7 == 0, "0e0").otherwise(plain)
+    line = F.concat(F.lit('{"ticket_id":'), number, F.lit(',"title":"a title"}'))
+    path = f"{scratch_path(spark, 'export')}/tickets.jsonl"
+    in_row_order(spark, folder).select(line.alias("value")).write.text(path)
+    rows = clean_fields(read_tickets(spark, path), VIEW_RULES)
+    return rows.select("row_number", F.col("c_ticket_id").alias("ticket_id"))
+
+
+@query
+def read_error_rows(spark, folder):
+    """What the rules say of lines that cannot be read, with the message."""
+    fields = F.struct(*fixed.EXPORT_COLUMNS)
+    line = F.to_json(fields, {"ignoreNullFields": "false"})
+    damaged = F.when(F.col("row_number") % 50 == 0, F.concat(F.lit("["), line)).otherwise(line)
+    path = f"{scratch_path(spark, 'export')}/tickets.jsonl"
+    in_row_order(spark, folder).select(damaged.alias("value")).write.text(path)
+    rows = classify(read_tickets(spark, path), VIEW_RULES)
+    found = rows.select("row_number", F.explode("violations").alias("v"))
+    return found.where("v.code = 'read_error'").select("row_number", "v.*")
+
+
 @query
 def input_fingerprint(spark, folder):
     files = fingerprint.file_hashes(spark, f"{folder}/*.parquet")

@@ -176,6 +176,17 @@ def envelope_of(rows: DataFrame, row_number: Column | str = "row_number") -> Dat
     )
 
 
+class LineValue(T.VariantType):
+    """Type of a JSON Lines value, with the SQL of a number's text in its line if there is one."""
+
+    def __init__(self, number: str | None):
+        self.number = number
+
+
+# How the schema of a variant names numbers.
+NUMBER_KINDS = "^(BIGINT|DOUBLE|FLOAT|DECIMAL)"
+
+
 def field_reader(envelope: DataFrame) -> Callable[[str], tuple[str, T.DataType]]:
     """Access to a payload field by its exact name: its SQL and type.
 
@@ -195,7 +206,10 @@ def field_reader(envelope: DataFrame) -> Callable[[str], tuple[str, T.DataType]]
     def read_variant(name: str) -> tuple[str, T.DataType]:
         quoted = name.replace("\\", "\\\\").replace('"', '\\"')
         path = sql.text('$["' + quoted + '"]')
-        return f"try_variant_get(data, {path}, 'variant')", T.VariantType()
+        # Numbers keep the text that they have in the line: a variant does not tell 1 from 1.0.
+        plain = "'" not in name and "]" not in name and "\\" not in name
+        number = f"get_json_object(line, {sql.text(chr(36) + '[' + chr(39) + name + chr(39) + ']')})"
+        return f"try_variant_get(data, {path}, 'variant')", LineValue(number if plain else None)
 
     return read_variant
 
@@ -210,6 +224,13 @@ def as_text(x: str, dtype: T.DataType) -> str:
         return f"CASE WHEN {x} <> 0 THEN cast({x} AS STRING) ELSE '' END"
     if isinstance(dtype, T.VariantType):
         given = f"try_variant_get({x}, '$', 'string')"
+        if isinstance(dtype, LineValue) and dtype.number:
+            text = as_text(x, T.VariantType())
+            zero = f"try_cast({dtype.number} AS DOUBLE) = 0"
+            return (
+                f"CASE WHEN rlike(schema_of_variant({x}), '{NUMBER_KINDS}') "
+                f"THEN CASE WHEN {zero} THEN '' ELSE {dtype.number} END ELSE {text} END"
+            )
         return (
             f"CASE WHEN {given} IN ('0', 'true', 'false', '[]', '{{}}') "
             f"AND schema_of_variant({x}) <> 'STRING' "
