@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from deskwright import fixed
 from deskwright.functions import masking, sql
 from deskwright.functions.keys import ticket_identity
-from deskwright.operators.repeats import flag_repeats
+from deskwright.operators.repeats import first_rows, repeated_rows
 from deskwright.rules import QualityRules
 from deskwright.session import scratch_path
 from deskwright.sources.readers import as_text, as_time_text, field_reader, raw_line_payload
@@ -215,18 +215,21 @@ def evaluate(envelope: DataFrame, rules: QualityRules) -> DataFrame:
     )
 
 
-def masked_payload(frame: DataFrame, mask_lists: bool = True) -> Column:
-    """Masked JSON text of a row's payload."""
+def masked_payload(
+    frame: DataFrame, mask_lists: bool = True, only: Column | None = None
+) -> Column:
+    """Masked JSON text of a row's payload; null where ``only`` is given and not true."""
+    only = F.lit(True) if only is None else only
     dtype = frame.schema["data"].dataType
     if isinstance(dtype, T.StructType):
         read = F.col("data").getField
-        return masking.to_payload(masking.mask_struct(read, dtype, mask_lists))
+        return F.when(only, masking.to_payload(masking.mask_struct(read, dtype, mask_lists)))
     unread = masking.mask_struct(
         raw_line_payload(F.col("line")).getField, T.StructType([T.StructField("raw", T.StringType())])
     )
-    readable_line = F.when(F.col("read_error").isNull(), F.col("line"))
+    readable_line = F.when(only & F.col("read_error").isNull(), F.col("line"))
     return F.coalesce(
-        masking.mask_json(mask_lists)(readable_line), masking.to_payload(unread)
+        masking.mask_json(mask_lists)(readable_line), F.when(only, masking.to_payload(unread))
     )
 
 
@@ -266,9 +269,24 @@ def stage_evaluated(
 
 
 def flag_staged(staged: DataFrame) -> DataFrame:
-    """Duplicate flag, full violation list and acceptance of stored evaluated rows."""
-    flagged = flag_repeats(staged, identity_of(staged), claims=F.col("ticket_ok"))
-    return add_repeat_verdict(flagged)
+    """Duplicate flag, full violation list and acceptance of stored evaluated rows.
+
+    The repeats are written first: usually few, and joined by their true size.
+    """
+    claims, spark = F.col("ticket_ok"), staged.sparkSession
+    firsts = first_rows(staged, identity_of(staged), claims=claims)
+    path = scratch_path(spark, "repeats")
+    repeated_rows(staged.where(claims), firsts).write.parquet(path)
+    return with_repeats(staged, spark.read.parquet(path))
+
+
+def with_repeats(staged: DataFrame, repeats: DataFrame) -> DataFrame:
+    """Verdicts of evaluated rows, given the row numbers of the repeats."""
+    marked = repeats.select("row_number", F.lit(True).alias("_repeat"))
+    flagged = staged.join(marked, "row_number", "left").withColumn(
+        "duplicate", F.coalesce("_repeat", F.lit(False))
+    )
+    return add_repeat_verdict(flagged.drop("_repeat"))
 
 
 def classify(

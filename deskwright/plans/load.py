@@ -11,10 +11,11 @@ from pyspark.sql import functions as F
 from deskwright import fixed
 from deskwright.functions.keys import run_key_of, ticket_key
 from deskwright.operators.classify import (
-    add_repeat_verdict,
+    STAGE_COLUMNS,
+    evaluate,
     identity_of,
     masked_payload,
-    stage_evaluated,
+    with_repeats,
 )
 from deskwright.operators.merge import (
     TICKET_KEY,
@@ -35,6 +36,10 @@ from deskwright.operators.scoring import (
 from deskwright.plans.store import TICKET_SCHEMA, TicketStore
 from deskwright.rules import QualityRules
 
+# Rows rejected as repeats whose numbers and violations are broadcast; about 200 MB. Beyond that
+# they are joined by row number.
+BROADCAST_REPEATS = 1_000_000
+
 
 def describe_run(
     rules: QualityRules,
@@ -62,8 +67,20 @@ def describe_run(
 def stage(
     store: TicketStore, run: dict, envelope: DataFrame, rules: QualityRules, batch_id: int
 ) -> DataFrame:
-    """Evaluate the rows of a unit once and keep the masked result; raw values are never stored."""
-    return stage_evaluated(envelope, rules, store.path("stage", run["run_id"], batch_id))
+    """Evaluate the rows of a unit once and keep the masked result; raw values are never stored.
+
+    Rows that are rejected whatever the repeats are get their masked payload in the same pass.
+    """
+    path = store.path("stage", run["run_id"], batch_id)
+    evaluated = evaluate(envelope, rules)
+    refused = ~F.coalesce(
+        F.col("ticket_ok") & ~F.col("invalid") & ~F.col("inconsistent"), F.lit(False)
+    )
+    only = F.lit(False) if run["dry_run"] else refused
+    evaluated.select(
+        *STAGE_COLUMNS, masked_payload(evaluated, only=only).alias("masked_raw")
+    ).write.mode("overwrite").parquet(path)
+    return store.spark.read.parquet(path)
 
 
 def process_unit(
@@ -102,22 +119,23 @@ def process_unit(
     repeats_path = store.write_unit(
         repeated_rows(staged.where(claims), firsts), "repeats", run_id, batch_id
     )
-    repeats = store.spark.read.parquet(repeats_path).withColumn("_repeat", F.lit(True))
-    flagged = staged.join(repeats, "row_number", "left").withColumn(
-        "duplicate", F.coalesce("_repeat", F.lit(False))
-    )
-    judged = add_repeat_verdict(flagged)
+    judged = with_repeats(staged, store.spark.read.parquet(repeats_path))
     if not run["dry_run"]:
-        rejected = judged.where("NOT accepted").select("row_number", "violations")
+        rejected = judged.where("NOT accepted").select("row_number", "masked_raw", "violations")
         rejected_path = store.write_unit(rejected, "rejected", run_id, batch_id, sparse=True)
-        payload = envelope.join(store.spark.read.parquet(rejected_path), "row_number")
+        rejected = store.spark.read.parquet(rejected_path)
+        # Rows rejected as repeats only fetch their source now.
+        bare = rejected.where("masked_raw IS NULL").select("row_number", "violations")
+        known = rejected.where("masked_raw IS NOT NULL")
+        if bare.limit(BROADCAST_REPEATS + 1).count() <= BROADCAST_REPEATS:
+            bare = F.broadcast(bare)
+        fetched = envelope.join(bare, "row_number")
+        fetched = fetched.select(
+            "row_number", masked_payload(fetched).alias("masked_raw"), "violations"
+        )
+        quarantined = known.unionByName(fetched)
         store.write_unit(
-            payload.select(
-                "row_number",
-                masked_payload(payload).alias("masked_raw"),
-                "violations",
-                F.current_timestamp().alias("quarantined_at"),
-            ),
+            quarantined.withColumn("quarantined_at", F.current_timestamp()),
             "quarantine",
             run_id,
             batch_id,

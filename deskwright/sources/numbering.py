@@ -14,6 +14,7 @@ from deskwright.session import scratch_path
 
 # Columns a reader adds so that rows can be numbered.
 FILE, BLOCK, POSITION = "_file", "_block", "_position"
+BROADCAST_SPLITS = 500_000  # about 100 MB
 _MINIMUM_SPLITS = "spark.sql.files.minPartitionNum"
 
 
@@ -75,8 +76,8 @@ def split_starts(scan: DataFrame) -> DataFrame:
 def number_rows(scan: DataFrame, first_number: int = 1, single_file: bool = False) -> DataFrame:
     """Replace the position columns by a dense ``row_number`` starting at ``first_number``.
 
-    The split starts are written out first, so the planner knows their true size and broadcasts
-    them only when they are small; otherwise rows join by split, whose size is bounded.
+    The split starts are written out first. Up to BROADCAST_SPLITS of them are broadcast, so that
+    rows are not moved; beyond that rows join by split (for Parquet and multi-line CSV, by file).
     ``single_file`` says that positions are already row indexes of one file.
     """
     if single_file:
@@ -88,6 +89,8 @@ def number_rows(scan: DataFrame, first_number: int = 1, single_file: bool = Fals
     path = scratch_path(spark, "splits")
     split_starts(scan).write.parquet(path)
     starts = spark.read.parquet(path)
+    if starts.count() <= BROADCAST_SPLITS:
+        starts = F.broadcast(starts)
     number = F.col("_start") + F.col(POSITION) - F.col("_first") + F.lit(first_number)
     checked = F.when(F.col("_start").isNotNull(), number).otherwise(
         F.raise_error(F.lit("input files changed while rows were numbered")).cast("long")

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 
 from deskwright.sources import fingerprint, synthetic
 from deskwright.sources.formats import detect_format, format_of
-from deskwright.sources.numbering import batch_index, skip_rows
-from deskwright.sources.readers import envelope_of, read_tickets
+from deskwright.sources.numbering import batch_index, number_rows, skip_rows
+from deskwright.sources.readers import envelope_of, read_tickets, scan_export
 
 
 @pytest.mark.parametrize(
@@ -180,3 +180,16 @@ def test_manifest_fingerprint_follows_the_files(spark, tmp_path):
     assert fingerprint.manifest_fingerprint(spark, str(tmp_path)).first() == first
     (tmp_path / "b.csv").write_text("a\n2\n", encoding="utf-8")
     assert fingerprint.manifest_fingerprint(spark, str(tmp_path)).first() != first
+
+
+def test_numbering_does_not_move_rows(spark, tmp_path):
+    (tmp_path / "in.jsonl").write_text('{"id":1}\n{"id":2}\n', encoding="utf-8")
+    limit = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(limit)
+    spark.conf.set(limit, "-1")
+    try:
+        rows = number_rows(scan_export(spark, str(tmp_path / "in.jsonl")))
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(limit, before)
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
