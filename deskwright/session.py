@@ -55,15 +55,39 @@ def _local_scratch() -> str:
     return tempfile.mkdtemp(prefix="deskwright-")
 
 
+@functools.cache
+def _session_folder(base: str, application: str) -> str:
+    return f"{base}/deskwright/{application}-{uuid.uuid4().hex}"
+
+
+_registered: set[str] = set()
+
+
+def _delete_at_end(spark: SparkSession, folder: str) -> None:
+    """Have the folder deleted when the driver ends in order."""
+    jvm = getattr(spark, "_jvm", None)
+    if jvm is None or folder in _registered:
+        return
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    system.mkdirs(path)
+    system.deleteOnExit(path)
+    _registered.add(folder)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new folder name under the shared folder that the cluster names.
+    """A new folder name under the shared folder that the cluster names, for this session only.
 
     ``spark.checkpoint.dir`` is read from the session. Only a local session may fall back to a
-    temporary folder; on a cluster the executors would not see it.
+    temporary folder; on a cluster the executors would not see it. What is written there is
+    deleted when the driver ends.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         base = _local_scratch()
-    return f"{base.rstrip('/')}/deskwright/{name}-{uuid.uuid4().hex}"
+    application = getattr(spark.sparkContext, "applicationId", "session")
+    folder = _session_folder(base.rstrip("/"), application)
+    _delete_at_end(spark, folder)
+    return f"{folder}/{name}-{uuid.uuid4().hex}"

@@ -80,9 +80,8 @@ class FakeSession:
 
 
 def test_scratch_folder_is_the_shared_one():
-    assert scratch_path(FakeSession("yarn", "s3a://shared/"), "x").startswith(
-        "s3a://shared/deskwright/x-"
-    )
+    found = scratch_path(FakeSession("yarn", "s3a://shared/"), "x")
+    assert found.startswith("s3a://shared/deskwright/session-") and "/x-" in found
     assert "deskwright" in scratch_path(FakeSession("local[2]"), "x")
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         scratch_path(FakeSession("yarn"), "x")
