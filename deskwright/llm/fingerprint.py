@@ -3,8 +3,8 @@
 Every three successive bytes of the UTF-8 text hash into one of BUCKETS counters. The quartiles of a
 document's own counters turn each counter into a code from 0 to 3; the fingerprint is the logarithm
 of the length (one byte) and the codes (four to a byte), as hexadecimal text. The difference of two
-fingerprints is the sum of their codes' differences, against the most it could be, plus a bounded term for
-the lengths; likeness is one minus that, at least 0.
+fingerprints is the sum of their codes' differences, against the most it could be, plus a bounded
+term for the lengths; likeness is one minus that, at least 0.
 
 ``with_next`` pairs each document with the next by id. Ids are cut into ranges at quantiles; ranges
 are sorted in tasks, and the first document of a range is also sent to the range before, so that
@@ -129,7 +129,8 @@ def in_id_order(spark: SparkSession, docs: DataFrame) -> DataFrame:
     )
     keys = rows.select("key")
     fractions = [i / ranges for i in range(1, ranges)]
-    cuts = sorted(set(keys.agg(F.percentile_approx("key", fractions, 100 * ranges)).first()[0] or []))
+    quantiles = keys.agg(F.percentile_approx("key", fractions, 100 * ranges)).first()[0]
+    cuts = sorted(set(quantiles or []))
     part = _range_of(F.col("key"), cuts)
     # One row per range, whose number follows from the configuration.
     first = sorted(keys.groupBy(part.alias("part")).agg(F.min("key").alias("first")).collect())
@@ -140,9 +141,10 @@ def in_id_order(spark: SparkSession, docs: DataFrame) -> DataFrame:
     here = F.struct(F.col("part"), F.lit(False).alias("ahead"))
     there = F.struct(F.get(F.lit(before), F.col("part")).alias("part"), F.lit(True).alias("ahead"))
     is_first = F.col("key") == F.get(F.lit(firsts), F.col("part"))
+    targets = F.when(is_first, F.array(here, there)).otherwise(F.array(here))
     return (
         rows.withColumn("part", part)
-        .withColumn("to", F.explode(F.when(is_first, F.array(here, there)).otherwise(F.array(here))))
+        .withColumn("to", F.explode(targets))
         .select("doc_id", "text", "key", "to.part", "to.ahead")
         .repartition("part")
         .sortWithinPartitions("part", "ahead", "key", "text")

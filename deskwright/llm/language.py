@@ -1,13 +1,14 @@
 """Language of a text: known words first, then shorter and shorter character n-grams.
 
 For every language the logarithm of a word's share among the language's words is looked up. A word
-outside the vocabulary is spelled with its ends marked, and scored by the mean over its character n-grams
-of the longest length of which it has a known one. A text's language has the highest mean over words.
+outside the vocabulary is spelled with its ends marked, and scored by the mean over its character
+n-grams of the longest length of which it has a known one. A text's language has the highest mean
+over its words.
 
 The models are fitted on a documented, bounded sample: documents of a language enter with the
-probability that makes ``sample_docs`` of them expected, decided by a hash of the id; and the ``vocabulary``
-most frequent words and ``ngrams`` most frequent n-grams of each length are kept. Every document is
-scored over its whole text.
+probability that makes ``sample_docs`` of them expected, decided by a hash of the id; the
+``vocabulary`` most frequent words and ``ngrams`` most frequent n-grams of each length are kept.
+Every document is scored over its whole text.
 
 Defined results: null text, and text without a letter, is ``und`` with score 0; a training table
 without a language gives ``und`` for all; rows with a null language are not learned from; repeated

@@ -109,7 +109,7 @@ def budgets(spark: SparkSession, rows: DataFrame, entropy: float, most_repeats:
 
 
 def _last_epoch(spark: SparkSession, rows: DataFrame) -> DataFrame:
-    """source, block and the last ``order_hash`` that the last epoch takes of each block it takes."""
+    """source, block and the last ``order_hash`` that the last epoch takes of each of its blocks."""
     blocks = (
         rows.groupBy("source", "block")
         .agg(F.sum("n_tokens").alias("n"), F.first("rest").alias("rest"))
