@@ -1,21 +1,21 @@
 """Near-duplicates by a chosen-path set similarity join.
 
 A document's set are its distinct shingles of five words. Documents with equal sets are one class,
-which enters once. Every tree branches the classes: a class goes to the child named by its smallest shingle
-under the hash of tree and level, so that two classes share a child with a chance equal to their
-similarity. Small nodes are compared exhaustively. Members of larger nodes are compared with a few
-pivots of the node and branched further. Pairs that are compared are confirmed on the full sets.
+which enters once. Every tree branches the classes: a class goes to the child named by its smallest
+shingle under the hash of tree and level, so that two classes share a child with a chance equal to
+their similarity. Small nodes are compared exhaustively. Larger nodes are branched further, and
+their members compared with pivots of the node. Compared pairs are confirmed on the full sets.
 
 Shingles that very many documents share, found by probing every document, make large nodes. A
 document that has such also enters by its smallest other shingles.
 
 Trees come in rounds. After a round, linked classes are components, and later rounds look only at
 pairs of different components, so that a large group of near copies costs its size and not its
-square. With ``trees`` trees a pair of similarity s that shares d levels on its way to a small node is missed with
-chance (1 - s**d) ** trees; at s = 0.85 and 12 trees this is 1e-10 for one level, 2e-7 for two.
+square. A pair of similarity s that shares d levels on its way to a small node is missed by all
+trees with chance (1 - s**d) ** trees: at s = 0.85 and 12 trees 1e-10 for one level, 2e-7 for two.
 
-Hot nodes and hot classes are counted by partial aggregation, and rows meet their counts in joins that
-adaptive execution may split. Sets are read again only for classes that are compared.
+Hot nodes and hot classes are counted by partial aggregation, and rows meet their counts in joins
+that adaptive execution may split. Sets are read again only for classes that are compared.
 
 Defined results: null texts and texts without words have an empty set and no links; a text of fewer
 words than a shingle has one shingle; components take the smallest id, a null id only where there
@@ -46,7 +46,7 @@ PIVOTS = 2  # the member linked to most pivots, and the pivot linked to most mem
 PROBES = 8  # shingles of each document that are counted to find common ones
 COMMON_FROM = 30  # times that a common shingle is seen among the probes
 MOST_COMMON = 100_000
-RARE_TOKENS = 32  # of a document with common shingles that enter as paths of their own
+RARE_TOKENS = 16  # of a document with common shingles that enter as paths of their own
 RARE_SHARE = 0.95  # documents with a larger share of uncommon shingles need no such paths
 SMALLEST_ID = -(1 << 63)
 
@@ -261,22 +261,44 @@ def _pair(x: str, y: str) -> list[Column]:
     return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
 
+def _pivot_pairs(members: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """a, b and pivot for members of large nodes and the pivots they are probably similar to."""
+    tokens = classes.select("class", "tokens")
+    pivots = (
+        members.groupBy("path")
+        .agg(F.first("pivots").alias("pivots"))
+        .select("path", F.explode("pivots").alias("p"))
+        .select("path", "p.class", "p.root")
+        .join(tokens, "class")
+        .groupBy("path")
+        .agg(F.collect_set(F.struct("class", "root", "tokens")).alias("pivots"))
+    )
+    near = F.filter(
+        "pivots",
+        lambda p: (p["root"] != F.col("root")) & _alike(p["tokens"], F.col("tokens"), percent),
+    )
+    met = members.drop("pivots").join(tokens, "class").join(pivots, "path")
+    met = met.select("class", F.explode(F.transform(near, lambda p: p["class"])).alias("pivot"))
+    return met.select(*_pair("class", "pivot"), "pivot")
+
+
 def candidates(
-    spark: SparkSession, classes: DataFrame, trees: range, with_rare: bool
+    spark: SparkSession, classes: DataFrame, trees: range, last_round: bool, percent: int
 ) -> DataFrame:
-    """Pairs of classes of different components that meet in a node, each once, and the pivot if any.
+    """a, b of classes of different components that meet in a node, each once; the pivot if any.
 
-    ``classes(class, root, links, pivot_links, tokens, rare)``; root is the component so far. In a node with few
-    classes outside its largest component these are compared with all members; any two members of
-    different components are among such pairs. Other nodes branch: a member goes on to the child
+    ``classes(class, root, links, pivot_links, tokens, rare)``; root is the component so far. In a
+    node with few classes outside its largest component these are compared with all members; any
+    two members of different components are among such pairs. Other nodes branch: a member goes on to the child
     of its next token, and from nodes of a single token also to the node of the next token alone,
-    as the token that makes the node large may come from a passage that many texts share. Pivots
-    are met in the first and the last nodes. They are the member that was linked to most earlier
-    pivots and the earlier pivot that was linked to most members, since the centre of a group of
-    near copies is similar to many that are not similar to each other.
+    as the token that makes the node large may come from a passage that many texts share. In the
+    last nodes, and in the first nodes of every other tree, members also meet pivots if their
+    tokens agree as similar sets would: the member that was linked to most earlier pivots and the
+    earlier pivot that was linked to most members, since the centre of a group of near copies is
+    similar to many that are not to each other.
     """
     frame, found = _paths(classes, trees), []
-    if with_rare:
+    if last_round:
         frame = frame.unionByName(_rare_paths(classes))
     for level in range(1, LEVELS + 1):
         met = stored(spark, frame.join(_nodes(frame), "path"), "near-nodes")
@@ -293,24 +315,20 @@ def candidates(
         apart = met_outside.where(once & (F.col("other.root") != F.col("root")))
         no_pivot = F.lit(None).cast("binary").alias("pivot")
         found.append(apart.select(*_pair("class", "other.class"), no_pivot))
-        if level in (1, LEVELS):
-            others = F.filter("pivots", lambda p: p["root"] != F.col("root"))
-            first_or_last = F.lit(level == 1) | ~F.col("alone")
-            met_pivot = many.where(first_or_last).select("class", F.explode(others).alias("other"))
-            pivot = F.col("other.class").alias("pivot")
-            found.append(met_pivot.select(*_pair("class", "other.class"), pivot))
+        if level == 1:
+            found.append(_pivot_pairs(many.where("tree % 2 = 0"), classes, percent))
+        if level == LEVELS:
+            found.append(_pivot_pairs(many.where(~F.col("alone")), classes, percent))
         if level == LEVELS or many.isEmpty():
             break
         token = F.get("rest", F.lit(level - 1))
-        below = many.select(
-            *SAME, F.xxhash64("path", token).alias("path"), F.lit(False).alias("alone"), "tree", "rest"
-        )
-        beside = many.where("alone").select(
-            *SAME, F.xxhash64("tree", F.lit(level), token).alias("path"), "alone", "tree", "rest"
-        )
+        longer = F.xxhash64("path", token).alias("path")
+        single = F.xxhash64("tree", F.lit(level), token).alias("path")
+        below = many.select(*SAME, longer, F.lit(False).alias("alone"), "tree", "rest")
+        beside = many.where("alone").select(*SAME, single, "alone", "tree", "rest")
         frame = below.unionByName(beside)
-    pairs = reduce(DataFrame.unionByName, found).groupBy("a", "b").agg(F.max("pivot").alias("pivot"))
-    return stored(spark, pairs, "near-pairs")
+    pairs = reduce(DataFrame.unionByName, found).groupBy("a", "b")
+    return stored(spark, pairs.agg(F.max("pivot").alias("pivot")), "near-pairs")
 
 
 def _alike(a: Column, b: Column, percent: int) -> Column:
@@ -391,7 +409,7 @@ def document_components(spark: SparkSession, docs: DataFrame, percent: int) -> D
     found, start = None, 0
     for trees in ROUNDS:
         last = start + trees == TREES
-        pairs = candidates(spark, known, range(start, start + trees), with_rare=last)
+        pairs = candidates(spark, known, range(start, start + trees), last, percent)
         links = stored(spark, confirmed(spark, docs, classes, pairs, percent), "near-links")
         edges = links.select("a", "b")
         edges = edges if found is None else found.unionByName(edges)
