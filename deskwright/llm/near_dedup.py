@@ -6,8 +6,9 @@ shingle under the hash of tree and level, so that two classes share a child with
 their similarity. Small nodes are compared exhaustively. Larger nodes are branched further, and
 their members compared with pivots of the node. Compared pairs are confirmed on the full sets.
 
-Shingles that very many documents share, found by probing every document, make large nodes. A
-document that has such also enters by its smallest other shingles.
+Every document also enters by its rarest shingles, as many as any similar document must share one
+of (its prefix). Rarity is the number of documents that repeat a shingle, counted in buckets over
+all shingles of all documents; another order would cost more comparisons and lose no pair.
 
 Trees come in rounds. After a round, linked classes are components, and later rounds look only at
 pairs of different components, so that a large group of near copies costs its size and not its
@@ -43,11 +44,7 @@ ROUNDS = (4, 8)  # trees of each round
 LEVELS = 4
 OUTSIDE = 12  # classes outside the largest component of a node that is compared exhaustively
 PIVOTS = 2  # the member linked to most pivots, and the pivot linked to most members
-PROBES = 8  # shingles of each document that are counted to find common ones
-COMMON_FROM = 30  # times that a common shingle is seen among the probes
-MOST_COMMON = 100_000
-RARE_TOKENS = 16  # of a document with common shingles that enter as paths of their own
-RARE_SHARE = 0.95  # documents with a larger share of uncommon shingles need no such paths
+FREQUENCY_BITS = 22  # the logarithm of the number of buckets in which shingles are counted
 SMALLEST_ID = -(1 << 63)
 
 SAME = ["class", "root", "links", "pivot_links"]
@@ -115,51 +112,53 @@ def smallest(shingles: np.ndarray) -> np.ndarray:
     return (found >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
 
-def common_shingles(spark: SparkSession, docs: DataFrame) -> np.ndarray:
-    """Sorted shingles that very many documents share, from a few probes of every document.
+def _bucket(shingles: np.ndarray) -> np.ndarray:
+    return (shingles >> np.uint64(64 - FREQUENCY_BITS)).astype(np.int64)
 
-    They only steer which tokens are branched by; the array is bounded by MOST_COMMON.
+
+def frequencies(spark: SparkSession, docs: DataFrame) -> np.ndarray:
+    """About how many documents repeat the shingles of each bucket.
+
+    All shingles are counted that several documents of a batch have; the others are rare. Counts
+    only order shingles, and the array has the same size for every input.
     """
 
     def make():
         shingles_of = Shingles()
-        addends, multipliers = _ADDENDS[:PROBES], _MULTIPLIERS[:PROBES]
 
         def work(columns):
-            probes = []
-            for text in columns["text"]:
-                own = shingles_of(text)
-                if len(own):
-                    probes.append(own[((own[:, None] + addends) * multipliers).argmin(axis=0)])
-            found = np.concatenate(probes) if probes else np.zeros(0, np.uint64)
-            shingles, times = np.unique(found, return_counts=True)
-            return {"shingle": shingles.view(np.int64), "times": times}
+            sets = [shingles_of(text) for text in columns["text"]]
+            shingles, times = np.unique(np.concatenate(sets), return_counts=True)
+            often = times > 1
+            buckets, at = np.unique(_bucket(shingles[often]), return_inverse=True)
+            return {"bucket": buckets, "times": np.bincount(at, times[often], len(buckets))}
 
         return work
 
-    found = map_columns(docs.select("text"), make, "shingle long, times long", rows=4096)
-    counted = found.groupBy("shingle").agg(F.sum("times").alias("times"))
-    counted = counted.where(F.col("times") >= COMMON_FROM)
-    most = counted.orderBy(F.desc("times"), "shingle").limit(MOST_COMMON).toArrow()
-    return np.sort(most.column("shingle").to_numpy().view(np.uint64))
+    found = map_columns(docs.select("text"), make, "bucket int, times double", rows=4096)
+    summed = found.groupBy("bucket").agg(F.sum("times").cast("long").alias("times")).toArrow()
+    counts = np.zeros(1 << FREQUENCY_BITS, np.int64)
+    counts[summed.column("bucket").to_numpy()] = summed.column("times").to_numpy()
+    return counts
 
 
-def rare_tokens(shingles: np.ndarray, common: np.ndarray) -> np.ndarray:
-    """The smallest uncommon shingles of a document that has common ones, as 32 bits."""
-    at = np.minimum(np.searchsorted(common, shingles), max(len(common) - 1, 0))
-    rare = shingles[common[at] != shingles] if len(common) else shingles
-    if len(rare) > RARE_SHARE * len(shingles):
-        return np.zeros(0, np.int32)
-    ordered = np.sort(rare * _MULTIPLIERS[-1])[:RARE_TOKENS]
-    return (ordered >> np.uint64(32)).astype(np.uint32).view(np.int32)
+def prefix(shingles: np.ndarray, counts: np.ndarray, percent: int) -> np.ndarray:
+    """The rarest shingles as 32 bits, rarest first: two similar sets share one of them.
+
+    Similar sets share ``percent`` of either, so one of any more than the rest is shared.
+    """
+    n = len(shingles)
+    size = n - (percent * n + 99) // 100 + 1 if n else 0
+    rarest = shingles[np.argsort(counts[_bucket(shingles)], kind="stable")[:size]]
+    return (rarest * _MULTIPLIERS[-1] >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
 
-def sketch(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """doc_id, text_hash, class (null for an empty set), n_shingles, tokens and rare tokens."""
-    shared = spark.sparkContext.broadcast(common_shingles(spark, docs))
+def sketch(spark: SparkSession, docs: DataFrame, percent: int) -> DataFrame:
+    """doc_id, text_hash, class (null for an empty set), n_shingles, tokens and prefix."""
+    shared = spark.sparkContext.broadcast(frequencies(spark, docs))
 
     def make():
-        shingles_of, common = Shingles(), shared.value
+        shingles_of, counts = Shingles(), shared.value
 
         def work(columns):
             sets = [shingles_of(t) for t in columns["text"]]
@@ -173,7 +172,7 @@ def sketch(spark: SparkSession, docs: DataFrame) -> DataFrame:
                 "tokens": pa.ListArray.from_arrays(
                     np.arange(0, len(tokens) + 1, width, dtype=np.int32), tokens
                 ),
-                "rare": [rare_tokens(s, common) for s in sets],
+                "prefix": [prefix(s, counts, percent) for s in sets],
             }
 
         return work
@@ -185,7 +184,7 @@ def sketch(spark: SparkSession, docs: DataFrame) -> DataFrame:
         rows,
         make,
         "doc_id long, text_hash long, class binary, n_shingles long, tokens array<int>, "
-        "rare array<int>",
+        "prefix array<int>",
     )
 
 
@@ -207,12 +206,12 @@ def _paths(classes: DataFrame, trees: range) -> DataFrame:
     )
 
 
-def _rare_paths(classes: DataFrame) -> DataFrame:
-    """The same for paths that begin with an uncommon shingle."""
-    rows = classes.select(*SAME, "tokens", F.explode("rare").alias("token"))
+def _prefix_paths(classes: DataFrame) -> DataFrame:
+    """The same for paths that begin with a shingle of the prefix."""
+    rows = classes.select(*SAME, "tokens", F.explode("prefix").alias("token"))
     return rows.select(
         *SAME,
-        F.xxhash64(F.lit("rare"), "token").alias("path"),
+        F.xxhash64(F.lit("prefix"), "token").alias("path"),
         F.lit(False).alias("alone"),
         F.lit(TREES).alias("tree"),
         F.slice("tokens", 1, LEVELS - 1).alias("rest"),
@@ -287,7 +286,7 @@ def candidates(
 ) -> DataFrame:
     """a, b of classes of different components that meet in a node, each once; the pivot if any.
 
-    ``classes(class, root, links, pivot_links, tokens, rare)``; root is the component so far. In a
+    ``classes(class, root, links, pivot_links, tokens, prefix)``; root is the component so far. In a
     node with few classes outside its largest component these are compared with all members; any
     two members of different components are among such pairs. Other nodes branch: a member goes on to the child
     of its next token, and from nodes of a single token also to the node of the next token alone,
@@ -299,7 +298,7 @@ def candidates(
     """
     frame, found = _paths(classes, trees), []
     if last_round:
-        frame = frame.unionByName(_rare_paths(classes))
+        frame = frame.unionByName(_prefix_paths(classes))
     for level in range(1, LEVELS + 1):
         met = stored(spark, frame.join(_nodes(frame), "path"), "near-nodes")
         few, many = met.where(F.col("n_out") <= OUTSIDE), met.where(F.col("n_out") > OUTSIDE)
@@ -392,7 +391,7 @@ def confirmed(
 
 def document_components(spark: SparkSession, docs: DataFrame, percent: int) -> DataFrame:
     """doc_id, text_hash, n_shingles and component_id of every document."""
-    sketches = stored(spark, sketch(spark, docs), "near-sketches")
+    sketches = stored(spark, sketch(spark, docs, percent), "near-sketches")
     classes = stored(
         spark,
         sketches.where(F.col("class").isNotNull())
@@ -400,7 +399,7 @@ def document_components(spark: SparkSession, docs: DataFrame, percent: int) -> D
         .agg(
             F.min("doc_id").alias("min_doc"),
             F.first("tokens").alias("tokens"),
-            F.first("rare").alias("rare"),
+            F.first("prefix").alias("prefix"),
         ),
         "near-classes",
     )

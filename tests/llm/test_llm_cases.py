@@ -324,6 +324,31 @@ def test_near_duplicates_in_a_dense_group(spark):
     assert found == {i: least[c] for i, c in enumerate(component)}
 
 
+def near_components_are_exact(spark, texts, percent=85):
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r[0]: r[2] for r in collected(near_dedup.near_duplicates(spark, frame, percent))}
+    component = plain.near_components(texts, percent)
+    least = {}
+    for i, c in enumerate(component):
+        least.setdefault(c, i)
+    assert found == {i: least[c] for i, c in enumerate(component)}
+
+
+def test_near_duplicates_with_a_shared_passage(spark):
+    """Pairs of near copies in a family that shares a long passage word for word."""
+    rng = random.Random(7)
+    passage = [f"p{i}" for i in range(170)]
+    texts = []
+    for i in range(300):
+        own = [f"o{rng.random()}" for _ in range(40)]
+        copy = list(own)
+        for place in rng.sample(range(5, 36), 2):
+            copy[place] = f"e{rng.random()}"
+        texts += [" ".join(passage + own), " ".join(passage + copy)]
+    rng.shuffle(texts)
+    near_components_are_exact(spark, texts)
+
+
 def test_line_dedup(spark, docs, empty):
     expected = Counter(
         (k, n, lost, plain.sha(kept)) for (k, _), (n, lost, kept) in zip(TEXTS, plain.kept_lines(TEXTS))
