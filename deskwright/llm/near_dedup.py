@@ -6,14 +6,19 @@ shingle under the hash of tree and level, so that two classes share a child with
 their similarity. Small nodes are compared exhaustively. Larger nodes are branched further, and
 their members compared with pivots of the node. Compared pairs are confirmed on the full sets.
 
-Every document also enters by its rarest shingles, as many as any similar document must share one
-of (its prefix). Rarity is the number of documents that repeat a shingle, counted in buckets over
-all shingles of all documents; another order would cost more comparisons and lose no pair.
+After the trees an exact join finishes what they left: every class enters by its rarest shingles,
+as many as any similar class must share one of (its prefix), and all classes of different
+components that share one are compared unless their sizes and the places of the shingle rule
+similarity out. Rarity is the number of documents that repeat a shingle, counted in buckets over all
+shingles of all documents; another order would cost more comparisons and lose no pair. Large nodes
+are compared block by block, so that none is one task's work. A family of k texts that are alike but
+rarely similar costs up to k**2 comparisons here.
 
 Trees come in rounds. After a round, linked classes are components, and later rounds look only at
 pairs of different components, so that a large group of near copies costs its size and not its
-square. A pair of similarity s that shares d levels on its way to a small node is missed by all
-trees with chance (1 - s**d) ** trees: at s = 0.85 and 12 trees 1e-10 for one level, 2e-7 for two.
+square. Pairs are confirmed on the full sets if their 48 tokens agree as similar sets' would, which
+similar sets' fail to with a chance below 1e-6. Nothing else is left to chance: trees and pivots only
+save comparisons in the exact join.
 
 Hot nodes and hot classes are counted by partial aggregation, and rows meet their counts in joins
 that adaptive execution may split. Sets are read again only for classes that are compared.
@@ -45,6 +50,8 @@ LEVELS = 4
 OUTSIDE = 12  # classes outside the largest component of a node that is compared exhaustively
 PIVOTS = 2  # the member linked to most pivots, and the pivot linked to most members
 FREQUENCY_BITS = 22  # the logarithm of the number of buckets in which shingles are counted
+BLOCK = 64  # about the classes of a block of a node of the exact join
+FILTER_BITS = 26  # the logarithm of the number of bits that mark shared tokens of prefixes
 SMALLEST_ID = -(1 << 63)
 
 SAME = ["class", "root", "links", "pivot_links"]
@@ -206,18 +213,6 @@ def _paths(classes: DataFrame, trees: range) -> DataFrame:
     )
 
 
-def _prefix_paths(classes: DataFrame) -> DataFrame:
-    """The same for paths that begin with a shingle of the prefix."""
-    rows = classes.select(*SAME, "tokens", F.explode("prefix").alias("token"))
-    return rows.select(
-        *SAME,
-        F.xxhash64(F.lit("prefix"), "token").alias("path"),
-        F.lit(False).alias("alone"),
-        F.lit(TREES).alias("tree"),
-        F.slice("tokens", 1, LEVELS - 1).alias("rest"),
-    )
-
-
 def _nodes(frame: DataFrame) -> DataFrame:
     """path, its largest component, the number of classes outside that, and pivots.
 
@@ -281,12 +276,10 @@ def _pivot_pairs(members: DataFrame, classes: DataFrame, percent: int) -> DataFr
     return met.select(*_pair("class", "pivot"), "pivot")
 
 
-def candidates(
-    spark: SparkSession, classes: DataFrame, trees: range, last_round: bool, percent: int
-) -> DataFrame:
+def candidates(spark: SparkSession, classes: DataFrame, trees: range, percent: int) -> DataFrame:
     """a, b of classes of different components that meet in a node, each once; the pivot if any.
 
-    ``classes(class, root, links, pivot_links, tokens, prefix)``; root is the component so far. In a
+    ``classes(class, root, links, pivot_links, tokens)``; root is the component so far. In a
     node with few classes outside its largest component these are compared with all members; any
     two members of different components are among such pairs. Other nodes branch: a member goes on to the child
     of its next token, and from nodes of a single token also to the node of the next token alone,
@@ -297,8 +290,6 @@ def candidates(
     similar to many that are not to each other.
     """
     frame, found = _paths(classes, trees), []
-    if last_round:
-        frame = frame.unionByName(_prefix_paths(classes))
     for level in range(1, LEVELS + 1):
         met = stored(spark, frame.join(_nodes(frame), "path"), "near-nodes")
         few, many = met.where(F.col("n_out") <= OUTSIDE), met.where(F.col("n_out") > OUTSIDE)
@@ -330,6 +321,96 @@ def candidates(
     return stored(spark, pairs.agg(F.max("pivot").alias("pivot")), "near-pairs")
 
 
+def _shared_tokens(spark: SparkSession, classes: DataFrame) -> np.ndarray:
+    """Bits, some of them set by chance, of the tokens that prefixes of several components hold."""
+    root = F.hash("root")
+    tokens = classes.select(F.explode("prefix").alias("token"), root.alias("root"))
+    shared = tokens.groupBy("token").agg(F.min("root").alias("least"), F.max("root").alias("most"))
+    bit = F.col("token").cast("long").bitwiseAND((1 << FILTER_BITS) - 1)
+    words = (
+        shared.where("least != most")
+        .select(F.shiftright(bit, 6).cast("int").alias("word"), (bit % 64).cast("int").alias("at"))
+        .groupBy("word")
+        .agg(F.bit_or(F.expr("shiftleft(1L, at)")).alias("bits"))
+        .toArrow()
+    )
+    marks = np.zeros(1 << FILTER_BITS - 6, np.uint64)
+    marks[words.column("word").to_numpy()] = words.column("bits").to_numpy().view(np.uint64)
+    return marks
+
+
+def _prefix_members(spark: SparkSession, classes: DataFrame) -> DataFrame:
+    """class, root, path, place and n of classes and the tokens of their prefixes that others hold."""
+    shared = spark.sparkContext.broadcast(_shared_tokens(spark, classes))
+
+    def make():
+        marks, mask = shared.value, (1 << FILTER_BITS) - 1
+
+        def work(columns):
+            tokens = [np.asarray(t, np.int64) for t in columns["prefix"]]
+            held = [
+                np.flatnonzero(marks[(t & mask) >> 6] >> (t & 63).astype(np.uint64) & np.uint64(1))
+                for t in tokens
+            ]
+            return {
+                "class": columns["class"],
+                "root": columns["root"],
+                "n": columns["n"],
+                "places": held,
+                "paths": [t[h] for t, h in zip(tokens, held)],
+            }
+
+        return work
+
+    schema = "class binary, root binary, n int, places array<int>, paths array<int>"
+    rows = map_columns(classes.select("class", "root", "n", "prefix"), make, schema)
+    entry = F.explode(F.arrays_zip("paths", "places")).alias("entry")
+    return rows.select("class", "root", "n", entry).select(
+        "class", "root", "n", F.col("entry.paths").alias("path"), F.col("entry.places").alias("place")
+    )
+
+
+def joined(spark: SparkSession, classes: DataFrame, percent: int) -> DataFrame:
+    """a, b and pivot (null) of all classes of different components that may be similar.
+
+    ``classes(class, root, n, prefix)``. Similar classes share a token of their prefixes, and what
+    follows the first shared one is enough of both. Classes outside the largest component of a node
+    meet all its members; both are dealt out to blocks, and every pair of blocks is a key.
+    """
+    members = stored(spark, _prefix_members(spark, classes), "near-members")
+    nodes = (
+        members.groupBy("path", "root")
+        .agg(F.count("*").alias("n"))
+        .groupBy("path")
+        .agg(F.sum("n").alias("n"), F.max(F.struct("n", "root")).alias("top"))
+        .select(
+            "path",
+            F.col("top.root").alias("inside"),
+            F.ceil(F.col("n") / BLOCK).cast("int").alias("n_columns"),
+            F.ceil((F.col("n") - F.col("top.n")) / BLOCK).cast("int").alias("n_rows"),
+        )
+        .where("n_rows > 0")
+    )
+    met = stored(spark, members.join(nodes, "path"), "near-nodes")
+    dealt = F.xxhash64("class", "path")
+    entry = F.struct("class", "root", "n", "place")
+    row, column = F.pmod(dealt, "n_rows").cast("int"), F.pmod(dealt, "n_columns").cast("int")
+    outside = met.where("root != inside").select(
+        "path", row.alias("i"), F.explode(F.expr("sequence(0, n_columns - 1)")).alias("j"), entry.alias("x")
+    )
+    others = met.select(
+        "path", F.explode(F.expr("sequence(0, n_rows - 1)")).alias("i"), column.alias("j"),
+        (F.col("root") == F.col("inside")).alias("within"), entry.alias("y"),
+    )
+    once = F.col("within") | (F.col("x.class") < F.col("y.class"))
+    least = F.least(F.col("x.n") - F.col("x.place"), F.col("y.n") - F.col("y.place"))
+    enough = (100 + percent) * least >= percent * (F.col("x.n") + F.col("y.n"))
+    apart = F.col("x.root") != F.col("y.root")
+    pairs = outside.join(others, ["path", "i", "j"]).where(once & apart & enough)
+    pairs = pairs.select(*_pair("x.class", "y.class")).distinct()
+    return stored(spark, pairs.withColumn("pivot", F.lit(None).cast("binary")), "near-pairs")
+
+
 def _alike(a: Column, b: Column, percent: int) -> Column:
     """Whether so many tokens agree as similar sets would, but for a chance below 1e-6."""
     agreeing = F.aggregate(
@@ -400,32 +481,38 @@ def document_components(spark: SparkSession, docs: DataFrame, percent: int) -> D
             F.min("doc_id").alias("min_doc"),
             F.first("tokens").alias("tokens"),
             F.first("prefix").alias("prefix"),
+            F.first("n_shingles").cast("int").alias("n"),
         ),
         "near-classes",
     )
     none = F.lit(0).cast("long")
     known = classes.withColumns({"root": F.col("class"), "links": none, "pivot_links": none})
     found, start = None, 0
-    for trees in ROUNDS:
-        last = start + trees == TREES
-        pairs = candidates(spark, known, range(start, start + trees), last, percent)
+    for trees in (*ROUNDS, 0):
+        exact = trees == 0
+        if exact:
+            pairs = joined(spark, known, percent)
+        else:
+            pairs = candidates(spark, known, range(start, start + trees), percent)
         links = stored(spark, confirmed(spark, docs, classes, pairs, percent), "near-links")
         edges = links.select("a", "b")
         edges = edges if found is None else found.unionByName(edges)
         # Between rounds a few steps do: an unfinished component costs comparisons, not links.
-        found = stars(spark, edges, None if last else 2)
+        found = stars(spark, edges, None if exact else 2)
         roots = classes.join(found.toDF("class", "root"), "class", "left").withColumn(
             "root", F.coalesce("root", "class")
         )
-        if not last:
+        start += trees
+        if start == TREES and not exact:
+            known = stored(spark, roots.select("class", "root", "n", "prefix"), "near-known")
+        elif not exact:
             is_pivot = F.col("class").eqNullSafe(F.col("pivot"))
             ends = links.select(F.explode(F.array("a", "b")).alias("class"), "pivot")
             degree = ends.groupBy("class").agg(
                 F.count_if(~is_pivot).alias("links"), F.count_if(is_pivot).alias("pivot_links")
             )
-            known = roots.join(degree, "class", "left").na.fill(0, ["links", "pivot_links"])
+            known = roots.drop("n", "prefix").join(degree, "class", "left").na.fill(0, ["links", "pivot_links"])
             known = stored(spark, known, "near-known")
-        start += trees
     placed = stored(spark, roots.select("class", "min_doc", "root"), "near-roots")
     least = placed.groupBy("root").agg(F.min("min_doc").alias("component_id"))
     placed = stored(spark, placed.join(least, "root").select("class", "component_id"), "near-found")

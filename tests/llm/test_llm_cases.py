@@ -349,6 +349,19 @@ def test_near_duplicates_with_a_shared_passage(spark):
     near_components_are_exact(spark, texts)
 
 
+def test_near_duplicates_without_a_centre(spark):
+    """Variants of a text that is not in the table; few of their pairs are similar."""
+    rng = random.Random(8)
+    base = [f"w{i}" for i in range(204)]
+    texts = []
+    for _ in range(500):
+        words = list(base)
+        for place in rng.sample(range(204), 3):
+            words[place] = f"e{rng.random()}"
+        texts.append(" ".join(words))
+    near_components_are_exact(spark, texts)
+
+
 def test_line_dedup(spark, docs, empty):
     expected = Counter(
         (k, n, lost, plain.sha(kept)) for (k, _), (n, lost, kept) in zip(TEXTS, plain.kept_lines(TEXTS))
