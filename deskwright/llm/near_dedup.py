@@ -279,13 +279,13 @@ def _pivot_pairs(members: DataFrame, classes: DataFrame, percent: int) -> DataFr
 def candidates(spark: SparkSession, classes: DataFrame, trees: range, percent: int) -> DataFrame:
     """a, b of classes of different components that meet in a node, each once; the pivot if any.
 
-    ``classes(class, root, links, pivot_links, tokens)``; root is the component so far. In a
-    node with few classes outside its largest component these are compared with all members; any
-    two members of different components are among such pairs. Other nodes branch: a member goes on to the child
-    of its next token, and from nodes of a single token also to the node of the next token alone,
+    ``classes(class, root, links, pivot_links, tokens)``; root is the component so far. In a node
+    with few classes outside its largest component these are compared with all members; any two
+    members of different components are among such pairs. Other nodes branch: a member goes on to
+    the child of its next token, and from nodes of a single token also to the node of the next token alone,
     as the token that makes the node large may come from a passage that many texts share. In the
-    last nodes, and in the first nodes of every other tree, members also meet pivots if their
-    tokens agree as similar sets would: the member that was linked to most earlier pivots and the
+    first and last nodes of every tree members also meet pivots if their tokens agree as similar
+    sets would: the member that was linked to most earlier pivots and the
     earlier pivot that was linked to most members, since the centre of a group of near copies is
     similar to many that are not to each other.
     """
@@ -306,7 +306,7 @@ def candidates(spark: SparkSession, classes: DataFrame, trees: range, percent: i
         no_pivot = F.lit(None).cast("binary").alias("pivot")
         found.append(apart.select(*_pair("class", "other.class"), no_pivot))
         if level == 1:
-            found.append(_pivot_pairs(many.where("tree % 2 = 0"), classes, percent))
+            found.append(_pivot_pairs(many, classes, percent))
         if level == LEVELS:
             found.append(_pivot_pairs(many.where(~F.col("alone")), classes, percent))
         if level == LEVELS or many.isEmpty():

@@ -362,6 +362,25 @@ def test_near_duplicates_without_a_centre(spark):
     near_components_are_exact(spark, texts)
 
 
+def test_pivots_are_met_in_every_tree(spark, monkeypatch):
+    base = [f"w{i}" for i in range(200)]
+    texts = [" ".join([*base[:i], f"e{i}", *base[i + 1 :]]) for i in range(40)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    none = F.lit(0).cast("long")
+    classes = near_dedup.sketch(spark, frame, 85).withColumns(
+        {"root": F.col("class"), "links": none, "pivot_links": none}
+    )
+    trees, pairs = set(), near_dedup._pivot_pairs
+
+    def seen(members, *others):
+        trees.update(r[0] for r in members.where("alone").select("tree").distinct().collect())
+        return pairs(members, *others)
+
+    monkeypatch.setattr(near_dedup, "_pivot_pairs", seen)
+    near_dedup.candidates(spark, classes, range(4), 85)
+    assert trees == set(range(4))
+
+
 def test_line_dedup(spark, docs, empty):
     expected = Counter(
         (k, n, lost, plain.sha(kept)) for (k, _), (n, lost, kept) in zip(TEXTS, plain.kept_lines(TEXTS))
