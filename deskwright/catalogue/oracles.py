@@ -242,36 +242,31 @@ FROM (SELECT *, {_EVENT_NOTE} AS note FROM events)"""
 
 
 def _report_lines() -> str:
-    values = [
-        "''",
-        "'- Status: **COMPLETED**'",
-        "'- Format: `parquet`'",
-        "'- Dry run: `false`'",
-        "'- Incremental: `true`'",
-        "'- Records: ' || format('{:,}', total_records)",
-        "'- Accepted: ' || format('{:,}', accepted_records)",
-        "'- Quarantined: ' || format('{:,}', quarantined_records)",
-        "'- Duplicates: ' || format('{:,}', duplicate_records)",
-        "'- Loaded: ' || format('{:,}', accepted_records)",
-        "'- Unchanged: 0'",
-        f"'- Quality gate: **' || CASE WHEN quality_score >= {_THRESHOLD} THEN 'PASS' ELSE 'FAIL' END || '**'",
-        "''",
-        "'## Quality dimensions'",
-        "''",
-        "'| Dimension | Score |'",
-        "'| --- | ---: |'",
-        *[
-            f"'| {d.title()} | ' || printf('%.2f%%', 100 * {d}) || ' |'"
-            for d in ("completeness", "uniqueness", "validity", "consistency", "timeliness")
-        ],
-        "''",
-        f"'Overall score: **' || printf('%.2f%%', 100 * quality_score) || '** (threshold: "
-        f"{100 * _THRESHOLD:.2f}%).'",
-    ]
-    # Line 0 names the run and line 3 the input hash.
-    numbers = [1, 2, *range(4, 4 + len(values) - 2)]
+    def count(column: str, what: str) -> str:
+        return f"'* ' || format('{{:,}}', {column}) || ' {what}'"
+
+    # By line number; line 0 names the run and line 3 its input.
+    values = {
+        1: "''",
+        2: "'Run completed, mode: newer rows win.'",
+        4: f"CASE WHEN quality_score >= {_THRESHOLD} THEN 'PASS' ELSE 'FAIL' END || ': the score is ' "
+        f"|| printf('%.2f%%', 100 * quality_score) || ', wanted are {100 * _THRESHOLD:.2f}% or more.'",
+        5: "''",
+        6: count("total_records", "rows read"),
+        7: count("accepted_records", "rows accepted"),
+        8: count("quarantined_records", "rows in quarantine"),
+        9: count("duplicate_records", "rows whose ticket had come before"),
+        10: count("accepted_records", "tickets written"),
+        11: "'* 0 tickets already as new in the store'",
+        12: "''",
+        13: "'Completeness | ' || printf('%.2f%%', 100 * completeness)",
+        14: "'Uniqueness | ' || printf('%.2f%%', 100 * uniqueness)",
+        15: "'Validity | ' || printf('%.2f%%', 100 * validity)",
+        16: "'Consistency | ' || printf('%.2f%%', 100 * consistency)",
+        17: "'Timeliness | ' || printf('%.2f%%', 100 * timeliness)",
+    }
     rows = " UNION ALL ".join(
-        f"SELECT {n} AS line_number, {v} AS line FROM scored" for n, v in zip(numbers, values)
+        f"SELECT {n} AS line_number, {v} AS line FROM scored" for n, v in values.items()
     )
     return _measured(rows)
 

@@ -821,7 +821,7 @@ def metrics_listing(spark, folder):
     return metrics.select("dimension", score(F.col("score")).alias("score"))
 
 
-_IDENTITY_LINES = ("# Data quality run", "- Input SHA-256")
+_IDENTITY_LINES = ("# Ticket export", "Input parquet")
 
 
 @query

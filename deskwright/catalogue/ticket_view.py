@@ -33,15 +33,7 @@ VIEW_RULES = QualityRules.from_dict(
         "reference_time": "2001-08-31T00:00:00Z",
         "timeliness_days": 1_000,
         "quality_threshold": 0.85,
-        "required_fields": [
-            "ticket_id",
-            "title",
-            "status",
-            "priority",
-            "requester_email",
-            "created_at",
-            "updated_at",
-        ],
+        "required_fields": fixed.USUAL_REQUIRED_FIELDS,
         "status_mapping": {"o": "Open", "p": "Pending", "f": "Resolved"},
         "priority_mapping": {
             "1-urgent": "Critical",

@@ -19,6 +19,17 @@ EXPORT_COLUMNS = [
     "source_system",
 ]
 
+# Fields that an export must fill by the usual rules, in report order.
+USUAL_REQUIRED_FIELDS = [
+    "ticket_id",
+    "title",
+    "status",
+    "priority",
+    "requester_email",
+    "created_at",
+    "updated_at",
+]
+
 # Enumerations of the stored ticket.
 STATUSES = ["Open", "In Progress", "Pending", "Resolved", "Closed"]
 ACTIVE_STATUSES = ["Open", "In Progress", "Pending"]

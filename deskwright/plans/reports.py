@@ -21,57 +21,49 @@ def json_report(summary: DataFrame) -> DataFrame:
     return summary.select(F.to_json(body, {"ignoreNullFields": "false"}).alias("value"))
 
 
-def _flag(c: str) -> Column:
-    return yes_no(F.col(c), "true", "false")
+# The counters of a run, in the order of the report, as (column, what it says).
+_COUNTERS = [
+    ("total_records", "rows read"),
+    ("accepted_records", "rows accepted"),
+    ("quarantined_records", "rows in quarantine"),
+    ("duplicate_records", "rows whose ticket had come before"),
+    ("loaded_records", "tickets written"),
+    ("unchanged_records", "tickets already as new in the store"),
+]
+
+
+def _sentence(*parts: Column | str) -> Column:
+    return F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
 
 
 def markdown_report(summary: DataFrame, timings: bool = True) -> DataFrame:
-    """One Markdown text per run; ``timings`` adds the two lines that depend on the clock."""
+    """One Markdown text per run; ``timings`` adds the line that depends on the clock."""
     c = F.col
-    fields = [
-        ("Status", F.concat(F.lit("**"), c("status"), F.lit("**"))),
-        ("Input SHA-256", F.concat(F.lit("`"), c("input_hash"), F.lit("`"))),
-        ("Format", F.concat(F.lit("`"), c("input_format"), F.lit("`"))),
-        ("Dry run", F.concat(F.lit("`"), _flag("dry_run"), F.lit("`"))),
-        ("Incremental", F.concat(F.lit("`"), _flag("incremental"), F.lit("`"))),
-        ("Records", thousands(c("total_records"))),
-        ("Accepted", thousands(c("accepted_records"))),
-        ("Quarantined", thousands(c("quarantined_records"))),
-        ("Duplicates", thousands(c("duplicate_records"))),
-        ("Loaded", thousands(c("loaded_records"))),
-        ("Unchanged", thousands(c("unchanged_records"))),
-    ]
-    if timings:
-        fields += [
-            ("Duration", F.format_string("%.3f seconds", c("duration_seconds"))),
-            (
-                "Throughput",
-                F.concat(thousands(c("records_per_second"), 2), F.lit(" records/second")),
-            ),
-        ]
-    gate = yes_no(c("quality_gate_passed"), "PASS", "FAIL")
-    fields.append(("Quality gate", F.concat(F.lit("**"), gate, F.lit("**"))))
+    mode = F.when(c("dry_run"), "trial without loading").otherwise(
+        F.when(c("incremental"), "newer rows win").otherwise("new tickets only")
+    )
+    verdict = yes_no(c("quality_gate_passed"), "PASS", "FAIL")
     lines = [
-        F.concat(F.lit("# Data quality run `"), c("run_id"), F.lit("`")),
+        _sentence("# Ticket export ", c("run_id")),
         F.lit(""),
-        *[F.concat(F.lit(f"- {label}: "), value) for label, value in fields],
-        F.lit(""),
-        F.lit("## Quality dimensions"),
-        F.lit(""),
-        F.lit("| Dimension | Score |"),
-        F.lit("| --- | ---: |"),
-        *[
-            F.concat(F.lit(f"| {d.title()} | "), percent(c(f"quality_dimensions.{d}")), F.lit(" |"))
-            for d in fixed.DIMENSIONS
-        ],
-        F.lit(""),
-        F.concat(
-            F.lit("Overall score: **"),
-            percent(c("quality_score")),
-            F.lit("** (threshold: "),
-            percent(c("quality_threshold")),
-            F.lit(")."),
+        _sentence("Run ", F.lower("status"), ", mode: ", mode, "."),
+        _sentence("Input ", c("input_format"), " with identity ", c("input_hash"), "."),
+        _sentence(
+            verdict, ": the score is ", percent(c("quality_score")), ", wanted are ",
+            percent(c("quality_threshold")), " or more.",
         ),
+        F.lit(""),
+        *[_sentence("* ", thousands(c(name)), f" {what}") for name, what in _COUNTERS],
+    ]
+    if timings:
+        rate = thousands(c("records_per_second"), 2)
+        lines.append(
+            _sentence("* ", F.format_string("%.3f", "duration_seconds"), " s of work, ", rate, " rows a second")
+        )
+    lines.append(F.lit(""))
+    lines += [
+        _sentence(f"{name.title()} | ", percent(c(f"quality_dimensions.{name}")))
+        for name in fixed.DIMENSIONS
     ]
     return summary.select(F.concat_ws("\n", *lines).alias("value"))
 

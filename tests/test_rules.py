@@ -17,20 +17,19 @@ DOCUMENT = {
     "reference_time": "2026-02-03T04:05:06Z",
     "timeliness_days": 150,
     "quality_threshold": 0.9,
-    "required_fields": [
-        "updated_at", "created_at", "requester_email", "priority", "status", "title", "ticket_id",
-    ],
+    "required_fields": fixed.USUAL_REQUIRED_FIELDS,
     "status_mapping": {"reported": "Open", "being worked on": "In Progress", "over": "Closed"},
     "priority_mapping": {"whenever": "Low", "soon": "Medium", "at once": "Critical"},
     "allowed_statuses": fixed.STATUSES,
     "allowed_priorities": fixed.PRIORITIES,
-}
+}
+KNOWN_HASH = "8a25a09f9744c76998f18308c20b803821141093ee64fa0c0f00a01de0e56681"
 
 
 def test_config_hash_of_a_known_document():
     rules = QualityRules.from_dict(DOCUMENT)
     text = json.dumps(DOCUMENT, sort_keys=True, separators=(",", ":"))
-    assert rules.config_hash == hashlib.sha256(text.encode()).hexdigest()
+    assert rules.config_hash == hashlib.sha256(text.encode()).hexdigest() == KNOWN_HASH
     assert rules.stale_before == rules.reference_time - timedelta(days=150)
     assert QualityRules.from_dict({**DOCUMENT, "quality_threshold": 1}).quality_threshold == 1.0
 
