@@ -149,3 +149,90 @@ SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id,
   doc_id IS NOT DISTINCT FROM component_id AS kept
 FROM d JOIN found ON d.rid = found.x LEFT JOIN sizes ON d.rid = sizes.rid
 """
+
+ORACLES["op11_fill_in_middle"] = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text,
+    regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS u,
+    sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+hashed AS (
+  SELECT *, len(u) AS n, CAST('0x' || substr(h, 1, 8) AS BIGINT) % (len(u) + 1) AS x,
+    CAST('0x' || substr(h, 9, 8) AS BIGINT) % (len(u) + 1) AS y,
+    CAST('0x' || substr(h, 17, 8) AS BIGINT) % 100 AS moved,
+    CAST('0x' || substr(h, 25, 8) AS BIGINT) % 100 AS spm FROM d),
+parts AS (
+  SELECT *, array_to_string(u[1:least(x, y)], '') AS p,
+    array_to_string(u[least(x, y) + 1:greatest(x, y)], '') AS m,
+    array_to_string(u[greatest(x, y) + 1:n], '') AS s,
+    CASE WHEN n = 0 OR moved >= 50 OR contains(text, '<P>') OR contains(text, '<S>')
+      OR contains(text, '<M>') THEN 'plain' WHEN spm < 80 THEN 'spm' ELSE 'psm' END AS form
+  FROM hashed)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+  CASE WHEN form <> 'plain' THEN CAST(length(p) AS BIGINT) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN CAST(length(m) AS BIGINT) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+    ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM parts
+"""
+
+_LEAK_WORDS = (
+    "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
+    "'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w"
+)
+ORACLES["op12_decontamination"] = f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {_LEAK_WORDS} FROM documents),
+b AS (SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item, {_LEAK_WORDS} FROM benchmark),
+item_places AS (
+  SELECT item, w, least(len(w), 10) AS size, unnest(range(1, greatest(len(w) - 8, 2))) AS i
+  FROM b WHERE len(w) > 0),
+phrases AS (SELECT DISTINCT item, size, array_to_string(w[i:i + size - 1], ' ') AS phrase FROM item_places),
+sizes AS (SELECT DISTINCT size FROM phrases),
+places AS (
+  SELECT rid, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM d, sizes WHERE len(w) >= size),
+hits AS (
+  SELECT rid, i, places.size, item FROM places JOIN phrases
+  ON places.size = phrases.size AND array_to_string(w[i:i + places.size - 1], ' ') = phrase),
+words AS (
+  SELECT rid, count(DISTINCT at) AS n_hit
+  FROM (SELECT rid, unnest(range(i, i + size)) AS at FROM hits) GROUP BY rid),
+items AS (
+  SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT rid, item FROM hits) GROUP BY rid)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+  CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (rid) LEFT JOIN items USING (rid)
+"""
+
+ORACLES["op13_hard_negatives"] = """
+WITH given AS (
+  SELECT row_number() OVER () AS rid, vec_id, embedding,
+    CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL),
+parts AS (
+  SELECT rid, unnest(range(len(embedding))) AS i, CAST(unnest(embedding) AS DOUBLE) AS x FROM given),
+bad AS (SELECT DISTINCT rid FROM parts WHERE x IS NULL OR NOT isfinite(x)),
+e AS (SELECT rid, vec_id, label FROM given WHERE rid NOT IN (SELECT rid FROM bad)),
+scaled AS (SELECT rid, i, CAST(floor(256 * x) AS BIGINT) AS x FROM parts),
+products AS (
+  SELECT a.rid AS a, b.rid AS b, sum(a.x * b.x) AS score
+  FROM scaled a JOIN scaled b ON a.i = b.i
+  WHERE a.rid IN (SELECT rid FROM e WHERE vec_id % 100 = 0) GROUP BY a.rid, b.rid),
+scored AS (
+  SELECT a.rid AS a, a.vec_id AS anchor_id, b.rid AS b, b.vec_id, a.label = b.label AS same,
+    CAST(coalesce(score, 0) AS BIGINT) AS score
+  FROM e a JOIN e b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id
+  LEFT JOIN products p ON p.a = a.rid AND p.b = b.rid),
+positives AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY a ORDER BY score DESC, vec_id) AS place
+    FROM scored WHERE same) WHERE place <= 5),
+ranked AS (
+  SELECT p.anchor_id, p.vec_id AS positive_id, p.score AS positive_score, n.vec_id AS negative_id,
+    n.score AS negative_score,
+    row_number() OVER (PARTITION BY p.a, p.b ORDER BY n.score DESC, n.vec_id) AS place
+  FROM positives p JOIN scored n ON n.a = p.a AND NOT n.same
+    AND 30 * p.score <= 100 * n.score AND 100 * n.score <= 90 * p.score)
+SELECT anchor_id, positive_id, CAST(place AS INTEGER) AS rank, negative_id, positive_score, negative_score
+FROM ranked WHERE place <= 10
+"""

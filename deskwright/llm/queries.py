@@ -6,7 +6,10 @@ from pyspark.sql import functions as F
 
 from deskwright.llm import (
     bpe,
+    decontaminate,
+    fill_in_middle,
     fingerprint,
+    hard_negatives,
     language,
     line_dedup,
     mixing,
@@ -88,3 +91,30 @@ def op10_sharding(spark, folder):
         "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+@query
+def op11_fill_in_middle(spark, folder):
+    found = fill_in_middle.transform(spark, documents(spark, folder), with_texts=False)
+    return found.drop("output", "restored")
+
+
+@query
+def op12_decontamination(spark, folder):
+    benchmark = spark.read.parquet(f"{folder}/benchmark.parquet")
+    found = decontaminate.find_leaks(spark, documents(spark, folder), benchmark, keep=["doc_id"])
+    hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["stop"] - s["start"])
+    return found.select(
+        "row.doc_id",
+        "n_words",
+        hit.alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.size("spans") > 0).alias("contaminated"),
+    )
+
+
+@query
+def op13_hard_negatives(spark, folder):
+    vectors = spark.read.parquet(f"{folder}/embeddings.parquet")
+    return hard_negatives.mine(spark, hard_negatives.relabelled(vectors))
