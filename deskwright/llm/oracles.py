@@ -194,8 +194,8 @@ hits AS (
   SELECT rid, i, places.size, item FROM places JOIN phrases
   ON places.size = phrases.size AND array_to_string(w[i:i + places.size - 1], ' ') = phrase),
 words AS (
-  SELECT rid, count(DISTINCT at) AS n_hit
-  FROM (SELECT rid, unnest(range(i, i + size)) AS at FROM hits) GROUP BY rid),
+  SELECT rid, count(DISTINCT place) AS n_hit
+  FROM (SELECT rid, unnest(range(i, i + size)) AS place FROM hits) GROUP BY rid),
 items AS (
   SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
   FROM (SELECT DISTINCT rid, item FROM hits) GROUP BY rid)

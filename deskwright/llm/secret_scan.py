@@ -4,7 +4,10 @@ The rules' regular expressions become one nondeterministic automaton that may st
 deterministic one over classes of bytes that no rule tells apart, then the minimal one, stored as one
 transition array. States in which some rule has matched come last, so the pass compares one number
 per byte. Where a rule has matched, the automaton of the reversed rule walks back to the leftmost
-start and that of the rule forward to the longest end; both touch the bytes of the match only.
+start and that of the rule forward to the longest end. After a match the rule goes on by an automaton
+of its own, which starts anew at the match's end, until that knows as much as the combined one; so
+what began inside a match is never looked at again. Walks back end where the rule's last match did,
+and the time of a scan is in proportion to the text.
 
 Matches of a rule are leftmost, longest and do not overlap. This equals what a backtracking engine
 finds, because each rule ends in one greedy run and its parts before that leave no choice. A match
@@ -285,38 +288,60 @@ class Scanner:
     def __init__(self, rules: list[Rule] = RULES):
         self.rules = rules
         self.all = compile_rules(rules, anywhere=True)
+        self.own = [compile_rules([r], anywhere=True) for r in rules]
+        self.same = [self._projection(own) for own in self.own]
         self.forward = [compile_rules([r], False) for r in rules]
         self.back = [compile_rules([r], False, backward=True) for r in rules]
         self.heads = [compile_rules([Rule("", r.head, "", any_case=r.any_case)], False) for r in rules]
 
+    def _projection(self, own: Automaton) -> dict[int, int]:
+        """The state of a rule's own automaton after any text, by the state of the combined one."""
+        bytes_of = {kind: byte for byte, kind in enumerate(self.all.classes)}
+        found = {self.all.start: own.start}
+        queue = [self.all.start]
+        for state in queue:
+            for kind, byte in bytes_of.items():
+                after = self.all.table[state + kind]
+                if after not in found:
+                    found[after] = own.table[found[state] + own.classes[byte]]
+                    queue.append(after)
+        return found
+
     def spans(self, data: bytes) -> list[tuple[int, int, int]]:
         """(start, rule, end) in bytes, by start and then rule."""
         found = []
         resume = [0] * len(self.rules)
+        anew: dict[int, int] = {}  # rules that go on by their own automaton, with its state
         table, state, first = self.all.table, self.all.start, self.all.first_accepting
         for at, kind in enumerate(data.translate(self.all.classes)):
             state = table[state + kind]
-            if state >= first:
-                for rule in self.all.accepts[state]:
-                    if at >= resume[rule]:
-                        span = self._around(data, rule, at + 1, resume[rule])
-                        if span:
-                            resume[rule] = span[1]
-                            if self._counts(data, rule, *span):
-                                found.append((span[0], rule, span[1]))
+            if state < first and not anew:
+                continue
+            matched = [r for r in self.all.accepts.get(state, ()) if r not in anew]
+            for rule in list(anew):
+                if at >= resume[rule]:
+                    own = self.own[rule]
+                    anew[rule] = after = own.table[anew[rule] + own.classes[data[at]]]
+                    if after >= own.first_accepting:
+                        matched.append(rule)
+                    elif after == self.same[rule][state]:
+                        del anew[rule]
+            for rule in matched:
+                start, end = self._around(data, rule, at + 1, resume[rule])
+                resume[rule], anew[rule] = end, self.own[rule].start
+                if self._counts(data, rule, start, end):
+                    found.append((start, rule, end))
         return sorted(found)
 
-    def _around(self, data: bytes, rule: int, end: int, floor: int) -> tuple[int, int] | None:
+    def _around(self, data: bytes, rule: int, end: int, floor: int) -> tuple[int, int]:
         """The match that is known to end at ``end``, not starting before ``floor``, made longest."""
-        start, a = None, self.back[rule]
+        start, a = end, self.back[rule]
         state, at = a.start, end
         while at > floor and state != a.dead:
             at -= 1
             state = a.table[state + a.classes[data[at]]]
             if state >= a.first_accepting:
                 start = at
-        if start is None:
-            return None
         return start, self._longest(data, self.forward[rule], start)
 
     @staticmethod
