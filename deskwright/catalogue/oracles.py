@@ -302,6 +302,11 @@ _QUARANTINE = (
     "FROM done d JOIN tv v ON v.row_number = d.row_number WHERE NOT d.accepted"
 )
 
+_FIRST_ROWS = (
+    "SELECT sha256(identity) AS ticket_key, min(row_number) AS first_row_number "
+    "FROM done WHERE ticket_ok GROUP BY identity"
+)
+
 ORACLES: dict[str, str] = {
     "clean_text": _view(
         "SELECT row_number, "
@@ -409,6 +414,9 @@ ORACLES: dict[str, str] = {
         "SELECT row_number, codes FROM done WHERE NOT accepted ORDER BY row_number LIMIT 50"
     ),
     "load_incremental": _load("s.updated_us > o.updated_us", "SELECT * FROM final"),
+    "load_into_buckets": _load(
+        "s.updated_us > o.updated_us", "SELECT source_system, ticket_id, title, updated_us FROM final"
+    ),
     "load_insert_only": _load("false", "SELECT * FROM final"),
     "load_counts": _load(
         "s.updated_us > o.updated_us",
@@ -480,9 +488,14 @@ ORACLES: dict[str, str] = {
         + ")) AS h FROM tv)"
     ),
     "stream_ingest_resume": _summary("parquet", incremental=False, extra=_ALL_DIMENSIONS),
-    "stream_dedup_keys": _done(
-        "SELECT sha256(identity) AS ticket_key, min(row_number) AS first_row_number "
-        "FROM done WHERE ticket_ok GROUP BY identity"
+    "stream_dedup_keys": _done(_FIRST_ROWS),
+    "keyed_first_rows": _done(_FIRST_ROWS),
+    "tickets_of_a_stopped_run": _done(
+        f"{_STORED} AND row_number <= 2 * ((SELECT count(*) FROM orders) // 3 + 1)"
+    ),
+    "find_stored_tickets": _done(
+        f"{_STORED} AND status = 'Open' AND priority = 'Low' "
+        "AND updated_us >= epoch_us(TIMESTAMPTZ '1996-01-01T00:00:00+00:00')"
     ),
     "stream_quarantine": _done(_QUARANTINE),
     "stream_tickets": _done(_STORED),

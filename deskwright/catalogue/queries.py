@@ -21,13 +21,14 @@ from deskwright.operators.classify import (
     masked_payload,
 )
 from deskwright.plans.batch import run_export
-from deskwright.plans.load import run_summary
+from deskwright.plans.load import merge_into, run_summary
 from deskwright.plans.reports import json_report, markdown_report
-from deskwright.plans.store import TicketStore
+from deskwright.plans.store import TICKET_SCHEMA, TicketStore
 from deskwright.session import scratch_path
 from deskwright.sources import fingerprint, numbering, synthetic
 from deskwright.sources.formats import format_of
 from deskwright.sources.readers import read_tickets
+from deskwright.streaming.first_rows import KeyState
 from deskwright.streaming.ingest import run_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -463,6 +464,28 @@ def load_insert_only(spark, folder):
     return _loaded(spark, folder, None)
 
 
+def _as_tickets(rows: DataFrame) -> DataFrame:
+    """Rows with all columns of stored tickets, those not given null."""
+    return rows.select(
+        *[
+            (F.col(f.name) if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+            for f in TICKET_SCHEMA.fields
+        ]
+    )
+
+
+@query
+def load_into_buckets(spark, folder):
+    """The same as load_incremental, as two loads of a bucketed store."""
+    store = TicketStore(spark, scratch_path(spark, "store"))
+    accepted, _ = listing.split_accepted(_classified(spark, folder, ["title", "updated_at"]))
+    first = accepted.select("source_system", "ticket_id", "title", "updated_at")
+    for number, rows in enumerate((first, _shipment_tickets(spark, folder)), 1):
+        merged = merge_into(store, store.loads(), _as_tickets(rows), rows.count(), f"tickets/load={number}")
+        store.publish(load_number=number, run_id="query", through_batch=0, **merged)
+    return store.tickets().select("source_system", "ticket_id", "title", micros("updated_at").alias("updated_us"))
+
+
 @query
 def insert_if_absent(spark, folder):
     """Only the rows an insert-only load would append."""
@@ -518,13 +541,13 @@ def in_row_order(spark: SparkSession, folder: str, files: int = 4) -> DataFrame:
 
 
 def _arriving(spark: SparkSession, folder: str) -> str:
-    """The ticket view as four files written one after the other, in row order."""
+    """The ticket view as four pairs of files written one after the other, in row order."""
     path = f"{scratch_path(spark, 'arriving')}/tickets.parquet"
     view = ticket_view(spark, folder)
     quarter = view.agg(F.ceil(F.max("row_number") / 4).alias("n")).first()["n"]
     for part in range(4):
         rows = view.where(F.ceil(F.col("row_number") / quarter) == part + 1)
-        rows = rows.repartitionByRange(1, "row_number").sortWithinPartitions("row_number")
+        rows = rows.repartitionByRange(2, "row_number").sortWithinPartitions("row_number")
         synthetic.write_export(rows.drop("row_number"), path, "parquet", mode="append")
     return path
 
@@ -667,12 +690,12 @@ def _batch_store(spark: SparkSession, folder: str) -> TicketStore:
 
 
 def _stream_store(spark: SparkSession, folder: str) -> TicketStore:
-    """A stream over four files that is stopped after two commits and started again."""
+    """A stream over four pairs of files that is stopped after two commits and started again."""
     key = (spark.sparkContext.applicationId, folder, "stream")
     if key not in _RUNS:
         root, path = scratch_path(spark, "store"), _arriving(spark, folder)
         schema = spark.read.parquet(path).schema
-        options = dict(name="tickets", fmt="parquet", schema=schema, files_per_batch=1)
+        options = dict(name="tickets", fmt="parquet", schema=schema, files_per_batch=2)
         try:
             run_stream(spark, path, VIEW_RULES, root, **options, on_commit=_stop_after(2))
         except Exception as error:  # the streaming engine wraps the interruption
@@ -773,6 +796,50 @@ def stream_tickets(spark, folder):
     return tickets.select("source_system", "ticket_id", "title", micros("updated_at").alias("updated_us"))
 
 
+UNITS = 6
+
+
+@query
+def keyed_first_rows(spark, folder):
+    """The first row of every ticket key, found unit by unit from keyed state."""
+    rows = _classified(spark, folder, []).where("ticket_ok")
+    key = keys.ticket_key(F.col("source_system"), F.col("ticket_id")).alias("ticket_key")
+    path = scratch_path(spark, "claims")
+    rows.select(key, "row_number").write.parquet(path)
+    claims = spark.read.parquet(path)
+    size = claims.agg(F.ceil(F.max("row_number") / UNITS).alias("n")).first()["n"]
+    found = scratch_path(spark, "first-rows")
+    with KeyState(spark, scratch_path(spark, "key-state")) as state:
+        for unit in range(UNITS):
+            own = claims.where(F.ceil(F.col("row_number") / size) == unit + 1)
+            state.first_rows(own, unit * size).write.mode("append").parquet(found)
+    return spark.read.parquet(found)
+
+
+@query
+def tickets_of_a_stopped_run(spark, folder):
+    """What readers see of a run that stops after two of its three commits."""
+    root, path = scratch_path(spark, "store"), _written(spark, folder, "parquet")
+    rows = table(spark, folder, "orders").count()
+    try:
+        stop = _stop_after(2)
+        run_export(spark, path, VIEW_RULES, root, commit_rows=rows // 3 + 1, on_commit=stop)
+    except Interrupted:
+        pass
+    tickets = TicketStore(spark, root).tickets()
+    return tickets.select("source_system", "ticket_id", "title", micros("updated_at").alias("updated_us"))
+
+
+SINCE = datetime(1996, 1, 1, tzinfo=timezone.utc)
+
+
+@query
+def find_stored_tickets(spark, folder):
+    """Open tickets of low priority since a day, by filters that skip row groups."""
+    found = listing.find_tickets(_batch_store(spark, folder).tickets(), "Open", "Low", SINCE)
+    return found.select("source_system", "ticket_id", "title", micros("updated_at").alias("updated_us"))
+
+
 @query
 def stored_tickets(spark, folder):
     tickets = _batch_store(spark, folder).tickets()

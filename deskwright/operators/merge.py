@@ -53,6 +53,28 @@ def merge_actions(
     return acted.select(*key, result.alias("_row"), "action").select(*key, "_row.*", "action")
 
 
+def key_bucket(key: list[str], n_buckets: int) -> Column:
+    """The bucket of a row by the hash of its key."""
+    return F.pmod(F.xxhash64(*key), F.lit(n_buckets)).cast("int")
+
+
+def changed_keys(
+    target: DataFrame, incoming: DataFrame, key: list[str] = TICKET_KEY, newer_by: str | None = "updated_at"
+) -> DataFrame:
+    """key, bucket and action (``insert`` or ``update``) of the incoming rows that change the target.
+
+    A narrow join: only the key and ``newer_by`` of the target are read. Without ``newer_by``
+    existing rows stay. Both sides must have unique keys; ``incoming`` has its ``bucket``.
+    """
+    compared = [newer_by] if newer_by else []
+    old = target.select(*key, *[F.col(c).alias("_old") for c in compared], F.lit(True).alias("_there"))
+    joined = incoming.select(*key, "bucket", *compared).join(old, key, "left")
+    action = F.when(F.col("_there").isNull(), "insert")
+    if newer_by:
+        action = action.when(F.col(newer_by) > F.col("_old"), "update")
+    return joined.select(*key, "bucket", action.alias("action")).where("action IS NOT NULL")
+
+
 def load_counts(actions: DataFrame) -> DataFrame:
     """Rows written and rows left unchanged by a merge."""
     return actions.agg(

@@ -6,18 +6,24 @@ import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from deskwright import fixed
-from deskwright.plans.load import describe_run, finish_run, process_unit, stage, stored_summary
+from deskwright.plans.load import (
+    describe_run,
+    finish_run,
+    load_tickets,
+    process_unit,
+    stage,
+    stored_summary,
+)
 from deskwright.plans.reports import write_reports
 from deskwright.plans.store import TicketStore
 from deskwright.rules import QualityRules
 from deskwright.session import size_shuffles
 from deskwright.sources.fingerprint import input_fingerprint, manifest_fingerprint
 from deskwright.sources.formats import detect_format
-from deskwright.sources.numbering import skip_rows
-from deskwright.sources.readers import read_tickets
+from deskwright.sources.readers import IndexedExport, read_tickets
+from deskwright.streaming.first_rows import KeyState
 
 # Batch id of the stage folder of a one-pass run.
 WHOLE_INPUT = 0
@@ -90,29 +96,32 @@ def run_export(
 
 def _process(spark, path, rules, store, run, fmt, multi_line, commit_rows, on_commit) -> None:
     """Process what is not committed yet, whatever the size of the commits before."""
-    envelope = read_tickets(spark, path, fmt, multi_line)
     done = store.commits_of(run["run_id"])
     if not done and commit_rows is None:
+        envelope = read_tickets(spark, path, fmt, multi_line)
         staged = stage(store, run, envelope, rules, WHOLE_INPUT)
         process_unit(
-            store, run, staged, envelope, rules, WHOLE_INPUT, row_offset=0, remember_keys=False
+            store, run, staged, envelope, rules, WHOLE_INPUT, row_offset=0
         )
         if on_commit:
             on_commit(1)
         return
     offset = done[-1]["row_offset"] if done else 0
     first = done[-1]["batch_id"] + 1 if done else 0
-    total = envelope.agg(F.coalesce(F.max("row_number"), F.lit(0)).alias("n")).first()["n"]
-    commits = 0
-    while offset < total:
-        until = total if commit_rows is None else min(offset + commit_rows, total)
-        unit = skip_rows(envelope, offset).where(F.col("row_number") <= until)
-        batch_id = first + commits
-        staged = stage(store, run, unit, rules, batch_id)
-        process_unit(store, run, staged, unit, rules, batch_id, offset, remember_keys=True)
-        offset, commits = until, commits + 1
-        if on_commit:
-            on_commit(commits)
+    export = IndexedExport(spark, path, store.path("splits", run["run_id"]), fmt, multi_line)
+    total, commits = export.total, 0
+    with KeyState(spark, store.path("key_state", run["run_id"])) as keys:
+        while offset < total:
+            until = total if commit_rows is None else min(offset + commit_rows, total)
+            unit = export.rows(offset, until)
+            batch_id = first + commits
+            staged = stage(store, run, unit, rules, batch_id)
+            process_unit(store, run, staged, unit, rules, batch_id, offset, keys)
+            if not run["dry_run"]:
+                load_tickets(store, run)
+            offset, commits = until, commits + 1
+            if on_commit:
+                on_commit(commits)
     committed = sum(c["total_records"] for c in store.commits_of(run["run_id"]))
     if committed != total:
         raise RuntimeError(f"{committed} rows are committed, the input has {total}")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from deskwright import fixed
@@ -17,13 +17,7 @@ from deskwright.operators.classify import (
     masked_payload,
     with_repeats,
 )
-from deskwright.operators.merge import (
-    TICKET_KEY,
-    insert_if_absent,
-    latest_per_key,
-    load_counts,
-    merge_actions,
-)
+from deskwright.operators.merge import TICKET_KEY, changed_keys, key_bucket, latest_per_key
 from deskwright.operators.repeats import first_rows, repeated_rows
 from deskwright.operators.scoring import (
     add_measures,
@@ -33,8 +27,9 @@ from deskwright.operators.scoring import (
     quality_gate,
     throughput,
 )
-from deskwright.plans.store import TICKET_SCHEMA, TicketStore
+from deskwright.plans.store import MOST_PARTS, TICKET_SCHEMA, TicketStore
 from deskwright.rules import QualityRules
+from deskwright.streaming.first_rows import KeyState
 
 # Rows rejected as repeats whose numbers and violations are broadcast; about 200 MB. Beyond that
 # they are joined by row number.
@@ -91,25 +86,19 @@ def process_unit(
     rules: QualityRules,
     batch_id: int,
     row_offset: int,
-    remember_keys: bool,
+    keys: KeyState | None = None,
 ) -> None:
     """Flag repeats, quarantine the rejected rows and commit one unit.
 
-    ``row_offset`` counts the rows of earlier units. ``remember_keys`` keeps the first row of every
-    key, for runs of several units: a key of an earlier unit makes every later row with it a repeat.
+    ``row_offset`` counts the rows of earlier units. ``keys`` holds the first row of every key, for
+    runs of several units: a key of an earlier unit makes every later row with it a repeat.
     """
     run_id = run["run_id"]
     claims = F.col("ticket_ok")
-    if remember_keys:
+    if keys is not None:
         key = ticket_key(staged["source_system"], staged["ticket_id"])
-        known = store.committed("keys", run_id).where(F.col("batch_id") < batch_id)
-        firsts = first_rows(staged, key, claims=claims).join(
-            known.select(F.col("ticket_key").alias("_key")), "_key", "left_anti"
-        )
-        written = firsts.select(
-            F.col("_key").alias("ticket_key"), F.col("row_number").alias("first_row_number")
-        )
-        path = store.write_unit(written, "keys", run_id, batch_id)
+        claimed = staged.where(claims).select(key.alias("ticket_key"), "row_number")
+        path = store.write_unit(keys.first_rows(claimed, row_offset), "keys", run_id, batch_id)
         firsts = store.spark.read.parquet(path).select(
             F.col("first_row_number").alias("row_number")
         )
@@ -177,11 +166,12 @@ MOST_CONFLICTS = 100
 
 
 def load_tickets(store: TicketStore, run: dict) -> None:
-    """Load the accepted rows that are not loaded yet and publish the result.
+    """Load the accepted rows of committed units that are not loaded yet and publish the result.
 
-    Insert-only runs append the new keys. Newer-wins runs write a new snapshot. Either way a record
-    in ``loads`` makes the result visible. A load follows from the loads before it; if another run
-    has published under its number meanwhile, the result is made again after that one.
+    Insert-only runs add the new keys. Newer-wins runs also rewrite the buckets of tickets that they
+    update, and no others. A record in ``loads`` makes the result visible. A load follows from the
+    loads before it; if another run has published under its number meanwhile, the result is made again
+    after that one.
     """
     for _ in range(MOST_CONFLICTS):
         if _load_once(store, run):
@@ -189,6 +179,56 @@ def load_tickets(store: TicketStore, run: dict) -> None:
     raise RuntimeError("other loads were published all the time; the run can be started again")
 
 
+def merge_into(
+    store: TicketStore,
+    loads: list[Row],
+    incoming: DataFrame,
+    n_rows: int,
+    folder: str,
+    newer_by: str | None = "updated_at",
+) -> dict:
+    """Merge ``incoming``, about ``n_rows`` tickets of unique keys, into the version after ``loads``.
+
+    New keys are added to their buckets. With ``newer_by`` rows that are newer replace stored ones, for
+    which their buckets are rewritten; other buckets are not touched. Nothing is visible until the
+    result, which is the buckets of either kind and the number of tickets written, is published.
+    """
+    n_buckets = store.n_buckets(loads, n_rows)
+    bucket = key_bucket(TICKET_KEY, n_buckets).alias("bucket")
+    incoming = incoming.select(*TICKET_SCHEMA.names, bucket)
+    touched = None  # all buckets, where there are many rows
+    if n_rows < n_buckets:
+        touched = {r["bucket"] for r in incoming.select("bucket").distinct().collect()}
+    changes = changed_keys(store.tickets(loads, touched), incoming, newer_by=newer_by)
+    path = f"{store.root}/load_changes/{folder}"
+    changes.write.mode("overwrite").parquet(path)
+    changes = store.spark.read.schema(changes.schema).parquet(path)
+    is_update = F.col("action") == "update"
+    counted = changes.groupBy("bucket").agg(
+        F.count("*").alias("rows"), F.count_if(is_update).alias("updates")
+    )
+    counts = counted.collect()  # a row per bucket
+    parts = store.parts(loads)
+    rewritten = sorted(
+        r["bucket"] for r in counts if r["updates"] or len(parts.get(r["bucket"], [])) >= MOST_PARTS
+    )
+    added = sorted({r["bucket"] for r in counts} - set(rewritten))
+    if counts:
+        rows = incoming.join(changes.select(*TICKET_KEY), TICKET_KEY, "left_semi")
+        if rewritten:
+            updated = changes.where(is_update).select(*TICKET_KEY)
+            kept = store.tickets(loads, rewritten).join(updated, TICKET_KEY, "left_anti")
+            rows = rows.unionByName(kept.select(*TICKET_SCHEMA.names, bucket))
+        store.write_tickets(rows, folder)
+    return {
+        "folder": folder,
+        "n_buckets": n_buckets,
+        "rewritten": rewritten,
+        "added": added,
+        "loaded_records": sum(r["rows"] for r in counts),
+    }
+
+
 def _load_once(store: TicketStore, run: dict) -> bool:
     run_id = run["run_id"]
     loads, commits = store.loads(), store.commits_of(run_id)
@@ -198,28 +238,22 @@ def _load_once(store: TicketStore, run: dict) -> bool:
         return True
     number = loads[-1]["load_number"] + 1 if loads else 1
     folder = f"tickets/load={number}-{run_id}"
-    path = f"{store.root}/{folder}"
-    target = store.tickets(loads)
-    incoming = accepted_tickets(store, run, [c["batch_id"] for c in fresh if c["total_records"]])
+    accepted = sum(c["accepted_records"] for c in fresh)
+    incoming = accepted_tickets(store, run, [c["batch_id"] for c in fresh if c["accepted_records"]])
+    newer_by = None
     if run["incremental"]:
+        newer_by = "updated_at"
         # A stream may bring a ticket again in a later unit: the newest counts, of equals the first.
         newest = F.struct("updated_at", -F.col("row_number"))
-        incoming = latest_per_key(incoming, TICKET_KEY, newest).select(*TICKET_SCHEMA.names)
-        merge_actions(target, incoming).write.mode("overwrite").parquet(path)
-        loaded = load_counts(store.spark.read.parquet(path)).first()["loaded_records"]
-    else:
-        incoming = incoming.select(*TICKET_SCHEMA.names)
-        insert_if_absent(target, incoming, TICKET_KEY).write.mode("overwrite").parquet(path)
-        loaded = store.spark.read.parquet(path).count()
+        incoming = latest_per_key(incoming, TICKET_KEY, newest)
+    merged = merge_into(store, loads, incoming, accepted, folder, newer_by)
     return store.publish(
         load_number=number,
         run_id=run_id,
         through_batch=fresh[-1]["batch_id"],
-        folder=folder,
-        replaces=run["incremental"],
-        loaded_records=loaded,
-        unchanged_records=sum(c["accepted_records"] for c in fresh) - loaded,
+        unchanged_records=accepted - merged["loaded_records"],
         published_at=datetime.now(timezone.utc).isoformat(),
+        **merged,
     )
 
 

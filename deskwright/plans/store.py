@@ -4,11 +4,17 @@ Every table is a Parquet folder. A unit of work writes all its outputs under its
 (run_id, batch_id) folders, overwriting what a failed attempt left there, and then writes one commit
 row. Readers use only committed units, so a crash leaves files that nobody reads. One writer per
 run is assumed; different runs may load at the same time, since a load number can be created once.
+
+Tickets lie in buckets by the hash of their key. A load adds files to buckets or rewrites them, and
+its record names the buckets of either kind, so that the records up to any load are a version of the
+table: readers keep theirs while others load, and files of untouched buckets stay as they are. In a
+bucket tickets are sorted by status, priority and time, with Bloom filters on their ids.
 """
 
 from __future__ import annotations
 
 import json
+from collections.abc import Collection
 from datetime import datetime, timezone
 
 from py4j.protocol import Py4JJavaError
@@ -52,10 +58,17 @@ SCHEMAS = {
     "violations array<struct<code:string,dimension:string,message:string>>, "
     "quarantined_at timestamp, run_id string, batch_id long",
     "quality_metrics": "dimension string, score double, measured_at timestamp, run_id string",
-    "loads": "load_number long, run_id string, through_batch long, folder string, replaces boolean, "
-    "loaded_records long, unchanged_records long, published_at timestamp",
+    "loads": "load_number long, run_id string, through_batch long, folder string, n_buckets int, "
+    "rewritten array<int>, added array<int>, loaded_records long, unchanged_records long, "
+    "published_at timestamp",
 }
 
+# The first load of a store decides how many buckets it has.
+LEAST_BUCKETS, MOST_BUCKETS, BUCKET_ROWS = 8, 65_536, 1_000_000
+# A bucket with so many folders is rewritten as one by the next load that adds to it.
+MOST_PARTS = 8
+TICKET_ORDER = ["status", "priority", "updated_at"]
+
 
 class TicketStore:
     def __init__(self, spark: SparkSession, root: str) -> None:
@@ -166,8 +179,8 @@ class TicketStore:
 
     def loads(self) -> list[Row]:
         """The published loads in order: the manifest of the tickets table, one row per load."""
-        columns = ["load_number", "run_id", "through_batch", "folder", "replaces"]
-        return sorted(self.read("loads").select(*columns).collect())
+        rows = self.read("loads").drop("published_at").collect()
+        return sorted(rows, key=lambda load: load["load_number"])
 
     def publish(self, **load) -> bool:
         """Create the record of a load, unless its number is taken already."""
@@ -185,11 +198,62 @@ class TicketStore:
         out.close()
         return True
 
-    def tickets(self, loads: list[Row] | None = None) -> DataFrame:
-        """The current tickets: the last full snapshot and the insert-only loads after it."""
-        live: list[str] = []
-        for load in self.loads() if loads is None else loads:
-            live = [load["folder"]] if load["replaces"] else [*live, load["folder"]]
-        if not live:
+    def n_buckets(self, loads: list[Row], rows: int) -> int:
+        """Buckets of the store; an empty one gets as many as suit its first ``rows``."""
+        if loads:
+            return loads[0]["n_buckets"]
+        return min(max(-(-rows // BUCKET_ROWS), LEAST_BUCKETS), MOST_BUCKETS)
+
+    @staticmethod
+    def parts(loads: list[Row]) -> dict[int, list[str]]:
+        """The folders of every bucket in the version after the given loads."""
+        live: dict[int, list[str]] = {}
+        for load in loads:
+            for bucket in load["rewritten"]:
+                live[bucket] = [load["folder"]]
+            for bucket in load["added"]:
+                live.setdefault(bucket, []).append(load["folder"])
+        return live
+
+    def tickets(
+        self, loads: list[Row] | None = None, buckets: Collection[int] | None = None
+    ) -> DataFrame:
+        """The tickets after the given loads (all, if not given), of some buckets or of all."""
+        live = self.parts(self.loads() if loads is None else loads)
+        wanted = live if buckets is None else {b: live[b] for b in buckets if b in live}
+        paths = [f"{self.root}/{f}/bucket={b}" for b in sorted(wanted) for f in wanted[b]]
+        if not paths:
             return self.spark.createDataFrame([], TICKET_SCHEMA)
-        return self.spark.read.schema(TICKET_SCHEMA).parquet(*[f"{self.root}/{f}" for f in live])
+        return self.spark.read.schema(TICKET_SCHEMA).parquet(*paths)
+
+    def write_tickets(self, rows: DataFrame, folder: str) -> None:
+        """Write ``rows`` with their ``bucket``; keys are hashed, so buckets are of one size."""
+        order = ["bucket", *TICKET_ORDER]
+        writer = rows.repartition("bucket").sortWithinPartitions(*order).write.mode("overwrite")
+        writer = writer.option("parquet.bloom.filter.enabled#ticket_id", "true")
+        writer.partitionBy("bucket").parquet(f"{self.root}/{folder}")
+
+    def vacuum(self, keep_versions: int = 1) -> list[str]:
+        """Delete ticket folders that none of the last ``keep_versions`` versions names.
+
+        No run may be loading, and readers of older versions must have ended.
+        """
+        loads = self.loads()
+        used = {
+            f"{folder}/bucket={bucket}"
+            for version in range(max(len(loads) - keep_versions, 0), len(loads))
+            for bucket, folders in self.parts(loads[: version + 1]).items()
+            for folder in folders
+        }
+        named = {
+            f"{load['folder']}/bucket={bucket}"
+            for load in loads
+            for bucket in (*load["rewritten"], *load["added"])
+        }
+        jvm, configuration = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
+        deleted = []
+        for folder in sorted(named - used):
+            path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{folder}")
+            if path.getFileSystem(configuration).delete(path, True):
+                deleted.append(folder)
+        return deleted

@@ -46,24 +46,32 @@ def scan_position(row_index: bool, stream: bool = False) -> list[Column]:
     ]
 
 
-def split_starts(scan: DataFrame) -> DataFrame:
+def file_starts(scan: DataFrame, rows: Column | None = None) -> DataFrame:
+    """One row per file: its number of rows and the number of rows in the files before it.
+
+    The window has one row per input file and no partition key. That is the listing which the Spark
+    driver already holds to plan the scan, not data.
+    """
+    files = scan.groupBy(FILE).agg((F.count("*") if rows is None else rows).alias("_file_rows"))
+    before = Window.orderBy(FILE).rowsBetween(Window.unboundedPreceding, -1)
+    start = F.coalesce(F.sum("_file_rows").over(before), F.lit(0))
+    return files.select(FILE, "_file_rows", start.alias("_file_start"))
+
+
+def split_starts(scan: DataFrame, files: DataFrame | None = None) -> DataFrame:
     """One row per file split: first position and number of rows before it.
 
-    The last window has one row per input file and no partition key. That is the listing which the
-    Spark driver already holds to plan the scan, not data.
+    ``files`` are the file starts of a scan of these files or of more; if not given, of this scan.
     """
     splits = scan.groupBy(FILE, BLOCK).agg(
         F.min(POSITION).alias("_first"), F.count("*").alias("_rows")
     )
-    files = splits.groupBy(FILE).agg(F.sum("_rows").alias("_file_rows"))
-    before_file = Window.orderBy(FILE).rowsBetween(Window.unboundedPreceding, -1)
+    if files is None:
+        files = file_starts(splits, F.sum("_rows"))
     before_split = (
         Window.partitionBy(FILE).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
     )
-    files = files.select(
-        FILE, F.coalesce(F.sum("_file_rows").over(before_file), F.lit(0)).alias("_file_start")
-    )
-    return splits.join(files, FILE).select(
+    return splits.join(files.select(FILE, "_file_start"), FILE).select(
         FILE,
         BLOCK,
         "_first",
@@ -73,12 +81,18 @@ def split_starts(scan: DataFrame) -> DataFrame:
     )
 
 
-def number_rows(scan: DataFrame, first_number: int = 1, single_file: bool = False) -> DataFrame:
+def number_rows(
+    scan: DataFrame,
+    first_number: int = 1,
+    single_file: bool = False,
+    files: DataFrame | None = None,
+) -> DataFrame:
     """Replace the position columns by a dense ``row_number`` starting at ``first_number``.
 
     The split starts are written out first. Up to BROADCAST_SPLITS of them are broadcast, so that
     rows are not moved; beyond that rows join by split (for Parquet and multi-line CSV, by file).
-    ``single_file`` says that positions are already row indexes of one file.
+    ``single_file`` says that positions are already row indexes of one file. With the ``files`` of a
+    larger scan, numbers are those that the rows have there.
     """
     if single_file:
         number = F.col(POSITION) + F.lit(first_number).cast("long")
@@ -87,7 +101,7 @@ def number_rows(scan: DataFrame, first_number: int = 1, single_file: bool = Fals
         scan = scan.withColumn(POSITION, F.monotonically_increasing_id())
     spark = scan.sparkSession
     path = scratch_path(spark, "splits")
-    split_starts(scan).write.parquet(path)
+    split_starts(scan, files).write.parquet(path)
     starts = spark.read.parquet(path)
     if starts.count() <= BROADCAST_SPLITS:
         starts = F.broadcast(starts)

@@ -8,7 +8,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from functools import reduce
+from urllib.parse import unquote
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,9 +18,11 @@ from pyspark.sql import types as T
 from deskwright import fixed
 from deskwright.functions import sql
 from deskwright.functions.text import truncate
+from deskwright.session import scratch_path
 from deskwright.sources.formats import detect_format
 from deskwright.sources.numbering import (
     FILE,
+    file_starts,
     number_rows,
     pin_split_layout,
     scan_position,
@@ -27,6 +31,7 @@ from deskwright.sources.numbering import (
 
 # CSV rows with more fields than the header put the first surplus value here.
 SURPLUS = "__surplus"
+FILE_INDEX = f"{FILE} string, _file_rows long, _file_start long"
 
 
 def csv_columns(spark: SparkSession, path: str, multi_line: bool = True) -> list[str]:
@@ -49,7 +54,13 @@ def headers_of(spark: SparkSession, files: list[str]) -> DataFrame:
 
 
 def _from_csv(
-    spark: SparkSession, reader, path: str, columns: list[str], multi_line: bool, stream: bool
+    spark: SparkSession,
+    reader,
+    path: str,
+    columns: list[str],
+    multi_line: bool,
+    stream: bool,
+    only: list[str] | None = None,
 ) -> DataFrame:
     """CSV values by the name in their own file's header; the first file's columns count."""
 
@@ -73,7 +84,7 @@ def _from_csv(
     if stream:
         return scan(path, columns)
     whole = scan(path, columns)
-    files = whole.inputFiles()
+    files = [unquote(f) for f in whole.inputFiles()]  # listings and columns have names encoded
     if len(files) < 2:
         return whole
     headed = headers_of(spark, files).where(F.col("header").isNotNull())
@@ -81,10 +92,12 @@ def _from_csv(
     # A row per different header; the files are those of the driver's own listing.
     found = sorted(groups.collect(), key=lambda r: min(r["files"]))
     if len(found) < 2:
-        return whole
-    named = [(r["files"], csv_columns(spark, r["files"][0], multi_line)) for r in found]
+        return scan(only, columns) if only else whole
+    groups = [[unquote(f) for f in r["files"]] for r in found]
+    named = [(files, csv_columns(spark, files[0], multi_line)) for files in groups]
     columns = list(dict.fromkeys(name for _, names in named for name in names))
-    return reduce(DataFrame.unionByName, [scan(files, names) for files, names in named])
+    held = [([f for f in files if not only or f in only], names) for files, names in named]
+    return reduce(DataFrame.unionByName, [scan(files, names) for files, names in held if files])
 
 
 def check_headers(rows: DataFrame) -> None:
@@ -93,13 +106,13 @@ def check_headers(rows: DataFrame) -> None:
     A stream reads by position, as its files are not known when it starts.
     """
     named = rows.select(FILE).where(F.lower(FILE).endswith(".csv")).distinct()
-    files = [r[0] for r in named.collect()]  # at most the files of one trigger
+    files = [unquote(r[0]) for r in named.collect()]  # at most the files of one trigger
     if not files:
         return
     spark, columns = rows.sparkSession, rows.schema["data"].dataType.names
     headed = headers_of(spark, files).where(F.col("header").isNotNull())
     for r in headed.groupBy("header").agg(F.min("file").alias("file")).collect():
-        if csv_columns(spark, r["file"]) != columns:
+        if csv_columns(spark, unquote(r["file"])) != columns:
             raise ValueError(f"the header of {r['file']} is not that of the stream")
 
 
@@ -118,8 +131,9 @@ def _from_json_lines(reader, path: str, stream: bool) -> DataFrame:
     )
 
 
-def _from_parquet(reader, path: str, schema: T.StructType | None) -> DataFrame:
-    scan = (reader.schema(schema) if schema is not None else reader).parquet(path)
+def _from_parquet(reader, paths: list[str], schema: T.StructType | None) -> DataFrame:
+    reader = reader.schema(schema) if schema is not None else reader
+    scan = reader.parquet(*paths)
     return scan.select(
         *scan_position(row_index=True),
         F.struct(*[F.col(sql.name(c)) for c in scan.columns]).alias("data"),
@@ -134,13 +148,15 @@ def scan_export(
     multi_line: bool = True,
     stream: bool = False,
     schema: T.StructType | None = None,
+    only: list[str] | None = None,
     **options: str,
 ) -> DataFrame:
     """Unnumbered envelope with the position columns, as a batch or a stream.
 
     ``multi_line`` lets CSV values span lines but keeps each file in one task; switch it off for
     exports without quoted newlines, so that large files are split. A Parquet stream needs the
-    ``schema``; a batch takes it from the files.
+    ``schema``; a batch takes it from the files. ``only`` reads some of a batch's files, as if they
+    were scanned among all.
     """
     pin_split_layout(spark)
     # Duplicate JSON keys keep the last value instead of spoiling the line.
@@ -149,10 +165,12 @@ def scan_export(
     reader = (spark.readStream if stream else spark.read).options(**options)
     if fmt == "csv":
         columns = schema.names if schema else csv_columns(spark, path, multi_line)
-        return _from_csv(spark, reader, path, columns, multi_line, stream)
+        return _from_csv(spark, reader, path, columns, multi_line, stream, only)
     if fmt == "jsonl":
-        return _from_json_lines(reader, path, stream)
-    return _from_parquet(reader, path, schema)
+        return _from_json_lines(reader, only or path, stream)
+    if only and schema is None:
+        schema = reader.parquet(path).schema
+    return _from_parquet(reader, only or [path], schema)
 
 
 def read_tickets(
@@ -165,6 +183,52 @@ def read_tickets(
     return spread(number_rows(scan, single_file=single), scan)
 
 
+class IndexedExport:
+    """An export whose row ranges are read from the files that hold them.
+
+    The index has the number of rows and the first row of every file. It is written to ``index`` by
+    the first pass and read again by every later one, also of another session. So units of work and
+    a resumed run read their share of the files and not the export; a single file is read whole.
+    """
+
+    def __init__(
+        self, spark: SparkSession, path: str, index: str, fmt: str | None = None, multi_line: bool = True
+    ) -> None:
+        self.spark, self.path, self.multi_line = spark, path, multi_line
+        self.fmt = detect_format(path, fmt)
+        self.index = self._stored(index)
+        if self.index is None:  # one file, so that it is there as a whole or not at all
+            file_starts(self._scan()).coalesce(1).write.mode("overwrite").parquet(index)
+            self.index = spark.read.schema(FILE_INDEX).parquet(index)
+        self.total = self.index.agg(F.coalesce(F.sum("_file_rows"), F.lit(0))).first()[0]
+
+    def _stored(self, index: str) -> DataFrame | None:
+        try:
+            found = self.spark.read.schema(FILE_INDEX).parquet(index)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return None
+        return None if found.isEmpty() else found
+
+    def _scan(self, only: list[str] | None = None) -> DataFrame:
+        return scan_export(self.spark, self.path, self.fmt, self.multi_line, only=only)
+
+    def files(self, after: int, until: int) -> list[str]:
+        """The files with rows after number ``after`` up to ``until``; part of the driver's listing."""
+        end = F.col("_file_start") + F.col("_file_rows")
+        overlapping = self.index.where((F.col("_file_start") < until) & (end > after))
+        return sorted(r[0] for r in overlapping.select(FILE).collect())
+
+    def rows(self, after: int = 0, until: int | None = None) -> DataFrame:
+        """Numbered envelope of the rows after number ``after`` up to ``until``."""
+        until = self.total if until is None else until
+        scan = self._scan([unquote(f) for f in self.files(after, until)] or None)
+        numbered = number_rows(scan, files=self.index)
+        inside = (F.col("row_number") > after) & (F.col("row_number") <= until)
+        return spread(numbered.where(inside), scan)
+
+
 def envelope_of(rows: DataFrame, row_number: Column | str = "row_number") -> DataFrame:
     """Envelope of a table that already carries its row numbers."""
     number = F.col(row_number) if isinstance(row_number, str) else row_number

@@ -9,6 +9,7 @@ its own, whose rows update earlier ones; otherwise a ticket of an earlier batch
 
 from __future__ import annotations
 
+import contextlib
 import hashlib
 import time
 from collections.abc import Callable
@@ -17,19 +18,32 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from deskwright import fixed
-from deskwright.plans.load import describe_run, finish_run, process_unit, stage, stored_summary
+from deskwright.plans.load import (
+    describe_run,
+    finish_run,
+    load_tickets,
+    process_unit,
+    stage,
+    stored_summary,
+)
 from deskwright.plans.reports import write_reports
 from deskwright.plans.store import TicketStore
 from deskwright.rules import QualityRules
 from deskwright.sources.formats import detect_format
 from deskwright.sources.numbering import number_rows
 from deskwright.sources.readers import check_headers, scan_export
+from deskwright.streaming.first_rows import KeyState
 
 
 def ingest_batch(
-    store: TicketStore, run: dict, rules: QualityRules, rows: DataFrame, batch_id: int
+    store: TicketStore,
+    run: dict,
+    rules: QualityRules,
+    rows: DataFrame,
+    batch_id: int,
+    keys: KeyState | None,
 ) -> bool:
-    """Process one micro-batch unless it is already committed."""
+    """Process one micro-batch and load its tickets, unless it is already committed."""
     done = store.commits_of(run["run_id"])
     if done and batch_id <= done[-1]["batch_id"]:
         return False
@@ -38,9 +52,9 @@ def ingest_batch(
         check_headers(rows)
     envelope = number_rows(rows, first_number=offset + 1)
     staged = stage(store, run, envelope, rules, batch_id)
-    # In a newer-wins stream a later micro-batch updates a ticket; within one it is a repeat.
-    remember = not run["incremental"]
-    process_unit(store, run, staged, envelope, rules, batch_id, offset, remember_keys=remember)
+    process_unit(store, run, staged, envelope, rules, batch_id, offset, keys)
+    if not run["dry_run"]:
+        load_tickets(store, run)
     return True
 
 
@@ -84,8 +98,11 @@ def run_stream(
     store.log_run(run, fixed.RUNNING)
     started = time.monotonic()
 
+    # In a newer-wins stream a later micro-batch updates a ticket; within one it is a repeat.
+    keys = None if incremental else KeyState(spark, store.path("key_state", run_id))
+
     def each(rows: DataFrame, batch_id: int) -> None:
-        if ingest_batch(store, run, rules, rows, batch_id) and on_commit:
+        if ingest_batch(store, run, rules, rows, batch_id, keys) and on_commit:
             on_commit(batch_id + 1)
 
     try:
@@ -104,7 +121,8 @@ def run_stream(
             .trigger(availableNow=True)
             .start()
         )
-        query.awaitTermination()
+        with keys or contextlib.nullcontext():
+            query.awaitTermination()
         finish_run(store, run, rules)
     except BaseException as error:
         store.log_run(

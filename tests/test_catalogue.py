@@ -18,6 +18,7 @@ RUNS = {
     "run_summary_batch", "rerun_idempotent", "dry_run_summary", "resume_after_failure",
     "resume_with_other_commit_size",
     "stream_ingest_resume", "stream_dedup_keys", "stream_quarantine", "stream_tickets",
+    "tickets_of_a_stopped_run", "find_stored_tickets",
     "stored_tickets", "stored_quarantine", "total_tickets", "run_checkpoint", "run_lineage",
     "runs_listing", "metrics_listing", "report_markdown", "report_json",
 }

@@ -262,7 +262,8 @@ def test_stream_with_restart_equals_one_pass(spark, tmp_path):
     with pytest.raises(Exception, match="on purpose"):
         run_stream(spark, folder, rules, root, **options, on_commit=stop_after(2))
     store = TicketStore(spark, root)
-    assert store.read("commits").count() == 2 and store.tickets().isEmpty()
+    commits = store.read("commits").collect()
+    assert len(commits) == 2 and store.tickets().count() == sum(c["accepted_records"] for c in commits)
     streamed = run_stream(spark, folder, rules, root, **options).first()
     again = run_stream(spark, folder, rules, root, **options).first()
     assert [streamed[c] for c in COUNTS] == [again[c] for c in COUNTS]
