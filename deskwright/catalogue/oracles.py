@@ -302,6 +302,15 @@ _QUARANTINE = (
     "FROM done d JOIN tv v ON v.row_number = d.row_number WHERE NOT d.accepted"
 )
 
+_BROKEN = (
+    "CASE WHEN row_number % 3 > 0 THEN 'says \"' || CAST(row_number AS VARCHAR) || '\",' || chr(10) || 'then' "
+    "|| chr(13) || chr(10) || chr(10) || ',\"' || description || '\"' || chr(10) END"
+)
+_MULTILINE = ", ".join(
+    f"{_BROKEN} AS description" if c == "description" else f"nullif({c}, '') AS {c}"
+    for c in fixed.EXPORT_COLUMNS
+)
+
 _FIRST_ROWS = (
     "SELECT sha256(identity) AS ticket_key, min(row_number) AS first_row_number "
     "FROM done WHERE ticket_ok GROUP BY identity"
@@ -441,6 +450,7 @@ ORACLES: dict[str, str] = {
         "count(*) AS n_rows, min(row_number) AS first_row, max(row_number) AS last_row FROM tv GROUP BY 1"
     ),
     "offset_skip": _view(f"SELECT row_number, ticket_id FROM tv WHERE row_number > {OFFSET}"),
+    "scan_csv_multiline": _view(f"SELECT row_number, {_MULTILINE} FROM tv"),
     "scan_csv": _view(f"SELECT row_number, {_read(csv=True)} FROM tv"),
     "scan_parquet": _view(f"SELECT row_number, {_read(csv=False)} FROM tv"),
     "scan_jsonl_corrupt": _view(

@@ -567,6 +567,34 @@ def scan_csv(spark, folder):
     return rows.select("row_number", *[F.col(f"data.{c}").alias(c) for c in _READ_BACK])
 
 
+SMALL_SPLIT = 64 * 1024
+
+
+@query
+def scan_csv_multiline(spark, folder):
+    """Descriptions with line breaks, quotes and commas, cut anywhere by small splits."""
+    view = in_row_order(spark, folder)
+    number = F.col("row_number").cast("string")
+    broken = F.concat(F.lit('says "'), number, F.lit('",\nthen\r\n\n,"'), "description", F.lit('"\n'))
+    rows = view.withColumn("description", F.when(F.col("row_number") % 3 > 0, broken).otherwise(""))
+    path = f"{scratch_path(spark, 'export')}/tickets.csv"
+    synthetic.write_export(rows.drop("row_number"), path, "csv")
+    small = {"spark.sql.files.maxPartitionBytes": SMALL_SPLIT, "spark.sql.files.openCostInBytes": 1}
+    before = {name: spark.conf.get(name) for name in small}
+    stored = scratch_path(spark, "scanned")
+    try:
+        for name, value in small.items():
+            spark.conf.set(name, str(value))
+        # Read while the splits are small, as another split size cuts the files elsewhere.
+        read_tickets(spark, path).select(
+            "row_number", *[F.col(f"data.{c}").alias(c) for c in _READ_BACK]
+        ).write.parquet(stored)
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    return spark.read.parquet(stored)
+
+
 @query
 def scan_parquet(spark, folder):
     rows = read_tickets(spark, _written(spark, folder, "parquet"))

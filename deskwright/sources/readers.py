@@ -19,9 +19,12 @@ from deskwright import fixed
 from deskwright.functions import sql
 from deskwright.functions.text import truncate
 from deskwright.session import scratch_path
+from deskwright.sources.csv_splits import parsed_records
 from deskwright.sources.formats import detect_format
 from deskwright.sources.numbering import (
+    BLOCK,
     FILE,
+    POSITION,
     file_starts,
     number_rows,
     pin_split_layout,
@@ -42,6 +45,14 @@ def csv_columns(spark: SparkSession, path: str, multi_line: bool = True) -> list
     return columns
 
 
+def _has_long_files(spark: SparkSession, path: str) -> bool:
+    """Whether a file is longer than a split; its listing is read, not the file."""
+    lengths = spark.read.format("binaryFile").load(path).agg(F.max("length"))
+    split = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    most = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(split)
+    return (lengths.first()[0] or 0) > most
+
+
 def headers_of(spark: SparkSession, files: list[str]) -> DataFrame:
     """file and header (the first line with text) of CSV files."""
     lines = spark.read.text(files).select(
@@ -63,8 +74,11 @@ def _from_csv(
     only: list[str] | None = None,
 ) -> DataFrame:
     """CSV values by the name in their own file's header; the first file's columns count."""
+    in_splits = multi_line and not stream and _has_long_files(spark, path)
 
     def scan(files: str | list[str], names: list[str]) -> DataFrame:
+        if in_splits:
+            return placed(parsed_records(spark, files, [*names, SURPLUS]), names, [FILE, BLOCK, POSITION])
         schema = T.StructType([T.StructField(c, T.StringType()) for c in [*names, SURPLUS]])
         rows = (
             reader.schema(schema)
@@ -73,26 +87,29 @@ def _from_csv(
             .option("escape", '"')
             .csv(files)
         )
+        return placed(rows, names, scan_position(row_index=False, stream=stream))
+
+    def placed(rows: DataFrame, names: list[str], position: list) -> DataFrame:
         too_long = F.when(F.col(SURPLUS).isNotNull(), F.lit("row has more fields than the header"))
         values = [F.col(sql.name(c)) if c in names else F.lit(None).cast("string") for c in columns]
         return rows.select(
-            *scan_position(row_index=False, stream=stream),
+            *position,
             F.struct(*[v.alias(c) for v, c in zip(values, columns)]).alias("data"),
             too_long.alias("read_error"),
         )
 
     if stream:
         return scan(path, columns)
-    whole = scan(path, columns)
-    files = [unquote(f) for f in whole.inputFiles()]  # listings and columns have names encoded
+    # Listings and columns have names encoded.
+    files = [unquote(f) for f in spark.read.text(path).inputFiles()]
     if len(files) < 2:
-        return whole
+        return scan(path, columns)
     headed = headers_of(spark, files).where(F.col("header").isNotNull())
     groups = headed.groupBy("header").agg(F.collect_list("file").alias("files"))
     # A row per different header; the files are those of the driver's own listing.
     found = sorted(groups.collect(), key=lambda r: min(r["files"]))
     if len(found) < 2:
-        return scan(only, columns) if only else whole
+        return scan(only or path, columns)
     groups = [[unquote(f) for f in r["files"]] for r in found]
     named = [(files, csv_columns(spark, files[0], multi_line)) for files in groups]
     columns = list(dict.fromkeys(name for _, names in named for name in names))
@@ -153,9 +170,10 @@ def scan_export(
 ) -> DataFrame:
     """Unnumbered envelope with the position columns, as a batch or a stream.
 
-    ``multi_line`` lets CSV values span lines but keeps each file in one task; switch it off for
-    exports without quoted newlines, so that large files are split. A Parquet stream needs the
-    ``schema``; a batch takes it from the files. ``only`` reads some of a batch's files, as if they
+    ``multi_line`` lets CSV values span lines. A batch with files longer than a split is then read split
+    by split (see csv_splits), other files and all files of a stream in one task each. Switch it off for
+    exports without quoted newlines, which are read in one pass. A Parquet stream needs the ``schema``;
+    a batch takes it from the files. ``only`` reads some of a batch's files, as if they
     were scanned among all.
     """
     pin_split_layout(spark)
