@@ -8,7 +8,7 @@ over its words.
 The models are fitted on a documented, bounded sample: documents of a language enter with the
 probability that makes ``sample_docs`` of them expected, decided by a hash of the id; the
 ``vocabulary`` most frequent words and ``ngrams`` most frequent n-grams of each length are kept.
-Every document is scored over its whole text.
+Every document is scored over its whole text. More than MOST_LANGUAGES languages are refused.
 
 Defined results: null text, and text without a letter, is ``und`` with score 0; a training table
 without a language gives ``und`` for all; rows with a null language are not learned from; repeated
@@ -136,8 +136,10 @@ def fit(
 ) -> Model:
     """A model from ``docs(doc_id, text, lang)``."""
     labelled = docs.where(F.col("lang").isNotNull())
-    sizes = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES)
+    sizes = labelled.groupBy("lang").count().limit(MOST_LANGUAGES + 1)
     counts = {r["lang"]: r["count"] for r in sizes.collect()}
+    if len(counts) > MOST_LANGUAGES:
+        raise ValueError(f"there are more than {MOST_LANGUAGES} languages")
     languages = sorted(counts)
     if not languages:
         return Model([], [{}], np.zeros((0, 0), np.float32))
