@@ -49,7 +49,7 @@ ROUNDS = (4, 8)  # trees of each round
 LEVELS = 4
 OUTSIDE = 12  # classes outside the largest component of a node that is compared exhaustively
 PIVOTS = 2  # the member linked to most pivots, and the pivot linked to most members
-FREQUENCY_BITS = 22  # the logarithm of the number of buckets in which shingles are counted
+FREQUENCY_BITS = 20  # the logarithm of the number of buckets in which shingles are counted
 BLOCK = 64  # about the classes of a block of a node of the exact join
 FILTER_BITS = 26  # the logarithm of the number of bits that mark shared tokens of prefixes
 SMALLEST_ID = -(1 << 63)
@@ -144,8 +144,9 @@ def frequencies(spark: SparkSession, docs: DataFrame) -> np.ndarray:
 
     found = map_columns(docs.select("text"), make, "bucket int, times double", rows=4096)
     summed = found.groupBy("bucket").agg(F.sum("times").cast("long").alias("times")).toArrow()
-    counts = np.zeros(1 << FREQUENCY_BITS, np.int64)
-    counts[summed.column("bucket").to_numpy()] = summed.column("times").to_numpy()
+    counts = np.zeros(1 << FREQUENCY_BITS, np.int32)
+    most = np.iinfo(np.int32).max
+    counts[summed.column("bucket").to_numpy()] = np.minimum(summed.column("times").to_numpy(), most)
     return counts
 
 
@@ -187,12 +188,13 @@ def sketch(spark: SparkSession, docs: DataFrame, percent: int) -> DataFrame:
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), "text", _text_hash().alias("text_hash")
     )
-    return map_columns(
-        rows,
-        make,
+    schema = (
         "doc_id long, text_hash long, class binary, n_shingles long, tokens array<int>, "
-        "prefix array<int>",
+        "prefix array<int>"
     )
+    sketches = stored(spark, map_columns(rows, make, schema), "near-sketches")
+    shared.destroy()
+    return sketches
 
 
 def _text_hash() -> Column:
@@ -200,17 +202,30 @@ def _text_hash() -> Column:
 
 
 def _paths(classes: DataFrame, trees: range) -> DataFrame:
-    """class, root, links, path, alone, tree and the tokens of further levels, for each tree."""
+    """class, root, links, path, tree and the tokens of all levels, for the first nodes of each tree."""
     tree = F.explode(F.lit(list(trees))).alias("tree")
     rows = classes.select(*SAME, "tokens", tree)
-    first = F.col("tree") * LEVELS
-    return rows.select(
-        *SAME,
-        F.xxhash64("tree", F.get("tokens", first)).alias("path"),
-        F.lit(True).alias("alone"),
-        "tree",
-        F.slice("tokens", first + 2, LEVELS - 1).alias("rest"),
-    )
+    rows = rows.select(*SAME, "tree", F.slice("tokens", F.col("tree") * LEVELS + 1, LEVELS).alias("own"))
+    first, last = F.lit(True).alias("first"), F.lit(False).alias("last")
+    return rows.select(*SAME, _path(0, 0).alias("path"), first, last, "tree", "own")
+
+
+def _path(first: int, last: int) -> Column:
+    """The node of the tokens of levels ``first`` to ``last`` of a tree."""
+    path = F.xxhash64("tree", F.lit(first), F.get("own", F.lit(first)))
+    for level in range(first + 1, last + 1):
+        path = F.xxhash64(path, F.get("own", F.lit(level)))
+    return path
+
+
+def _further_paths(rows: DataFrame) -> DataFrame:
+    """The same columns for all nodes of further levels: each run of tokens of a tree is one."""
+    runs = [(i, j) for j in range(1, LEVELS) for i in range(j + 1)]
+    nodes = [
+        F.struct(_path(i, j).alias("path"), F.lit(i < j == LEVELS - 1).alias("last")) for i, j in runs
+    ]
+    rows = rows.select(*SAME, "tree", "own", F.explode(F.array(*nodes)).alias("node"))
+    return rows.select(*SAME, "node.path", F.lit(False).alias("first"), "node.last")
 
 
 def _nodes(frame: DataFrame) -> DataFrame:
@@ -281,54 +296,50 @@ def candidates(spark: SparkSession, classes: DataFrame, trees: range, percent: i
 
     ``classes(class, root, links, pivot_links, tokens)``; root is the component so far. In a node
     with few classes outside its largest component these are compared with all members; any two
-    members of different components are among such pairs. Other nodes branch: a member goes on to
-    the child of its next token, and from nodes of a single token also to the node of the next token alone,
-    as the token that makes the node large may come from a passage that many texts share. In the
-    first and last nodes of every tree members also meet pivots if their tokens agree as similar
-    sets would: the member that was linked to most earlier pivots and the
+    members of different components are among such pairs. The members of other nodes of the first
+    level branch, to the nodes of all runs of their tree's tokens at once: a run that starts later
+    leaves out a token that may come from a passage which many texts share. In the large ones of the
+    first nodes and of those that end with a tree's last token members also meet pivots if their
+    tokens agree as similar sets would: the member that was linked to most earlier pivots and the
     earlier pivot that was linked to most members, since the centre of a group of near copies is
     similar to many that are not to each other.
     """
-    frame, found = _paths(classes, trees), []
-    for level in range(1, LEVELS + 1):
-        met = stored(spark, frame.join(_nodes(frame), "path"), "near-nodes")
-        few, many = met.where(F.col("n_out") <= OUTSIDE), met.where(F.col("n_out") > OUTSIDE)
-        outside = (
-            few.where(F.col("root") != F.col("inside"))
-            .groupBy("path")
-            .agg(F.collect_list(F.struct("class", "root")).alias("outside"))
-        )
-        met_outside = few.join(outside, "path").select(
-            "class", "root", "inside", F.explode("outside").alias("other")
-        )
-        once = (F.col("root") == F.col("inside")) | (F.col("class") < F.col("other.class"))
-        apart = met_outside.where(once & (F.col("other.root") != F.col("root")))
-        no_pivot = F.lit(None).cast("binary").alias("pivot")
-        found.append(apart.select(*_pair("class", "other.class"), no_pivot))
-        if level == 1:
-            found.append(_pivot_pairs(many, classes, percent))
-        if level == LEVELS:
-            found.append(_pivot_pairs(many.where(~F.col("alone")), classes, percent))
-        if level == LEVELS or many.isEmpty():
-            break
-        token = F.get("rest", F.lit(level - 1))
-        longer = F.xxhash64("path", token).alias("path")
-        single = F.xxhash64("tree", F.lit(level), token).alias("path")
-        below = many.select(*SAME, longer, F.lit(False).alias("alone"), "tree", "rest")
-        beside = many.where("alone").select(*SAME, single, "alone", "tree", "rest")
-        frame = below.unionByName(beside)
-    pairs = reduce(DataFrame.unionByName, found).groupBy("a", "b")
-    return stored(spark, pairs.agg(F.max("pivot").alias("pivot")), "near-pairs")
+    frame = _paths(classes, trees)
+    met = stored(spark, frame.join(_nodes(frame), "path"), "near-nodes")
+    frame = _further_paths(met.where(F.col("n_out") > OUTSIDE))
+    further = stored(spark, frame.join(_nodes(frame), "path"), "near-nodes")
+    met = met.drop("tree", "own").unionByName(further)
+    few = met.where(F.col("n_out") <= OUTSIDE)
+    outside = (
+        few.where(F.col("root") != F.col("inside"))
+        .groupBy("path")
+        .agg(F.collect_list(F.struct("class", "root")).alias("outside"))
+    )
+    met_outside = few.join(outside, "path").select(
+        "class", "root", "inside", F.explode("outside").alias("other")
+    )
+    once = (F.col("root") == F.col("inside")) | (F.col("class") < F.col("other.class"))
+    apart = met_outside.where(once & (F.col("other.root") != F.col("root")))
+    found = apart.select(*_pair("class", "other.class"), F.lit(None).cast("binary").alias("pivot"))
+    many = met.where((F.col("n_out") > OUTSIDE) & (F.col("first") | F.col("last")))
+    found = found.unionByName(_pivot_pairs(many, classes, percent))
+    pairs = found.groupBy("a", "b").agg(F.max("pivot").alias("pivot"))
+    return stored(spark, pairs, "near-pairs")
 
 
 def _shared_tokens(spark: SparkSession, classes: DataFrame) -> np.ndarray:
     """Bits, some of them set by chance, of the tokens that prefixes of several components hold."""
-    root = F.hash("root")
-    tokens = classes.select(F.explode("prefix").alias("token"), root.alias("root"))
-    shared = tokens.groupBy("token").agg(F.min("root").alias("least"), F.max("root").alias("most"))
+    halves = [
+        F.conv(F.hex(F.substring("root", at, 8)), 16, -10).cast("long").alias(name)
+        for name, at in (("upper", 1), ("lower", 9))
+    ]
+    tokens = classes.select("prefix", *halves).select(F.explode("prefix").alias("token"), "upper", "lower")
+    shared = tokens.groupBy("token").agg(
+        (F.min("upper") < F.max("upper")).alias("upper"), (F.min("lower") < F.max("lower")).alias("lower")
+    )
     bit = F.col("token").cast("long").bitwiseAND((1 << FILTER_BITS) - 1)
     words = (
-        shared.where("least != most")
+        shared.where("upper OR lower")
         .select(F.shiftright(bit, 6).cast("int").alias("word"), (bit % 64).cast("int").alias("at"))
         .groupBy("word")
         .agg(F.bit_or(F.expr("shiftleft(1L, at)")).alias("bits"))
@@ -365,9 +376,12 @@ def _prefix_members(spark: SparkSession, classes: DataFrame) -> DataFrame:
     schema = "class binary, root binary, n int, places array<int>, paths array<int>"
     rows = map_columns(classes.select("class", "root", "n", "prefix"), make, schema)
     entry = F.explode(F.arrays_zip("paths", "places")).alias("entry")
-    return rows.select("class", "root", "n", entry).select(
+    rows = rows.select("class", "root", "n", entry).select(
         "class", "root", "n", F.col("entry.paths").alias("path"), F.col("entry.places").alias("place")
     )
+    members = stored(spark, rows, "near-members")
+    shared.destroy()
+    return members
 
 
 def joined(spark: SparkSession, classes: DataFrame, percent: int) -> DataFrame:
@@ -377,7 +391,7 @@ def joined(spark: SparkSession, classes: DataFrame, percent: int) -> DataFrame:
     follows the first shared one is enough of both. Classes outside the largest component of a node
     meet all its members; both are dealt out to blocks, and every pair of blocks is a key.
     """
-    members = stored(spark, _prefix_members(spark, classes), "near-members")
+    members = _prefix_members(spark, classes)
     nodes = (
         members.groupBy("path", "root")
         .agg(F.count("*").alias("n"))
@@ -432,10 +446,15 @@ def confirmed(
     )
     likely = stored(spark, likely, "near-likely")
     wanted = likely.select(F.explode(F.array("a", "b")).alias("class")).distinct()
-    wanted = wanted.join(classes.select("class", "min_doc"), "class")
+    wanted = wanted.join(classes.select("class", "holder"), "class")
     key = F.coalesce(F.col("doc_id").cast("long"), F.lit(SMALLEST_ID))
-    texts = docs.select(key.alias("key"), "text").join(
-        wanted.select("class", F.coalesce("min_doc", F.lit(SMALLEST_ID)).alias("key")), "key"
+    texts = docs.select(key.alias("key"), _text_hash().alias("text_hash"), "text").join(
+        wanted.select(
+            "class",
+            F.coalesce("holder.doc_id", F.lit(SMALLEST_ID)).alias("key"),
+            F.col("holder.text_hash").alias("text_hash"),
+        ),
+        ["key", "text_hash"],
     )
 
     def make():
@@ -451,7 +470,7 @@ def confirmed(
 
         return work
 
-    # Rows that share an id have sets of their own; one of each class is wanted.
+    # Rows that repeat a class's holder have the same set; one of each class is wanted.
     sets = (
         map_columns(
             texts.select("class", "text"), make, "class binary, own binary, shingles array<long>"
@@ -472,13 +491,14 @@ def confirmed(
 
 def document_components(spark: SparkSession, docs: DataFrame, percent: int) -> DataFrame:
     """doc_id, text_hash, n_shingles and component_id of every document."""
-    sketches = stored(spark, sketch(spark, docs, percent), "near-sketches")
+    sketches = sketch(spark, docs, percent)
     classes = stored(
         spark,
         sketches.where(F.col("class").isNotNull())
         .groupBy("class")
         .agg(
             F.min("doc_id").alias("min_doc"),
+            F.min(F.struct("doc_id", "text_hash")).alias("holder"),
             F.first("tokens").alias("tokens"),
             F.first("prefix").alias("prefix"),
             F.first("n_shingles").cast("int").alias("n"),
@@ -498,7 +518,8 @@ def document_components(spark: SparkSession, docs: DataFrame, percent: int) -> D
         edges = links.select("a", "b")
         edges = edges if found is None else found.unionByName(edges)
         # Between rounds a few steps do: an unfinished component costs comparisons, not links.
-        found = stars(spark, edges, None if exact else 2)
+        if exact or found is None or not links.isEmpty():
+            found = stars(spark, edges, None if exact else 2)
         roots = classes.join(found.toDF("class", "root"), "class", "left").withColumn(
             "root", F.coalesce("root", "class")
         )
