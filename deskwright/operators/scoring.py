@@ -6,7 +6,7 @@ rows were partitioned.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from deskwright import fixed
@@ -43,9 +43,37 @@ MEASURES = {
 }
 
 
+def measures() -> list[Column]:
+    """All additive measures, as aggregates over classified rows."""
+    return [make().alias(name) for name, make in MEASURES.items()]
+
+
 def measure(classified: DataFrame, *by: str) -> DataFrame:
     """All additive measures in one aggregation, per group when ``by`` is given."""
-    return classified.groupBy(*by).agg(*[make().alias(name) for name, make in MEASURES.items()])
+    return classified.groupBy(*by).agg(*measures())
+
+
+class Counted:
+    """Measures of rows, taken in the pass that writes something made of them.
+
+    Spark counts what tasks have seen, so a task that ran again after a lost executor may count
+    twice. Then the rows do not add up to ``n_rows``, and the measures are taken by a pass of their own.
+    """
+
+    def __init__(self, classified: DataFrame) -> None:
+        self._classified = classified
+        self._observation = Observation()
+        self.rows = classified.observe(self._observation, *measures())
+
+    def measures(self, n_rows: int) -> DataFrame:
+        """One row of measures, after ``rows`` was written."""
+        seen = self._observation.get
+        if seen.get("total_records") != n_rows:
+            return measure(self._classified)
+        spark = self._classified.sparkSession
+        return spark.range(1).select(
+            *[F.lit(seen[name]).cast("long").alias(name) for name in MEASURES]
+        )
 
 
 def add_measures(parts: DataFrame, *by: str) -> DataFrame:

@@ -20,6 +20,7 @@ from deskwright.operators.classify import (
 from deskwright.operators.merge import TICKET_KEY, changed_keys, key_bucket, latest_per_key
 from deskwright.operators.repeats import first_rows, repeated_rows
 from deskwright.operators.scoring import (
+    Counted,
     add_measures,
     dimension_scores,
     measure,
@@ -109,10 +110,14 @@ def process_unit(
         repeated_rows(staged.where(claims), firsts), "repeats", run_id, batch_id
     )
     judged = with_repeats(staged, store.spark.read.parquet(repeats_path))
-    if not run["dry_run"]:
-        rejected = judged.where("NOT accepted").select("row_number", "masked_raw", "violations")
+    if run["dry_run"]:
+        measured = measure(judged)
+    else:
+        counted = Counted(judged)
+        rejected = counted.rows.where("NOT accepted").select("row_number", "masked_raw", "violations")
         rejected_path = store.write_unit(rejected, "rejected", run_id, batch_id, sparse=True)
         rejected = store.spark.read.parquet(rejected_path)
+        measured = counted.measures(staged.count())  # from the files' footers
         # Rows rejected as repeats only fetch their source now.
         bare = rejected.where("masked_raw IS NULL").select("row_number", "violations")
         known = rejected.where("masked_raw IS NOT NULL")
@@ -131,7 +136,7 @@ def process_unit(
             sparse=True,
         )
     offset = F.lit(row_offset) + F.col("total_records")
-    commit = measure(judged).select(
+    commit = measured.select(
         offset.alias("row_offset"),
         F.ceil(offset / rules.batch_size).cast("long").alias("batch_index"),
         F.current_timestamp().alias("committed_at"),

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from deskwright import run_export, run_stream
-from deskwright.operators import listing, merge
+from deskwright.operators import listing, merge, scoring
 from deskwright.plans.load import run_summary
 from deskwright.plans.store import TicketStore
 from deskwright.rules import QualityRules
@@ -177,6 +177,21 @@ def test_dry_run_writes_no_business_tables(spark, rules, good, tmp_path):
     assert store.read("quality_metrics").count() == 5
 
 
+def test_counters_of_the_writing_pass_are_checked(spark, rules, good, tmp_path, monkeypatch):
+    """Counters that a repeated task has spoiled are taken again; others are not."""
+    rows = [{**good, "ticket_id": f"SD-{i % 4}", "status": "?" if i > 6 else "Open"} for i in range(9)]
+    path, found, passes = write_lines(tmp_path / "in.jsonl", rows), [], []
+    measure, get = scoring.measure, scoring.Observation.get
+    monkeypatch.setattr(scoring, "measure", lambda *a: passes.append(1) or measure(*a))
+    for times in (1, 2):
+        spoiled = property(lambda self: {k: times * v for k, v in get.fget(self).items()})
+        monkeypatch.setattr(scoring.Observation, "get", spoiled)
+        summary = run_export(spark, path, rules, str(tmp_path / f"store{times}")).first()
+        found.append([summary[c] for c in COUNTS])
+        assert len(passes) == times - 1
+    assert found[0] == found[1] and found[0][:4] == [9, 4, 5, 3]
+
+
 def test_incremental_load_takes_only_newer_rows(spark, rules, good, tmp_path):
     root = str(tmp_path / "store")
     newer = {**good, "title": "Newer title", "updated_at": "2031-07-15T11:00:00Z"}
