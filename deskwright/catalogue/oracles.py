@@ -322,6 +322,18 @@ ORACLES: dict[str, str] = {
         + ", ".join(f"{_clean(c)} AS {c}" for c in ("title", "status", "priority", "assignee"))
         + " FROM tv"
     ),
+    "messages_of_bad_values": _done(
+        " UNION ALL ".join(
+            f"SELECT row_number, 'invalid_{c}' AS code, 'validity' AS dimension, "
+            f"'Unsupported {c}: ' || coalesce(nullif({c}, ''), '(empty)') AS message "
+            f"FROM done WHERE bad_{c}"
+            for c in ("status", "priority")
+        )
+    ),
+    "truncated_texts": (
+        f"SELECT doc_id, substr(text, 1, {fixed.RAW_LINE_CHARS}) AS raw, "
+        f"coalesce(nullif({_clean('source')}, ''), '(empty)') AS source FROM documents"
+    ),
     "clean_text_conversations": f"SELECT conv_id, turn, {_clean('text')} AS text FROM conversations",
     "normalize_status_priority": _done("SELECT row_number, status, priority FROM done"),
     "parse_ticket_timestamps": _done(

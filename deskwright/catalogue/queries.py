@@ -75,6 +75,24 @@ def clean_text(spark, folder):
     )
 
 
+@query
+def messages_of_bad_values(spark, folder):
+    """What the rules say of statuses and priorities that they do not allow, empty ones marked."""
+    rows = _classified(spark, folder).select("row_number", F.explode("violations").alias("v"))
+    return rows.where("v.code IN ('invalid_status', 'invalid_priority')").select("row_number", "v.*")
+
+
+@query
+def truncated_texts(spark, folder):
+    """The first code points of documents, as raw lines and error messages are kept."""
+    docs = numbering.spread(table(spark, folder, "documents"))
+    return docs.select(
+        "doc_id",
+        text.truncate(F.col("text"), fixed.RAW_LINE_CHARS).alias("raw"),
+        text.empty_marker(text.clean_text(F.col("source"))).alias("source"),
+    )
+
+
 @query
 def clean_text_conversations(spark, folder):
     turns = numbering.spread(table(spark, folder, "conversations"))

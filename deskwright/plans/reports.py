@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -74,15 +73,6 @@ def write_reports(
     """Write the JSON and Markdown reports of one run under the store's ``reports`` folder."""
     for kind, report in (("json", json_report), ("markdown", markdown_report)):
         path = f"{store.root}/reports/{run_id}/{kind}"
-        if only_missing and _exists(store, path):
+        if only_missing and store.exists(f"{path}/_SUCCESS"):
             continue
         report(summary).coalesce(1).write.mode("overwrite").text(path)
-
-
-def _exists(store: TicketStore, path: str) -> bool:
-    try:
-        return not store.spark.read.text(path).isEmpty()
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return False

@@ -18,7 +18,6 @@ from collections.abc import Collection
 from datetime import datetime, timezone
 
 from py4j.protocol import Py4JJavaError
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -85,18 +84,24 @@ class TicketStore:
             parts.append(f"batch_id={batch_id}")
         return "/".join(parts)
 
+    def _hadoop(self, path: str) -> tuple:
+        """A path and its file system."""
+        found = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return found, found.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def exists(self, path: str) -> bool:
+        found, system = self._hadoop(path)
+        return system.exists(found)
+
     def read(self, table: str, run_id: str | None = None) -> DataFrame:
         """A table, or its part for one run; empty when nothing was written yet."""
         schema = T.StructType.fromDDL(SCHEMAS[table])
         nested = table not in ("runs", "lineage", "loads")
         path = self.path(table, run_id if nested else None)
-        reader = self.spark.read.schema(schema).option("basePath", self.path(table))
-        try:
-            rows = reader.json(path) if table == "loads" else reader.parquet(path)
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
+        if not self.exists(path):
             return self.spark.createDataFrame([], schema)
+        reader = self.spark.read.schema(schema).option("basePath", self.path(table))
+        rows = reader.json(path) if table == "loads" else reader.parquet(path)
         return rows if run_id is None else rows.where(F.col("run_id") == run_id)
 
     def append(self, table: str, **values) -> None:
@@ -184,12 +189,9 @@ class TicketStore:
 
     def publish(self, **load) -> bool:
         """Create the record of a load, unless its number is taken already."""
-        jvm, configuration = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
-        path = jvm.org.apache.hadoop.fs.Path(
-            f"{self.path('loads')}/load-{load['load_number']:012d}.json"
-        )
+        path, system = self._hadoop(f"{self.path('loads')}/load-{load['load_number']:012d}.json")
         try:
-            out = path.getFileSystem(configuration).create(path, False)
+            out = system.create(path, False)
         except Py4JJavaError as error:
             if "AlreadyExists" in error.java_exception.getClass().getName():
                 return False
@@ -250,10 +252,9 @@ class TicketStore:
             for load in loads
             for bucket in (*load["rewritten"], *load["added"])
         }
-        jvm, configuration = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
         deleted = []
         for folder in sorted(named - used):
-            path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{folder}")
-            if path.getFileSystem(configuration).delete(path, True):
+            path, system = self._hadoop(f"{self.root}/{folder}")
+            if system.delete(path, True):
                 deleted.append(folder)
         return deleted

