@@ -7,7 +7,7 @@ instead of the parser, list functions instead of word-wise masking.
 from __future__ import annotations
 
 from deskwright import fixed
-from deskwright.catalogue.queries import EVENT_DAYS, OFFSET
+from deskwright.catalogue.queries import EVENT_DAYS, OFFSET, TREE_FANOUT, TREE_FILES, TREE_RANGE
 from deskwright.catalogue.ticket_view import TICKET_VIEW, VIEW_RULES
 
 _SPACE = r"[\x{09}-\x{0d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
@@ -316,6 +316,36 @@ _FIRST_ROWS = (
     "FROM done WHERE ticket_ok GROUP BY identity"
 )
 
+def _order_bodies(last: str, prefix: str) -> str:
+    """Files of order lines and their byte ranges; the lines are ASCII, so bytes are characters."""
+    line = f"concat_ws(',', o_orderkey, o_custkey, o_orderstatus, {last})"
+    return (
+        f"{prefix}files AS (SELECT o_orderkey % {TREE_FILES} AS file, "
+        f"string_agg({line} || chr(10), '' ORDER BY o_orderkey) AS body FROM orders GROUP BY 1), "
+        f"{prefix}ranges AS (SELECT file, length(body) AS length, number, "
+        f"substr(body, number * {TREE_RANGE} + 1, {TREE_RANGE}) AS part FROM (SELECT *, "
+        f"unnest(range((length(body) + {TREE_RANGE} - 1) // {TREE_RANGE})) AS number "
+        f"FROM {prefix}files))"
+    )
+
+
+_URGENT = (
+    "CASE WHEN o_orderkey % 997 = 0 THEN '0' || substr(o_orderpriority, 2) ELSE o_orderpriority END"
+)
+
+
+def _tree() -> str:
+    """Nodes over ``ranges``, level by level until a file has one."""
+    return (
+        "tree AS (SELECT file, length, 0 AS level, number, sha256(part) AS digest, "
+        "count(*) OVER (PARTITION BY file) AS n FROM ranges UNION ALL "
+        f"SELECT file, length, level, number, digest, (n + {TREE_FANOUT} - 1) // {TREE_FANOUT} AS n "
+        f"FROM (SELECT file, length, level + 1 AS level, number // {TREE_FANOUT} AS number, "
+        "sha256(string_agg(digest, '' ORDER BY number)) AS digest, n FROM tree WHERE n > 1 "
+        f"GROUP BY file, length, level, number // {TREE_FANOUT}, n))"
+    )
+
+
 ORACLES: dict[str, str] = {
     "clean_text": _view(
         "SELECT row_number, "
@@ -509,6 +539,17 @@ ORACLES: dict[str, str] = {
         )
         + ")) AS h FROM tv)"
     ),
+    "file_byte_tree": (
+        f"WITH RECURSIVE {_order_bodies('o_orderpriority', '')}, {_tree()} "
+        "SELECT file, length, CAST(max(level) OVER (PARTITION BY file) AS INTEGER) AS top, "
+        "CAST(level AS INTEGER) AS level, number, digest FROM tree"
+    ),
+    "changed_byte_ranges": (
+        f"WITH {_order_bodies('o_orderpriority', 'old_')}, "
+        f"{_order_bodies(_URGENT, 'new_')} "
+        f"SELECT file, number * {TREE_RANGE} AS start, 'changed' AS change "
+        "FROM old_ranges o JOIN new_ranges n USING (file, number) WHERE o.part <> n.part"
+    ),
     "stream_ingest_resume": _summary("parquet", incremental=False, extra=_ALL_DIMENSIONS),
     "stream_dedup_keys": _done(_FIRST_ROWS),
     "keyed_first_rows": _done(_FIRST_ROWS),

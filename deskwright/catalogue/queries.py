@@ -25,7 +25,7 @@ from deskwright.plans.load import merge_into, run_summary
 from deskwright.plans.reports import json_report, markdown_report
 from deskwright.plans.store import TICKET_SCHEMA, TicketStore
 from deskwright.session import scratch_path
-from deskwright.sources import fingerprint, numbering, synthetic
+from deskwright.sources import byte_tree, fingerprint, numbering, synthetic
 from deskwright.sources.formats import format_of
 from deskwright.sources.readers import read_tickets
 from deskwright.streaming.first_rows import KeyState
@@ -682,10 +682,51 @@ def read_error_rows(spark, folder):
 
 @query
 def input_fingerprint(spark, folder):
-    files = fingerprint.file_hashes(spark, f"{folder}/*.parquet")
-    return files.select(
-        F.element_at(F.split("path", "/"), -1).alias("name"), "length", "sha256"
+    files = byte_tree.file_digests(byte_tree.byte_tree(spark, f"{folder}/*.parquet"))
+    return files.select(F.element_at(F.split("path", "/"), -1).alias("name"), "length", "digest")
+
+
+TREE_FILES, TREE_RANGE, TREE_FANOUT = 8, 1_024, 4
+
+
+def _order_files(spark, folder, priority: Column) -> str:
+    """Orders as lines in files by their number, ascending; returns the folder."""
+    path = f"{scratch_path(spark, 'order-files')}/orders"
+    line = F.concat_ws(",", "o_orderkey", "o_custkey", "o_orderstatus", priority)
+    rows = table(spark, folder, "orders").select(
+        "o_orderkey", line.alias("value"), (F.col("o_orderkey") % TREE_FILES).alias("file")
     )
+    rows.repartition("file").sortWithinPartitions("file", "o_orderkey").select(
+        "value", "file"
+    ).write.partitionBy("file").text(path)
+    return path
+
+
+def _file_number(name: str = "path") -> Column:
+    return F.regexp_extract(name, "file=([0-9]+)", 1).cast("long").alias("file")
+
+
+@query
+def file_byte_tree(spark, folder):
+    """Every node of the hash trees of files whose bytes follow from the orders."""
+    path = _order_files(spark, folder, F.col("o_orderpriority"))
+    tree = byte_tree.byte_tree(spark, path, TREE_RANGE, TREE_FANOUT)
+    return tree.select(_file_number(), "length", "top", "level", "number", "digest")
+
+
+@query
+def changed_byte_ranges(spark, folder):
+    """Ranges that differ after some orders got another priority, found from the top of the trees."""
+    given = F.col("o_orderpriority")
+    urgent = F.concat(F.lit("0"), F.substr(given, F.lit(2)))
+    changed = F.when(F.col("o_orderkey") % 997 == 0, urgent).otherwise(given)
+    trees = []
+    for priority in (given, changed):
+        path = _order_files(spark, folder, priority)
+        tree = byte_tree.byte_tree(spark, path, TREE_RANGE, TREE_FANOUT)
+        trees.append(tree.withColumn("path", _file_number().cast("string")))
+    found = byte_tree.changed_ranges(*trees, TREE_RANGE, TREE_FANOUT)
+    return found.select(F.col("path").cast("long").alias("file"), "start", "change")
 
 
 @query

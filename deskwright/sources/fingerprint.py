@@ -13,12 +13,6 @@ def input_files(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").load(path).select("path", "length", "modificationTime")
 
 
-def file_hashes(spark: SparkSession, path: str) -> DataFrame:
-    """SHA-256 over the bytes of each file."""
-    files = spark.read.format("binaryFile").load(path)
-    return files.select("path", "length", F.sha2("content", 256).alias("sha256"))
-
-
 def _summed(digest: Column) -> list[Column]:
     """The number of rows and two sums of 60-bit parts of a SHA-256, whatever the partitioning."""
     parts = [
