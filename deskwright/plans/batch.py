@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from deskwright import fixed
 from deskwright.plans.load import (
+    attempt,
+    claimed,
     describe_run,
     finish_run,
     load_tickets,
@@ -41,6 +42,7 @@ def run_export(
     commit_rows: int | None = None,
     on_commit: Callable[[int], None] | None = None,
     by_manifest: bool = False,
+    take_over: bool = False,
 ) -> DataFrame:
     """Check, load and report one export; returns its one-row summary.
 
@@ -49,6 +51,10 @@ def run_export(
     commits of that many rows; by default the whole input is one. ``on_commit`` is called with the
     number of commits made so far. ``by_manifest`` identifies the input by the names, sizes and
     modification times of its files instead of reading it once more.
+
+    One driver works on a run; another one fails with ``RunClaimed``. The claim of a driver that died
+    without ending its attempt stays, and ``take_over`` goes on in its place: should it be alive after
+    all, it stops before its next commit.
     """
     store = TicketStore(spark, root)
     fmt = detect_format(path, fmt)
@@ -59,38 +65,36 @@ def run_export(
     size_shuffles(spark, found["input_size_bytes"])
     run = describe_run(rules, path, found["fingerprint"], fmt, dry_run, incremental)
     run_id = run["run_id"]
-    status = store.run_status(run_id)
-    if status == fixed.COMPLETED:
+    if store.run_status(run_id) == fixed.COMPLETED:
+        return _completed(store, run_id)
+    with claimed(store, run, take_over):
+        status = store.run_status(run_id)
+        if status == fixed.COMPLETED:  # by another driver meanwhile
+            return _completed(store, run_id)
+        if status is None:
+            store.log_run(run, fixed.PENDING)
+        store.record_lineage(
+            run_id,
+            check=status is not None,
+            source_system=rules.source_system,
+            original_path=path,
+            input_size_bytes=found["input_size_bytes"],
+            input_hash=run["input_hash"],
+            input_format=fmt,
+            config_hash=run["config_hash"],
+            schema_version=rules.schema_version,
+        )
+        with attempt(store, run):
+            _process(spark, path, rules, store, run, fmt, multi_line, commit_rows, on_commit)
+            finish_run(store, run, rules)
         summary = stored_summary(store, run_id)
-        write_reports(store, summary, run_id, only_missing=True)
-        return summary
+        write_reports(store, summary, run_id)
+    return summary
 
-    if status is None:
-        store.log_run(run, fixed.PENDING)
-    store.record_lineage(
-        run_id,
-        check=status is not None,
-        source_system=rules.source_system,
-        original_path=path,
-        input_size_bytes=found["input_size_bytes"],
-        input_hash=run["input_hash"],
-        input_format=fmt,
-        config_hash=run["config_hash"],
-        schema_version=rules.schema_version,
-    )
-    store.log_run(run, fixed.RUNNING)
-    started = time.monotonic()
-    try:
-        _process(spark, path, rules, store, run, fmt, multi_line, commit_rows, on_commit)
-        finish_run(store, run, rules)
-    except BaseException as error:
-        store.log_run(
-            run, fixed.FAILED, error=str(error), duration_seconds=time.monotonic() - started
-        )
-        raise
-    store.log_run(run, fixed.COMPLETED, duration_seconds=time.monotonic() - started)
+
+def _completed(store: TicketStore, run_id: str) -> DataFrame:
     summary = stored_summary(store, run_id)
-    write_reports(store, summary, run_id)
+    write_reports(store, summary, run_id, only_missing=True)
     return summary
 
 

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
+import time
 import uuid
+from collections.abc import Iterator
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Row
@@ -60,6 +63,33 @@ def describe_run(
     }
 
 
+@contextlib.contextmanager
+def claimed(store: TicketStore, run: dict, take_over: bool = False) -> Iterator[None]:
+    """Work on a run as its only driver; fails with ``RunClaimed`` if there is one already."""
+    run["claim"] = store.claim(run["run_id"], take_over)
+    try:
+        yield
+    finally:
+        store.release(run)
+
+
+@contextlib.contextmanager
+def attempt(store: TicketStore, run: dict) -> Iterator[None]:
+    """Log when an attempt at a run begins and how it ends, unless the run was taken over meanwhile."""
+    store.log_run(run, fixed.RUNNING)
+    started = time.monotonic()
+    try:
+        yield
+    except BaseException as error:
+        if store.owns(run):
+            store.log_run(
+                run, fixed.FAILED, error=str(error), duration_seconds=time.monotonic() - started
+            )
+        raise
+    store.check_claim(run)
+    store.log_run(run, fixed.COMPLETED, duration_seconds=time.monotonic() - started)
+
+
 def stage(
     store: TicketStore, run: dict, envelope: DataFrame, rules: QualityRules, batch_id: int
 ) -> DataFrame:
@@ -67,6 +97,7 @@ def stage(
 
     Rows that are rejected whatever the repeats are get their masked payload in the same pass.
     """
+    store.check_claim(run)
     path = store.path("stage", run["run_id"], batch_id)
     evaluated = evaluate(envelope, rules)
     refused = ~F.coalesce(
@@ -142,6 +173,7 @@ def process_unit(
         F.current_timestamp().alias("committed_at"),
         "*",
     )
+    store.check_claim(run)
     store.write_unit(commit.coalesce(1), "commits", run_id, batch_id)
 
 

@@ -2,8 +2,9 @@
 
 Every table is a Parquet folder. A unit of work writes all its outputs under its own
 (run_id, batch_id) folders, overwriting what a failed attempt left there, and then writes one commit
-row. Readers use only committed units, so a crash leaves files that nobody reads. One writer per
-run is assumed; different runs may load at the same time, since a load number can be created once.
+row. Readers use only committed units, so a crash leaves files that nobody reads. One driver works on
+a run, the one that holds its claim; different runs may load at the same time, since a load number
+can be created once.
 
 Tickets lie in buckets by the hash of their key. A load adds files to buckets or rewrites them, and
 its record names the buckets of either kind, so that the records up to any load are a version of the
@@ -14,6 +15,8 @@ bucket tickets are sorted by status, priority and time, with Bloom filters on th
 from __future__ import annotations
 
 import json
+import os
+import uuid
 from collections.abc import Collection
 from datetime import datetime, timezone
 
@@ -69,6 +72,26 @@ MOST_PARTS = 8
 TICKET_ORDER = ["status", "priority", "updated_at"]
 
 
+class RunClaimed(RuntimeError):
+    """Another driver works on the run."""
+
+
+def _link_record(path: str, values: dict) -> bool:
+    """Create a record on a local file system; readers skip the hidden name that it has before."""
+    folder, name = os.path.split(path)
+    os.makedirs(folder, exist_ok=True)
+    hidden = f"{folder}/_{name}-{uuid.uuid4().hex}"
+    with open(hidden, "x", encoding="utf-8") as out:
+        out.write(json.dumps(values) + "\n")
+    try:
+        os.link(hidden, path)
+    except FileExistsError:
+        return False
+    finally:
+        os.unlink(hidden)
+    return True
+
+
 class TicketStore:
     def __init__(self, spark: SparkSession, root: str) -> None:
         self.spark = spark
@@ -93,6 +116,25 @@ class TicketStore:
         found, system = self._hadoop(path)
         return system.exists(found)
 
+    def create(self, path: str, values: dict) -> bool:
+        """Create a record, unless there is one of that name.
+
+        Of several drivers that try, one succeeds, as long as the file system creates exclusively as
+        HDFS does. Hadoop's local one does not: there a name is linked to the whole record instead.
+        """
+        found, system = self._hadoop(path)
+        if system.getUri().getScheme() == "file":
+            return _link_record(found.toUri().getPath(), values)
+        try:
+            out = system.create(found, False)
+        except Py4JJavaError as error:
+            if "AlreadyExists" in error.java_exception.getClass().getName():
+                return False
+            raise
+        out.write(bytearray(json.dumps(values) + "\n", "utf-8"))
+        out.close()
+        return True
+
     def read(self, table: str, run_id: str | None = None) -> DataFrame:
         """A table, or its part for one run; empty when nothing was written yet."""
         schema = T.StructType.fromDDL(SCHEMAS[table])
@@ -158,6 +200,44 @@ class TicketStore:
         if not check or self.read("lineage", run_id).isEmpty():
             self.append("lineage", run_id=run_id, recorded_at=F.current_timestamp(), **values)
 
+    # The driver of a run
+
+    def _claim(self, run_id: str, number: int, end: bool = False) -> str:
+        return f"{self.path('claims', run_id)}/claim-{number:06d}{'-ended' if end else ''}.json"
+
+    def last_claim(self, run_id: str) -> int:
+        """Number of the latest claim to a run, 0 if there is none."""
+        folder, system = self._hadoop(self.path("claims", run_id))
+        if not system.exists(folder):
+            return 0
+        names = [status.getPath().getName() for status in system.listStatus(folder)]
+        return max((int(n.split("-")[1].split(".")[0]) for n in names if n.startswith("claim-")), default=0)
+
+    def claim(self, run_id: str, take_over: bool = False) -> int:
+        """Make this driver the one that works on a run; returns the number of its claim.
+
+        A claim's number can be created once, so of two drivers that start together one gets the run.
+        The claim lasts until it is released. ``take_over`` passes over that of a driver that has died.
+        """
+        last = self.last_claim(run_id)
+        if last and not take_over and not self.exists(self._claim(run_id, last, end=True)):
+            raise RunClaimed(f"a driver works on run {run_id}; take the run over if it has died")
+        who = {"application": self.spark.sparkContext.applicationId}
+        if not self.create(self._claim(run_id, last + 1), who):
+            raise RunClaimed(f"another driver has just started run {run_id}")
+        return last + 1
+
+    def owns(self, run: dict) -> bool:
+        """Whether nobody has taken the run over from the holder of its claim."""
+        return "claim" not in run or self.last_claim(run["run_id"]) == run["claim"]
+
+    def check_claim(self, run: dict) -> None:
+        if not self.owns(run):
+            raise RunClaimed(f"run {run['run_id']} was taken over by another driver")
+
+    def release(self, run: dict) -> None:
+        self.create(self._claim(run["run_id"], run["claim"], end=True), {})
+
     # Units of work
 
     def commits_of(self, run_id: str) -> list[Row]:
@@ -189,16 +269,7 @@ class TicketStore:
 
     def publish(self, **load) -> bool:
         """Create the record of a load, unless its number is taken already."""
-        path, system = self._hadoop(f"{self.path('loads')}/load-{load['load_number']:012d}.json")
-        try:
-            out = system.create(path, False)
-        except Py4JJavaError as error:
-            if "AlreadyExists" in error.java_exception.getClass().getName():
-                return False
-            raise
-        out.write(bytearray(json.dumps(load) + "\n", "utf-8"))
-        out.close()
-        return True
+        return self.create(f"{self.path('loads')}/load-{load['load_number']:012d}.json", load)
 
     def n_buckets(self, loads: list[Row], rows: int) -> int:
         """Buckets of the store; an empty one gets as many as suit its first ``rows``."""

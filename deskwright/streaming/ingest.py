@@ -11,7 +11,6 @@ from __future__ import annotations
 
 import contextlib
 import hashlib
-import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +18,8 @@ from pyspark.sql import types as T
 
 from deskwright import fixed
 from deskwright.plans.load import (
+    attempt,
+    claimed,
     describe_run,
     finish_run,
     load_tickets,
@@ -71,65 +72,59 @@ def run_stream(
     multi_line: bool = True,
     files_per_batch: int = 1_000,
     on_commit: Callable[[int], None] | None = None,
+    take_over: bool = False,
 ) -> DataFrame:
     """Ingest all files of a folder that the run ``name`` has not seen, then load and report.
 
     The name takes the place of the input hash in the run identity, because the folder grows.
     ``schema`` is needed for Parquet and, when the folder may still be empty, for CSV.
+    One driver works on a run, as with ``run_export``.
     """
     store = TicketStore(spark, root)
     fmt = detect_format(folder, fmt)
     input_hash = hashlib.sha256(name.encode()).hexdigest()
     run = describe_run(rules, folder, input_hash, fmt, dry_run, incremental)
     run_id = run["run_id"]
-    status = store.run_status(run_id)
-    if status is None:
-        store.log_run(run, fixed.PENDING)
-    store.record_lineage(
-        run_id,
-        check=status is not None,
-        source_system=rules.source_system,
-        original_path=folder,
-        input_hash=input_hash,
-        input_format=fmt,
-        config_hash=run["config_hash"],
-        schema_version=rules.schema_version,
-    )
-    store.log_run(run, fixed.RUNNING)
-    started = time.monotonic()
-
-    # In a newer-wins stream a later micro-batch updates a ticket; within one it is a repeat.
-    keys = None if incremental else KeyState(spark, store.path("key_state", run_id))
+    with claimed(store, run, take_over):
+        status = store.run_status(run_id)
+        if status is None:
+            store.log_run(run, fixed.PENDING)
+        store.record_lineage(
+            run_id,
+            check=status is not None,
+            source_system=rules.source_system,
+            original_path=folder,
+            input_hash=input_hash,
+            input_format=fmt,
+            config_hash=run["config_hash"],
+            schema_version=rules.schema_version,
+        )
+        # In a newer-wins stream a later micro-batch updates a ticket; within one it is a repeat.
+        keys = None if incremental else KeyState(spark, store.path("key_state", run_id))
 
-    def each(rows: DataFrame, batch_id: int) -> None:
-        if ingest_batch(store, run, rules, rows, batch_id, keys) and on_commit:
-            on_commit(batch_id + 1)
+        def each(rows: DataFrame, batch_id: int) -> None:
+            if ingest_batch(store, run, rules, rows, batch_id, keys) and on_commit:
+                on_commit(batch_id + 1)
 
-    try:
-        scan = scan_export(
-            spark,
-            folder,
-            fmt,
-            multi_line,
-            stream=True,
-            schema=schema,
-            maxFilesPerTrigger=str(files_per_batch),
-        )
-        query = (
-            scan.writeStream.foreachBatch(each)
-            .option("checkpointLocation", store.path("stream_checkpoints", run_id))
-            .trigger(availableNow=True)
-            .start()
-        )
-        with keys or contextlib.nullcontext():
-            query.awaitTermination()
-        finish_run(store, run, rules)
-    except BaseException as error:
-        store.log_run(
-            run, fixed.FAILED, error=str(error), duration_seconds=time.monotonic() - started
-        )
-        raise
-    store.log_run(run, fixed.COMPLETED, duration_seconds=time.monotonic() - started)
-    summary = stored_summary(store, run_id)
-    write_reports(store, summary, run_id)
+        with attempt(store, run):
+            scan = scan_export(
+                spark,
+                folder,
+                fmt,
+                multi_line,
+                stream=True,
+                schema=schema,
+                maxFilesPerTrigger=str(files_per_batch),
+            )
+            query = (
+                scan.writeStream.foreachBatch(each)
+                .option("checkpointLocation", store.path("stream_checkpoints", run_id))
+                .trigger(availableNow=True)
+                .start()
+            )
+            with keys or contextlib.nullcontext():
+                query.awaitTermination()
+            finish_run(store, run, rules)
+        summary = stored_summary(store, run_id)
+        write_reports(store, summary, run_id)
     return summary
