@@ -15,6 +15,7 @@ fails the job.
 
 from __future__ import annotations
 
+import contextlib
 import hashlib
 from collections.abc import Iterator
 from urllib.parse import quote
@@ -29,8 +30,10 @@ from deskwright.sources.fingerprint import input_files
 
 RANGE_BYTES = 16 * 1024 * 1024
 FANOUT = 256
-# Ranges are small rows that stand for much reading, so their tasks are counted here.
-RANGES_A_TASK, MOST_TASKS = 8, 20_000
+# Ranges are small rows that stand for much reading, so their tasks are counted here: by bytes, by
+# ranges where these are short, and some for every core if there are a few ranges for each.
+BYTES_A_TASK, RANGES_A_TASK, FEW_RANGES, TASKS_A_CORE = 8 * RANGE_BYTES, 4_096, 8, 4
+MOST_TASKS = 20_000
 PIECE_BYTES = 1 << 20
 # Schemes of object stores under the names that Arrow knows.
 ARROW_SCHEMES = {"s3a": "s3", "s3n": "s3"}
@@ -59,25 +62,37 @@ def _opened(path: str):
     return system.open_input_file(place)
 
 
-def _range_digest(path: str, length: int, start: int, size: int) -> str:
+def _range_digest(file, start: int, size: int) -> str:
     digest = hashlib.sha256()
-    with _opened(path) as file:
-        if file.size() != length:
-            raise RuntimeError(f"{path} changed while it was read")
-        file.seek(start)
-        while size:
-            piece = file.read(min(size, PIECE_BYTES))
-            digest.update(piece)
-            size -= len(piece)
+    file.seek(start)
+    while size:
+        piece = file.read(min(size, PIECE_BYTES))
+        if not piece:
+            raise RuntimeError("a file changed while it was read")
+        digest.update(piece)
+        size -= len(piece)
     return digest.hexdigest()
 
 
 def _leaves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        columns = [batch.column(c).to_pylist() for c in ("path", "length", "start", "size")]
-        digests = pa.array([_range_digest(*row) for row in zip(*columns)], pa.string())
-        kept = [batch.column(c) for c in ("path", "length", "number")]
-        yield pa.RecordBatch.from_arrays([*kept, digests], ["path", "length", "number", "digest"])
+    """The digests of ranges that come file by file; one file is open at a time."""
+    with contextlib.ExitStack() as opened:
+        current, file = None, None
+
+        def digest_of(path: str, length: int, start: int, size: int) -> str:
+            nonlocal current, file
+            if (path, length) != current:
+                opened.close()
+                current, file = (path, length), opened.enter_context(_opened(path))
+                if file.size() != length:
+                    raise RuntimeError(f"{path} changed while it was read")
+            return _range_digest(file, start, size)
+
+        for batch in batches:
+            columns = [batch.column(c).to_pylist() for c in ("path", "length", "start", "size")]
+            digests = pa.array([digest_of(*row) for row in zip(*columns)], pa.string())
+            kept = [batch.column(c) for c in ("path", "length", "number")]
+            yield pa.RecordBatch.from_arrays([*kept, digests], ["path", "length", "number", "digest"])
 
 
 def _top_level(leaves: Column, fanout: int, levels: int) -> Column:
@@ -96,18 +111,23 @@ def byte_tree(
         raise ValueError("a range has a byte or more, a node two children or more")
     files = input_files(spark, path).select("path", "length")
     leaves = F.ceil(F.col("length") / range_bytes).cast("long")
-    total, most = files.agg(F.coalesce(F.sum(leaves), F.lit(0)), F.max(leaves)).first()
+    total, most, size = files.agg(
+        F.coalesce(F.sum(leaves), F.lit(0)), F.max(leaves), F.coalesce(F.sum("length"), F.lit(0))
+    ).first()
     levels = 0
     while fanout**levels < (most or 1):
         levels += 1
-    tasks = min(max(-(-total // RANGES_A_TASK), 1), MOST_TASKS)
+    few = min(-(-total // FEW_RANGES), TASKS_A_CORE * spark.sparkContext.defaultParallelism)
+    tasks = min(max(-(-size // BYTES_A_TASK), -(-total // RANGES_A_TASK), few, 1), MOST_TASKS)
     root = scratch_path(spark, "byte-tree")
 
     def write(nodes: DataFrame, level: int) -> DataFrame:
         nodes.select("path", "length", "number", "digest").write.parquet(f"{root}/level={level}")
         return spark.read.parquet(f"{root}/level={level}")
 
-    ranges = byte_ranges(files, range_bytes).repartition(tasks)
+    # Neighbouring ranges in one task, so that it opens a file once.
+    ranges = byte_ranges(files, range_bytes).repartitionByRange(tasks, "path", "number")
+    ranges = ranges.sortWithinPartitions("path", "number")
     nodes = write(
         ranges.mapInArrow(_leaves, "path string, length long, number long, digest string"), 0
     )

@@ -108,3 +108,14 @@ def test_one_file_is_read_by_many_tasks(spark, tmp_path):
     leaves = tree.where("level = 0")
     assert leaves.count() == 400
     assert len(leaves.inputFiles()) > 10
+
+
+def test_short_ranges_share_tasks(spark, tmp_path):
+    data = random.Random(7).randbytes(40_000)
+    (tmp_path / "one.bin").write_bytes(data)
+    leaves = byte_tree(spark, str(tmp_path), 2, 256).where("level = 0")
+    # 20,000 ranges of two bytes are no work for 2,500 tasks.
+    assert len(leaves.inputFiles()) <= 8 * spark.sparkContext.defaultParallelism
+    found = sorted(tuple(r) for r in leaves.select("number", "digest").collect())
+    wanted = [hashlib.sha256(data[i : i + 2]).hexdigest() for i in range(0, len(data), 2)]
+    assert found == list(enumerate(wanted))
