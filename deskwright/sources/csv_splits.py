@@ -33,6 +33,7 @@ _SPLITS = (
 )
 _ENTRIES = f"{FILE} string, {BLOCK} long, inside boolean, before long, returns boolean"
 _PIECES = f"{FILE} string, {BLOCK} long, number long, piece string, whole boolean"
+_RECORDS = f"{FILE} string, number long, piece string"
 
 # A field and the comma after it, from a place outside quotes.
 _FIELD = re.compile(r'(?:"[^"]*+(?:""[^"]*+)*+"[^,]*+|[^",][^,]*+|),')
@@ -61,14 +62,33 @@ def ends_inside(line: str, inside: bool) -> bool:
         at = field.end()
 
 
+# Splits may be much smaller than what is worth a task.
+TASK_BYTES, TASKS_A_CORE = 32 * 1024 * 1024, 4
+
+
+def in_larger_tasks(scan: DataFrame) -> DataFrame:
+    """A file scan whose tasks take several whole splits each, where its splits are small."""
+    spark = scan.sparkSession
+    splits = scan.rdd.getNumPartitions()
+    tasks = max(-(-splits * split_bytes(spark) // TASK_BYTES), TASKS_A_CORE * spark.sparkContext.defaultParallelism)
+    return scan.coalesce(tasks) if tasks < splits else scan
+
+
+def split_bytes(spark: SparkSession) -> int:
+    """The most bytes of a split."""
+    given = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    return spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(given)
+
+
 def read_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """_file, _block and _line of the files' lines, in order inside a split."""
     lines = spark.read.option("lineSep", "\n").text(paths)
-    return lines.select(
+    placed = lines.select(
         F.col("_metadata.file_path").alias(FILE),
         F.col("_metadata.file_block_start").alias(BLOCK),
         F.col("value").alias(_LINE),
     )
+    return in_larger_tasks(placed)
 
 
 def _mapped(frame: DataFrame, schema: str, make) -> DataFrame:
@@ -182,14 +202,15 @@ def csv_records(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     entered = lines.join(entries, [FILE, BLOCK], "left").select(
         FILE, BLOCK, _LINE, "inside", known.alias("before"), "returns"
     )
-    pieces = _mapped(entered, _PIECES, _cut)
-    cut = scratch_path(spark, "csv-pieces")
-    pieces.where("NOT whole").write.parquet(cut)
-    parts = spark.read.schema(_PIECES).parquet(cut)
+    # Written once: rows are numbered from the pieces and read from them.
+    cut, joined = scratch_path(spark, "csv-pieces"), scratch_path(spark, "csv-crossing")
+    _mapped(entered, _PIECES, _cut).write.parquet(cut)
+    pieces = in_larger_tasks(spark.read.schema(_PIECES).parquet(cut))
     ordered = F.sort_array(F.collect_list(F.struct(BLOCK, "piece")))
-    crossing = parts.groupBy(FILE, "number").agg(
+    pieces.where("NOT whole").groupBy(FILE, "number").agg(
         F.array_join(F.transform(ordered, lambda p: p["piece"]), "\n").alias("piece")
-    )
+    ).write.parquet(joined)
+    crossing = in_larger_tasks(spark.read.schema(_RECORDS).parquet(joined))
     found = pieces.where("whole").select(FILE, "number", "piece").unionByName(crossing)
     return found.select(FILE, "number", _record(F.col("piece"), F.col("number")).alias("record"))
 

@@ -19,7 +19,7 @@ from deskwright import fixed
 from deskwright.functions import sql
 from deskwright.functions.text import truncate
 from deskwright.session import scratch_path
-from deskwright.sources.csv_splits import parsed_records
+from deskwright.sources.csv_splits import in_larger_tasks, parsed_records, split_bytes
 from deskwright.sources.formats import detect_format
 from deskwright.sources.numbering import (
     BLOCK,
@@ -48,14 +48,12 @@ def csv_columns(spark: SparkSession, path: str, multi_line: bool = True) -> list
 def _has_long_files(spark: SparkSession, path: str) -> bool:
     """Whether a file is longer than a split; its listing is read, not the file."""
     lengths = spark.read.format("binaryFile").load(path).agg(F.max("length"))
-    split = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    most = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(split)
-    return (lengths.first()[0] or 0) > most
+    return (lengths.first()[0] or 0) > split_bytes(spark)
 
 
 def headers_of(spark: SparkSession, files: list[str]) -> DataFrame:
     """file and header (the first line with text) of CSV files."""
-    lines = spark.read.text(files).select(
+    lines = in_larger_tasks(spark.read.text(files)).select(
         F.col("_metadata.file_path").alias("file"),
         F.struct("_metadata.file_block_start", F.monotonically_increasing_id()).alias("place"),
         "value",
@@ -198,7 +196,8 @@ def read_tickets(
     fmt = detect_format(path, fmt)
     scan = scan_export(spark, path, fmt, multi_line)
     single = fmt == "parquet" and len(scan.inputFiles()) == 1
-    return spread(number_rows(scan, single_file=single), scan)
+    numbered = number_rows(scan, single_file=single)
+    return spread(numbered, scan, row_groups=fmt == "parquet", by="row_number")
 
 
 class IndexedExport:

@@ -7,7 +7,7 @@ import random
 import pytest
 
 from deskwright.sources import readers
-from deskwright.sources.csv_splits import ends_inside
+from deskwright.sources.csv_splits import ends_inside, read_lines
 from deskwright.sources.readers import IndexedExport, read_tickets
 
 SMALL = {"spark.sql.files.maxPartitionBytes": "150", "spark.sql.files.openCostInBytes": "1"}
@@ -97,3 +97,16 @@ def test_a_record_over_many_splits_and_an_open_one(spark, tmp_path, small_splits
     rows = read_tickets(spark, str(path)).orderBy("row_number").collect()
     assert [(r["data"]["ticket_id"], r["data"]["title"]) for r in rows[:2]] == [("1", long), ("2", "two")]
     assert rows[2]["data"]["title"].startswith("never closed\nto the end") and len(rows) == 3
+
+
+def test_small_splits_share_tasks(spark, tmp_path, small_splits):
+    path = tmp_path / "in.csv"
+    records = [f'{i},"title {i},\nin ""two"" lines"' for i in range(800)]
+    path.write_text("\n".join(["ticket_id,title", *records]) + "\n", encoding="utf-8")
+    cores = spark.sparkContext.defaultParallelism
+    assert spark.read.text(str(path)).rdd.getNumPartitions() > 10 * cores
+    assert read_lines(spark, str(path)).rdd.getNumPartitions() <= 4 * cores
+    rows = read_tickets(spark, str(path)).orderBy("row_number").collect()
+    assert [(r["row_number"], *r["data"]) for r in rows] == [
+        (i + 1, str(i), f'title {i},\nin "two" lines') for i in range(800)
+    ]
