@@ -552,22 +552,34 @@ def offset_skip(spark, folder):
     return numbering.skip_rows(ticket_view(spark, folder), OFFSET).select("row_number", "ticket_id")
 
 
+# A file of an export is sorted by one task.
+FILE_ROWS = 250_000
+
+
 def in_row_order(spark: SparkSession, folder: str, files: int = 4) -> DataFrame:
-    """The ticket view laid out so that file order is row order."""
+    """The ticket view laid out so that file order is row order, in more ``files`` if it is large."""
     view = ticket_view(spark, folder)
+    files = max(files, -(-view.count() // FILE_ROWS))
     return view.repartitionByRange(files, "row_number").sortWithinPartitions("row_number")
 
 
-def _arriving(spark: SparkSession, folder: str) -> str:
-    """The ticket view as four pairs of files written one after the other, in row order."""
+def _arriving(spark: SparkSession, folder: str) -> tuple[str, int]:
+    """The ticket view as four pairs of files written one after the other, in row order.
+
+    Large quarters are of more files; returns the folder and the number of files of a quarter.
+    """
     path = f"{scratch_path(spark, 'arriving')}/tickets.parquet"
     view = ticket_view(spark, folder)
     quarter = view.agg(F.ceil(F.max("row_number") / 4).alias("n")).first()["n"]
+    part_of = F.ceil(F.col("row_number") / quarter)
+    # As many as the smallest quarter fills, so that all have the same number.
+    sizes = [r["count"] for r in view.groupBy(part_of.alias("part")).count().where("part <= 4").collect()]
+    files = max(2, min(sizes, default=0) // FILE_ROWS)
     for part in range(4):
-        rows = view.where(F.ceil(F.col("row_number") / quarter) == part + 1)
-        rows = rows.repartitionByRange(2, "row_number").sortWithinPartitions("row_number")
+        rows = view.where(part_of == part + 1)
+        rows = rows.repartitionByRange(files, "row_number").sortWithinPartitions("row_number")
         synthetic.write_export(rows.drop("row_number"), path, "parquet", mode="append")
-    return path
+    return path, files
 
 
 def _written(spark: SparkSession, folder: str, fmt: str) -> str:
@@ -780,9 +792,9 @@ def _stream_store(spark: SparkSession, folder: str) -> TicketStore:
     """A stream over four pairs of files that is stopped after two commits and started again."""
     key = (spark.sparkContext.applicationId, folder, "stream")
     if key not in _RUNS:
-        root, path = scratch_path(spark, "store"), _arriving(spark, folder)
+        root, (path, files) = scratch_path(spark, "store"), _arriving(spark, folder)
         schema = spark.read.parquet(path).schema
-        options = dict(name="tickets", fmt="parquet", schema=schema, files_per_batch=2)
+        options = dict(name="tickets", fmt="parquet", schema=schema, files_per_batch=files)
         try:
             run_stream(spark, path, VIEW_RULES, root, **options, on_commit=_stop_after(2))
         except Exception as error:  # the streaming engine wraps the interruption
