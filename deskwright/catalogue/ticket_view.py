@@ -53,7 +53,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def ticket_view(spark: SparkSession, folder: str) -> DataFrame:
-    return spark.sql(TICKET_VIEW, orders=spread(table(spark, folder, "orders")))
+    return spark.sql(TICKET_VIEW, orders=spread(table(spark, folder, "orders"), row_groups=True))
 
 
 def ticket_envelope(spark: SparkSession, folder: str) -> DataFrame:

@@ -123,13 +123,29 @@ def batch_index(row_number: Column, batch_size: int) -> Column:
     return (F.floor((row_number - 1) / F.lit(batch_size)) + 1).cast("long")
 
 
-def spread(rows: DataFrame, scan: DataFrame | None = None) -> DataFrame:
-    """Use all cores when a small input was cut into fewer tasks than there are cores.
+# A task with so many times its fair share of the rows makes the others wait.
+UNEVEN = 2
+# Rows that are moved go to tasks of about so many.
+SPREAD_ROWS = 250_000
+
+
+def spread(
+    rows: DataFrame, scan: DataFrame | None = None, row_groups: bool = False, by: str | None = None
+) -> DataFrame:
+    """Use all cores when an input was cut into fewer tasks than there are cores, or into uneven ones.
 
     Large inputs already have many more splits than cores and are returned as they are, so nothing
     is shuffled at scale. ``scan`` is the bare file scan behind ``rows``: asking it for its number of
-    splits runs nothing.
+    splits runs nothing. With ``row_groups`` the scan is of Parquet files, where a split may hold
+    nothing since row groups are read whole: rows are counted by split then, from the files' footers.
+    ``by`` names a unique column, which saves sorting rows that are moved.
     """
     cores = rows.sparkSession.sparkContext.defaultParallelism
-    splits = (rows if scan is None else scan).rdd.getNumPartitions()
-    return rows.repartition(cores) if splits < cores else rows
+    scan = rows if scan is None else scan
+    wanted, uneven = cores, scan.rdd.getNumPartitions() < cores
+    if row_groups:
+        held = scan.groupBy(F.spark_partition_id().alias("split")).agg(F.count("*").alias("n"))
+        most, total = held.agg(F.max("n"), F.sum("n")).first()
+        uneven = uneven or (most or 0) * cores > UNEVEN * (total or 0)
+        wanted = max(cores, -(-(total or 0) // SPREAD_ROWS))
+    return rows.repartition(wanted, *([by] if by else [])) if uneven else rows

@@ -243,7 +243,7 @@ class IndexedExport:
         scan = self._scan([unquote(f) for f in self.files(after, until)] or None)
         numbered = number_rows(scan, files=self.index)
         inside = (F.col("row_number") > after) & (F.col("row_number") <= until)
-        return spread(numbered.where(inside), scan)
+        return spread(numbered.where(inside), scan, row_groups=self.fmt == "parquet", by="row_number")
 
 
 def envelope_of(rows: DataFrame, row_number: Column | str = "row_number") -> DataFrame:

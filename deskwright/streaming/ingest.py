@@ -31,7 +31,7 @@ from deskwright.plans.reports import write_reports
 from deskwright.plans.store import TicketStore
 from deskwright.rules import QualityRules
 from deskwright.sources.formats import detect_format
-from deskwright.sources.numbering import number_rows
+from deskwright.sources.numbering import number_rows, spread
 from deskwright.sources.readers import check_headers, scan_export
 from deskwright.streaming.first_rows import KeyState
 
@@ -51,7 +51,9 @@ def ingest_batch(
     offset = done[-1]["row_offset"] if done else 0
     if run["input_format"] == "csv":
         check_headers(rows)
-    envelope = number_rows(rows, first_number=offset + 1)
+    numbered = number_rows(rows, first_number=offset + 1)
+    parquet = run["input_format"] == "parquet"
+    envelope = spread(numbered, rows, row_groups=parquet, by="row_number")
     staged = stage(store, run, envelope, rules, batch_id)
     process_unit(store, run, staged, envelope, rules, batch_id, offset, keys)
     if not run["dry_run"]:
