@@ -206,8 +206,8 @@ def _paths(classes: DataFrame, trees: range) -> DataFrame:
     tree = F.explode(F.lit(list(trees))).alias("tree")
     rows = classes.select(*SAME, "tokens", tree)
     rows = rows.select(*SAME, "tree", F.slice("tokens", F.col("tree") * LEVELS + 1, LEVELS).alias("own"))
-    first, last = F.lit(True).alias("first"), F.lit(False).alias("last")
-    return rows.select(*SAME, _path(0, 0).alias("path"), first, last, "tree", "own")
+    alone, last = F.lit(True).alias("alone"), F.lit(False).alias("last")
+    return rows.select(*SAME, _path(0, 0).alias("path"), alone, last, "tree", "own")
 
 
 def _path(first: int, last: int) -> Column:
@@ -225,7 +225,7 @@ def _further_paths(rows: DataFrame) -> DataFrame:
         F.struct(_path(i, j).alias("path"), F.lit(i < j == LEVELS - 1).alias("last")) for i, j in runs
     ]
     rows = rows.select(*SAME, "tree", "own", F.explode(F.array(*nodes)).alias("node"))
-    return rows.select(*SAME, "node.path", F.lit(False).alias("first"), "node.last")
+    return rows.select(*SAME, "node.path", F.lit(False).alias("alone"), "node.last")
 
 
 def _nodes(frame: DataFrame) -> DataFrame:
@@ -308,7 +308,8 @@ def candidates(spark: SparkSession, classes: DataFrame, trees: range, percent: i
     met = stored(spark, frame.join(_nodes(frame), "path"), "near-nodes")
     frame = _further_paths(met.where(F.col("n_out") > OUTSIDE))
     further = stored(spark, frame.join(_nodes(frame), "path"), "near-nodes")
-    met = met.drop("tree", "own").unionByName(further)
+    # Only first nodes, of a token alone, keep their tree.
+    met = met.drop("own").unionByName(further, allowMissingColumns=True)
     few = met.where(F.col("n_out") <= OUTSIDE)
     outside = (
         few.where(F.col("root") != F.col("inside"))
@@ -321,7 +322,7 @@ def candidates(spark: SparkSession, classes: DataFrame, trees: range, percent: i
     once = (F.col("root") == F.col("inside")) | (F.col("class") < F.col("other.class"))
     apart = met_outside.where(once & (F.col("other.root") != F.col("root")))
     found = apart.select(*_pair("class", "other.class"), F.lit(None).cast("binary").alias("pivot"))
-    many = met.where((F.col("n_out") > OUTSIDE) & (F.col("first") | F.col("last")))
+    many = met.where((F.col("n_out") > OUTSIDE) & (F.col("alone") | F.col("last")))
     found = found.unionByName(_pivot_pairs(many, classes, percent))
     pairs = found.groupBy("a", "b").agg(F.max("pivot").alias("pivot"))
     return stored(spark, pairs, "near-pairs")
