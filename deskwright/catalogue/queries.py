@@ -9,7 +9,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from deskwright import fixed
-from deskwright.catalogue.ticket_view import VIEW_RULES, table, ticket_envelope, ticket_view
+from deskwright.catalogue.ticket_view import (
+    ORDER_COLUMNS,
+    VIEW_RULES,
+    table,
+    ticket_envelope,
+    ticket_view,
+    view_of,
+)
 from deskwright.functions import keys, masking, text, timestamps
 from deskwright.functions.formatting import score
 from deskwright.operators import listing, merge, repeats, scoring
@@ -558,9 +565,14 @@ FILE_ROWS = 250_000
 
 def in_row_order(spark: SparkSession, folder: str, files: int = 4) -> DataFrame:
     """The ticket view laid out so that file order is row order, in more ``files`` if it is large."""
-    view = ticket_view(spark, folder)
-    files = max(files, -(-view.count() // FILE_ROWS))
-    return view.repartitionByRange(files, "row_number").sortWithinPartitions("row_number")
+    orders = table(spark, folder, "orders").select(*ORDER_COLUMNS)
+    files = max(files, -(-orders.count() // FILE_ROWS))
+    return _laid_out(orders, files)
+
+
+def _laid_out(orders: DataFrame, files: int) -> DataFrame:
+    """The view of the orders by their number. Bare orders are moved and sorted, not their texts."""
+    return view_of(orders.repartitionByRange(files, "o_orderkey").sortWithinPartitions("o_orderkey"))
 
 
 def _arriving(spark: SparkSession, folder: str) -> tuple[str, int]:
@@ -569,15 +581,15 @@ def _arriving(spark: SparkSession, folder: str) -> tuple[str, int]:
     Large quarters are of more files; returns the folder and the number of files of a quarter.
     """
     path = f"{scratch_path(spark, 'arriving')}/tickets.parquet"
-    view = ticket_view(spark, folder)
-    quarter = view.agg(F.ceil(F.max("row_number") / 4).alias("n")).first()["n"]
-    part_of = F.ceil(F.col("row_number") / quarter)
+    orders = table(spark, folder, "orders").select(*ORDER_COLUMNS)
+    number = F.col("o_orderkey") + 1
+    quarter = orders.agg(F.ceil(F.max(number) / 4).alias("n")).first()["n"]
+    part_of = F.ceil(number / quarter)
     # As many as the smallest quarter fills, so that all have the same number.
-    sizes = [r["count"] for r in view.groupBy(part_of.alias("part")).count().where("part <= 4").collect()]
+    sizes = [r["count"] for r in orders.groupBy(part_of.alias("part")).count().where("part <= 4").collect()]
     files = max(2, min(sizes, default=0) // FILE_ROWS)
     for part in range(4):
-        rows = view.where(part_of == part + 1)
-        rows = rows.repartitionByRange(files, "row_number").sortWithinPartitions("row_number")
+        rows = _laid_out(orders.where(part_of == part + 1), files)
         synthetic.write_export(rows.drop("row_number"), path, "parquet", mode="append")
     return path, files
 

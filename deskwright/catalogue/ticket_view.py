@@ -52,8 +52,15 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_orderdate"]
+
+
+def view_of(orders: DataFrame) -> DataFrame:
+    return orders.sparkSession.sql(TICKET_VIEW, orders=orders)
+
+
 def ticket_view(spark: SparkSession, folder: str) -> DataFrame:
-    return spark.sql(TICKET_VIEW, orders=spread(table(spark, folder, "orders"), row_groups=True))
+    return view_of(spread(table(spark, folder, "orders"), row_groups=True))
 
 
 def ticket_envelope(spark: SparkSession, folder: str) -> DataFrame:

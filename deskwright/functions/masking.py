@@ -66,17 +66,30 @@ def mask_struct(
         for f in schema.fields
         if isinstance(f.dataType, T.StringType) and f.name.casefold() not in fixed.SENSITIVE_KEYS
     ]
-    masked = dict(zip(plain, sql.each([field(name) for name in plain], sql.mask_text("x")))) if plain else {}
-    return F.struct(
-        *[
-            (
-                masked[f.name]
-                if f.name in masked
-                else mask_value(field(f.name), f.dataType, f.name, mask_lists)
-            ).alias(f.name)
-            for f in schema.fields
-        ]
+
+    def record(masked: dict[str, Column]) -> Column:
+        return F.struct(
+            *[
+                (
+                    masked[f.name]
+                    if f.name in masked
+                    else mask_value(field(f.name), f.dataType, f.name, mask_lists)
+                ).alias(f.name)
+                for f in schema.fields
+            ]
+        )
+
+    if not plain:
+        return record({})
+    # The masked texts are bound to a name: inside a condition Spark would mask all of them again for
+    # each field that is taken from them.
+    masked = F.call_function(
+        "transform", F.array(*[field(name) for name in plain]), F.expr(f"x -> {sql.mask_text('x')}")
+    )
+    records = F.transform(
+        F.array(masked), lambda m: record({name: F.get(m, F.lit(i)) for i, name in enumerate(plain)})
     )
+    return F.get(records, F.lit(0))
 
 
 def to_payload(record: Column) -> Column:

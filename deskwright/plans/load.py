@@ -236,10 +236,15 @@ def merge_into(
     touched = None  # all buckets, where there are many rows
     if n_rows < n_buckets:
         touched = {r["bucket"] for r in incoming.select("bucket").distinct().collect()}
-    changes = changed_keys(store.tickets(loads, touched), incoming, newer_by=newer_by)
-    path = f"{store.root}/load_changes/{folder}"
-    changes.write.mode("overwrite").parquet(path)
-    changes = store.spark.read.schema(changes.schema).parquet(path)
+    if loads:
+        changes = changed_keys(store.tickets(loads, touched), incoming, newer_by=newer_by)
+        path = f"{store.root}/load_changes/{folder}"
+        changes.write.mode("overwrite").parquet(path)
+        changes = store.spark.read.schema(changes.schema).parquet(path)
+        rows = incoming.join(changes.select(*TICKET_KEY), TICKET_KEY, "left_semi")
+    else:  # every row is new; one without a key has no place, as in the join
+        changes = incoming.select(*TICKET_KEY, "bucket", F.lit("insert").alias("action"))
+        rows = incoming.dropna(subset=TICKET_KEY)
     is_update = F.col("action") == "update"
     counted = changes.groupBy("bucket").agg(
         F.count("*").alias("rows"), F.count_if(is_update).alias("updates")
@@ -251,7 +256,6 @@ def merge_into(
     )
     added = sorted({r["bucket"] for r in counts} - set(rewritten))
     if counts:
-        rows = incoming.join(changes.select(*TICKET_KEY), TICKET_KEY, "left_semi")
         if rewritten:
             updated = changes.where(is_update).select(*TICKET_KEY)
             kept = store.tickets(loads, rewritten).join(updated, TICKET_KEY, "left_anti")
@@ -281,8 +285,10 @@ def _load_once(store: TicketStore, run: dict) -> bool:
     if run["incremental"]:
         newer_by = "updated_at"
         # A stream may bring a ticket again in a later unit: the newest counts, of equals the first.
-        newest = F.struct("updated_at", -F.col("row_number"))
-        incoming = latest_per_key(incoming, TICKET_KEY, newest)
+        # Within a unit it would be a repeat.
+        if len(fresh) > 1:
+            newest = F.struct("updated_at", -F.col("row_number"))
+            incoming = latest_per_key(incoming, TICKET_KEY, newest)
     merged = merge_into(store, loads, incoming, accepted, folder, newer_by)
     return store.publish(
         load_number=number,
