@@ -9,11 +9,12 @@ on a rising curve that gives a probability. The curve is fitted on documents of
 training rows by models of the other half.
 
 Words and bigrams are counted over all labelled documents, in two passes with partial sums in the
-tasks. The vocabulary is bounded (the most frequent words, and those most in excess in toxic text);
-all other words are one rare word. The bigrams kept in the model are bounded too; the weight of the
-others goes to the words' own probabilities. A bigram has counts of its own only if its last word has,
-so an expression of everyday words alone adds nothing. Only the curve is fitted on a bounded sample. Labels
-are broadcast if they are few, else joined by shuffle.
+tasks. All words seen LEAST_SEEN times are known; rarer ones are one rare word. A bigram has counts of
+its own only if its last word has, so an expression of everyday words alone adds nothing. Only the
+curve is fitted on a bounded sample. Labels are broadcast if they are few, else joined by shuffle.
+
+Nothing is cut: up to VOCABULARY known words and BIGRAMS telling bigrams every task holds the model;
+with more of either the same model is made of tables, and documents get their scores by joins.
 
 Defined results: null and empty texts score like rare words; documents with several labels count as
 toxic if one says so; null labels are ignored; without labels of both classes every score is the
@@ -33,7 +34,8 @@ from deskwright.llm.arrow import map_columns
 from deskwright.llm.common import id_remainder, stored
 from deskwright.llm.language import words_of
 
-VOCABULARY = 10_000
+# What a task holds; larger models are joined.
+VOCABULARY = 1_000_000  # words; about 200 MB
 BIGRAMS = 500_000
 CURVE_DOCS = 20_000
 BROADCAST_LABELS = 2_000_000  # rows; about 32 MB
@@ -65,7 +67,7 @@ def labelled_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     )
 
 
-def _counts(docs: DataFrame, keys_of) -> DataFrame:
+def _counts(docs: DataFrame, keys_of, kind: str = "string") -> DataFrame:
     """key and c0 ... c3: how often each key of ``keys_of(text)`` occurs in each group."""
 
     def make():
@@ -81,7 +83,6 @@ def _counts(docs: DataFrame, keys_of) -> DataFrame:
 
         return work
 
-    kind = "string" if keys_of is _words else "long"
     schema = f"key {kind}, " + ", ".join(f"c{g} long" for g in range(GROUPS))
     rows = map_columns(docs.select("text", "half", "toxic"), make, schema, rows=8192)
     return rows.groupBy("key").agg(*[F.sum(f"c{g}").alias(f"c{g}") for g in range(GROUPS)])
@@ -97,6 +98,7 @@ def numbered(places: dict[str, int], words: list[str]) -> list[int]:
 
 # The halves whose counts a model uses.
 FIRST, SECOND, BOTH = (0,), (1,), (0, 1)
+CASES = [FIRST, SECOND, BOTH]
 
 
 @dataclass
@@ -123,35 +125,77 @@ def _group(half: int, toxic: int) -> int:
     return 2 * half + toxic
 
 
-def gather(
-    spark: SparkSession, train: DataFrame, vocabulary: int = VOCABULARY, bigrams: int = BIGRAMS
-) -> Statistics:
-    columns = [f"c{g}" for g in range(GROUPS)]
-    every = sum(F.col(c) for c in columns)
-    toxic = sum(F.col(f"c{_group(half, 1)}") for half in BOTH)
+@dataclass
+class Counted:
+    """The words of the training documents with their counts, and sums over all of them."""
+
+    table: DataFrame  # key and counts
+    tokens: np.ndarray  # GROUPS
+    types: np.ndarray  # GROUPS: different words
+    rarely: np.ndarray  # GROUPS x 2: words seen once and twice
+
+    @property
+    def share(self) -> float:
+        """Of the words, those in toxic text."""
+        return self.tokens[[_group(h, 1) for h in BOTH]].sum() / max(self.tokens.sum(), 1.0)
+
+    @property
+    def known(self) -> DataFrame:
+        return self.table.where(_every() >= LEAST_SEEN)
+
+
+COUNTS = [f"c{g}" for g in range(GROUPS)]
+
+
+def _of(halves: tuple[int, ...], toxic: int) -> Column:
+    return sum(F.col(f"c{_group(half, toxic)}") for half in halves)
+
+
+def _every() -> Column:
+    return sum(F.col(c) for c in COUNTS)
+
+
+def _excess(share: float) -> Column:
+    """Standard deviations above the expected count in toxic text."""
+    return (_of(BOTH, 1) - _every() * share) / F.sqrt(_every() * share + 1)
+
+
+def _may_tell(share: float) -> Column:
+    """Whether a bigram may have counts of its own."""
+    return (_every() >= LEAST_SEEN) & (_excess(share) > TELLING / 2)
+
+
+def count_words(spark: SparkSession, train: DataFrame) -> Counted:
     counted = stored(spark, _counts(train, _words), "toxicity-words")
     overall = counted.agg(
-        *[F.coalesce(F.sum(c), F.lit(0)) for c in columns],
-        *[F.count(F.when(F.col(c) > 0, 1)) for c in columns],
-        *_seen_rarely(columns),
+        *[F.coalesce(F.sum(c), F.lit(0)) for c in COUNTS],
+        *[F.count(F.when(F.col(c) > 0, 1)) for c in COUNTS],
+        *_seen_rarely(COUNTS),
     ).first()
-    tokens = np.array(overall[:GROUPS], np.float64)
-    share = tokens[[_group(h, 1) for h in BOTH]].sum() / max(tokens.sum(), 1.0)
-    excess = (toxic - every * share) / F.sqrt(every * share + 1)
-    often = counted.where(every >= LEAST_SEEN)
-    chosen = [
-        often.orderBy(order.desc(), "key").limit(vocabulary // 2).toArrow()
-        for order in (every, excess)
-    ]
-    rows = {
-        key: counts
-        for table in chosen
-        for key, *counts in zip(*(table.column(c).to_pylist() for c in ["key", *columns]))
-    }
-    places = {word: i for i, word in enumerate(sorted(rows), 1)}
+    return Counted(
+        counted,
+        np.array(overall[:GROUPS], np.float64),
+        np.array(overall[GROUPS : 2 * GROUPS], np.float64),
+        np.array(overall[2 * GROUPS :], np.float64).reshape(GROUPS, 2),
+    )
+
+
+def gather(
+    spark: SparkSession,
+    train: DataFrame,
+    counted: Counted,
+    vocabulary: int = VOCABULARY,
+    bigrams: int = BIGRAMS,
+) -> Statistics | None:
+    """All statistics; None if there are more known words or telling bigrams than a task may hold."""
+    columns = COUNTS
+    tokens = counted.tokens
+    if counted.known.limit(vocabulary + 1).count() > vocabulary:
+        return None
+    table = counted.known.toArrow().sort_by("key")
+    places = {word: i for i, word in enumerate(table.column("key").to_pylist(), 1)}
     words = np.zeros((GROUPS, len(places) + 1))
-    for word, i in places.items():
-        words[:, i] = rows[word]
+    words[:, 1:] = [table.column(c).to_numpy() for c in columns]
     words[:, RARE] = tokens - words.sum(axis=1)
 
     start, width = len(places) + 1, len(places) + 2
@@ -166,33 +210,32 @@ def gather(
 
         return keys
 
-    pairs = stored(spark, _counts(train, bigram_keys), "toxicity-bigrams")
-    telling = pairs.where((every >= LEAST_SEEN) & (excess > TELLING / 2))
-    kept = telling.orderBy(excess.desc(), "key").limit(bigrams).toArrow().sort_by("key")
+    pairs = stored(spark, _counts(train, bigram_keys, "long"), "toxicity-bigrams")
+    telling = pairs.where(_may_tell(counted.share))
+    if telling.limit(bigrams + 1).count() > bigrams:
+        return None
+    kept = telling.toArrow().sort_by("key")
     # A row per word of the vocabulary.
     contexts = np.zeros((GROUPS, width))
     first = F.floor(F.col("key") / width).cast("int").alias("v")
-    for row in pairs.groupBy(first).agg(*[F.sum(c).alias(c) for c in columns]).collect():
-        contexts[:, row["v"]] = [row[c] for c in columns]
-    cases = [FIRST, SECOND, BOTH]
-    seen = [
-        F.count(F.when(sum(F.col(f"c{_group(h, 1)}") for h in halves) > 0, 1)) for halves in cases
-    ]
-    before = np.zeros((1 + len(cases), len(places) + 1))
+    found = pairs.groupBy(first).agg(*[F.sum(c).alias(c) for c in columns]).toArrow()
+    contexts[:, found.column("v").to_numpy()] = [found.column(c).to_numpy() for c in columns]
+    seen = [F.count(F.when(_of(halves, 1) > 0, 1)).alias(f"s{i}") for i, halves in enumerate(CASES)]
+    before = np.zeros((1 + len(CASES), len(places) + 1))
     second = (F.col("key") % width).cast("int").alias("w")
-    for row in pairs.groupBy(second).agg(F.count("*"), *seen).collect():
-        before[:, row["w"]] = row[1:]
-    rarely = [overall[2 * GROUPS :], pairs.agg(*_seen_rarely(columns)).first()]
+    found = pairs.groupBy(second).agg(F.count("*"), *seen).toArrow()
+    before[:, found.column("w").to_numpy()] = [c.to_numpy() for c in found.columns[1:]]
+    rarely = [counted.rarely, pairs.agg(*_seen_rarely(columns)).first()]
     return Statistics(
         places,
         tokens,
-        np.array(overall[GROUPS : 2 * GROUPS], np.float64),
+        counted.types,
         np.array([np.reshape(r, (GROUPS, 2)) for r in rarely], np.float64).transpose(1, 0, 2),
         words,
         kept.column("key").to_numpy(),
         np.array([kept.column(c).to_numpy() for c in columns], np.float64),
         contexts,
-        dict(zip(cases, before[1:])),
+        dict(zip(CASES, before[1:])),
         before[0],
     )
 
@@ -283,6 +326,181 @@ def model_of(found: Statistics, halves: tuple[int, ...]) -> Model:
     )
 
 
+# The same model as tables, for any number of words and bigrams.
+
+START, UNKNOWN = " ", ""  # the start of a text and a rare word; neither is a word
+
+
+def _word_pairs():
+    return lambda words: [f"{v}\n{w}" for v, w in zip([START, *words], words)]
+
+
+class Tables:
+    """Counts of all bigrams (``v``, ``w``), words and contexts, rare words as one."""
+
+    def __init__(self, spark: SparkSession, train: DataFrame, counted: Counted) -> None:
+        self.spark, self.counted = spark, counted
+        self.known = stored(spark, counted.known.select(F.col("key").alias("word")), "toxicity-known")
+        sums = [F.sum(c).alias(c) for c in COUNTS]
+        raw = _counts(train, _word_pairs).select(
+            F.substring_index("key", "\n", 1).alias("v"),
+            F.substring_index("key", "\n", -1).alias("w"),
+            *COUNTS,
+        )
+        mapped = self.with_rare(self.with_rare(raw, "v"), "w")
+        self.pairs = stored(spark, mapped.groupBy("v", "w").agg(*sums), "toxicity-pairs")
+        seen = [
+            F.count(F.when(_of(halves, 1) > 0, 1)).alias(f"toxic_before_{i}")
+            for i, halves in enumerate(CASES)
+        ]
+        words = self.pairs.groupBy("w").agg(*sums, F.count("*").alias("before"), *seen)
+        self.words = stored(spark, words, "toxicity-vocabulary")
+        self.contexts = stored(spark, self.pairs.groupBy("v").agg(*sums), "toxicity-contexts")
+        n_pairs, *rarely = self.pairs.agg(F.count("*"), *_seen_rarely(COUNTS)).first()
+        self.rarely = [counted.rarely, np.array(rarely, np.float64).reshape(GROUPS, 2)]
+        # Every known word and the rare one: their different contexts, and one more.
+        self.norm = n_pairs + self.known.count() + 1
+
+    def with_rare(self, rows: DataFrame, name: str) -> DataFrame:
+        """``rows`` with rare words in a column replaced by one."""
+        known = self.known.select(F.col("word").alias(name), F.lit(True).alias("_known"))
+        word = F.when(F.col("_known") | (F.col(name) == START), F.col(name)).otherwise(UNKNOWN)
+        return rows.join(known, name, "left").withColumn(name, word).drop("_known")
+
+    def model(self, halves: tuple[int, ...]) -> JoinedModel:
+        """What ``model_of`` makes of the counts of the given halves."""
+        counted = self.counted
+        groups = [[_group(half, toxic) for half in halves] for toxic in (0, 1)]
+        tokens = [counted.tokens[own].sum() for own in groups]
+        share = tokens[1] / max(sum(tokens), 1.0)
+        ordinary, toxic = (_of(halves, t) for t in (0, 1))
+        expected = (ordinary + toxic) * F.lit(share)
+        telling = (toxic - expected > TELLING * F.sqrt(expected + 1)) & (
+            toxic * F.lit(tokens[0]) > LEAST_RATIO * ordinary * F.lit(tokens[1])
+        )
+        enough = F.col(f"toxic_before_{CASES.index(halves)}") >= LEAST_CONTEXTS
+        likely = []
+        for own, total, count in zip(groups, tokens, (ordinary, toxic)):
+            discount = _discount(self.rarely[0][own].sum(axis=0))
+            to_shared = min(discount * counted.types[own].sum() / max(total, 1.0), 1.0)
+            left = F.greatest(count - F.lit(discount), F.lit(0.0)) / max(total, 1.0)
+            likely.append(left + F.lit(to_shared) * (F.col("before") + 1) / self.norm)
+        words = self.words.where((F.col("w") != UNKNOWN) & telling & enough)
+        words = stored(
+            self.spark,
+            words.select("w", *[p.alias(f"p{t}") for t, p in enumerate(likely)]),
+            "toxicity-own-words",
+        )
+        held = words.agg(*[F.coalesce(F.sum(f"p{t}"), F.lit(0.0)) for t in (0, 1)]).first()
+        rest = [max(1 - mass, 1e-6) for mass in held]
+        other = float(np.log(rest[1]) - np.log(rest[0]))
+
+        lefts = []
+        for t, (own, count) in enumerate(zip(groups, (ordinary, toxic))):
+            discount = _discount(self.rarely[1][own].sum(axis=0))
+            lefts.append(F.greatest(count - F.lit(discount), F.lit(0.0)).alias(f"l{t}"))
+        own_pairs = self.pairs.where(_may_tell(counted.share) & telling).select("v", "w", *lefts)
+        own_pairs = stored(self.spark, own_pairs.join(words, "w"), "toxicity-own-pairs")
+        after = [
+            F.greatest(count.cast("double"), F.lit(1e-9)).alias(f"a{t}")
+            for t, count in enumerate((ordinary, toxic))
+        ]
+        contexts = own_pairs.groupBy("v").agg(*[F.sum(f"l{t}").alias(f"s{t}") for t in (0, 1)])
+        contexts = contexts.join(self.contexts.select("v", *after), "v").select(
+            "v",
+            "a0",
+            "a1",
+            *[F.greatest(1 - F.col(f"s{t}") / F.col(f"a{t}"), F.lit(1e-6)).alias(f"b{t}") for t in (0, 1)],
+        )
+        contexts = stored(self.spark, contexts, "toxicity-own-contexts")
+        pair = [
+            F.log(F.col(f"l{t}") / F.col(f"a{t}") + F.col(f"b{t}") * F.col(f"p{t}")) for t in (0, 1)
+        ]
+        apart = [F.log(F.col(f"b{t}") * F.col(f"p{t}")) for t in (0, 1)]
+        value = pair[1] - pair[0] - (apart[1] - apart[0])
+        return JoinedModel(
+            self,
+            other,
+            words.select("w", (F.log("p1") - F.log("p0") - other).alias("value")),
+            contexts.select("v", (F.log("b1") - F.log("b0")).alias("value")),
+            stored(
+                self.spark,
+                own_pairs.join(contexts, "v").select("v", "w", value.alias("value")),
+                "toxicity-pair-values",
+            ),
+        )
+
+
+@dataclass
+class JoinedModel:
+    """A model as tables: what words, contexts and bigrams add to ``other``, that of any word."""
+
+    tables: Tables
+    other: float
+    words: DataFrame  # w, value
+    contexts: DataFrame  # v, value
+    pairs: DataFrame  # v, w, value: beyond their context's and word's
+    curve: tuple[list[float], list[float]] = ((0.0,), (0.0,))
+
+    def differences(self, docs: DataFrame) -> DataFrame:
+        """``docs`` with ``x``, the difference of each text per word."""
+        spark = self.tables.spark
+        numbered = docs.select(F.monotonically_increasing_id().alias("_row"), "*")
+        numbered = stored(spark, numbered, "toxicity-documents")
+
+        def make():
+            def work(columns):
+                made: dict[str, list] = {"_row": [], "v": [], "w": [], "n": []}
+                for row, text in zip(columns["_row"], columns["text"]):
+                    words = words_of(text or "")
+                    for (v, w), n in Counter(zip([START, *words], words)).items():
+                        for name, value in zip(made, (row, v, w, n)):
+                            made[name].append(value)
+                return made
+
+            return work
+
+        found = map_columns(numbered.select("_row", "text"), make, "_row long, v string, w string, n long")
+        found = stored(spark, found, "toxicity-document-pairs")
+
+        def parts(rows: DataFrame, value: Column) -> DataFrame:
+            return rows.select("_row", F.lit(0).alias("n"), (F.col("n") * value).alias("value"))
+
+        # Rare words and starts are in most documents: their values are no join.
+        common = self.contexts.where(F.col("v").isin(START, UNKNOWN)).collect()
+        common = {r["v"]: r["value"] for r in common}
+        rare = found.where(F.col("v") != START).join(
+            self.tables.known.select(F.col("word").alias("v")), "v", "left_anti"
+        )
+        # Only words with counts of their own end a bigram that has some.
+        ends = self.tables.with_rare(found.join(self.words.select("w"), "w", "left_semi"), "v")
+        sums = found.select("_row", "n", F.lit(0.0).alias("value"))
+        for part in (
+            parts(found.join(self.words, "w"), F.col("value")),
+            parts(found.where(F.col("v") != START).join(self.contexts, "v"), F.col("value")),
+            parts(found.where(F.col("v") == START), F.lit(common.get(START, 0.0))),
+            parts(rare, F.lit(common.get(UNKNOWN, 0.0))),
+            parts(ends.join(self.pairs, ["v", "w"]), F.col("value")),
+        ):
+            sums = sums.unionByName(part)
+        sums = sums.groupBy("_row").agg(F.sum("n").alias("_n"), F.sum("value").alias("_value"))
+        x = F.coalesce(F.col("_value") / F.col("_n"), F.lit(0.0)) + self.other
+        return numbered.join(sums, "_row", "left").withColumn("x", x).drop("_row", "_n", "_value")
+
+    def scores(self, docs: DataFrame) -> DataFrame:
+        curve = self.curve
+
+        def make():
+            def work(columns):
+                return {"doc_id": columns["doc_id"], "score": np.interp(columns["x"], *curve).tolist()}
+
+            return work
+
+        rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+        found = self.differences(rows).select("doc_id", "x")
+        return map_columns(found, make, "doc_id long, score double")
+
+
 def fit_curve(x: np.ndarray, y: np.ndarray) -> tuple[list[float], list[float]]:
     """Knots of the rising curve nearest to the labels ``y`` (isotonic regression)."""
     blocks: list[list[float]] = []  # sum of labels, documents, least and largest difference
@@ -303,36 +521,48 @@ def fit(
     vocabulary: int = VOCABULARY,
     bigrams: int = BIGRAMS,
     curve_docs: int = CURVE_DOCS,
-) -> Model:
+) -> Model | JoinedModel:
     train = labelled_documents(docs, labels)
-    found = gather(spark, train, vocabulary, bigrams)
-    model = model_of(found, BOTH)
+    counted = count_words(spark, train)
+    found = gather(spark, train, counted, vocabulary, bigrams)
+    n = max(train.count(), 1)
+    chance = F.pmod(F.xxhash64("doc_id", F.lit("curve")), F.lit(1 << 30)) / float(1 << 30)
+    sample = train.where(chance < min(1.0, curve_docs / n)).select("text", "half", "toxic")
     # The curve: documents of each half by the counts of the other.
-    crossed = spark.sparkContext.broadcast([model_of(found, SECOND), model_of(found, FIRST)])
+    if found is None:
+        tables = Tables(spark, train, counted)
+        model = tables.model(BOTH)
+        crossed = [tables.model(SECOND), tables.model(FIRST)]
+        halves = [
+            crossed[h].differences(sample.where(F.col("half") == h)).select("x", "toxic") for h in BOTH
+        ]
+        scored = halves[0].unionByName(halves[1]).toArrow()
+    else:
+        model = model_of(found, BOTH)
+        shared = spark.sparkContext.broadcast([model_of(found, SECOND), model_of(found, FIRST)])
 
-    def make():
-        models = crossed.value
+        def make():
+            models = shared.value
 
-        def work(columns):
-            made = [models[h].difference(t) for h, t in zip(columns["half"], columns["text"])]
-            return {"x": made, "toxic": columns["toxic"]}
+            def work(columns):
+                made = [models[h].difference(t) for h, t in zip(columns["half"], columns["text"])]
+                return {"x": made, "toxic": columns["toxic"]}
 
-        return work
+            return work
 
-    n = max(train.count(), 1)
-    chance = F.pmod(F.xxhash64("doc_id", F.lit("curve")), F.lit(1 << 30)) / float(1 << 30)
-    sample = train.where(chance < min(1.0, curve_docs / n)).select("text", "half", "toxic")
-    scored = map_columns(sample, make, "x double, toxic int").toArrow()
+        scored = map_columns(sample, make, "x double, toxic int").toArrow()
     x, toxic = (scored.column(c).to_numpy().astype(np.float64) for c in ("x", "toxic"))
-    if found.tokens.all() and 0 < toxic.sum() < len(toxic):
+    if counted.tokens.all() and 0 < toxic.sum() < len(toxic):
         model.curve = fit_curve(x, toxic)
     else:
         model.curve = ([0.0], [float(toxic.mean()) if len(toxic) else 0.0])
     return model
 
 
-def score(spark: SparkSession, model: Model, docs: DataFrame) -> DataFrame:
+def score(spark: SparkSession, model: Model | JoinedModel, docs: DataFrame) -> DataFrame:
     """doc_id and score of every document."""
+    if isinstance(model, JoinedModel):
+        return model.scores(docs)
     shared = spark.sparkContext.broadcast(model)  # bounded by the model's parameters
 
     def make():
