@@ -60,7 +60,7 @@ def view_of(orders: DataFrame) -> DataFrame:
 
 
 def ticket_view(spark: SparkSession, folder: str) -> DataFrame:
-    return view_of(spread(table(spark, folder, "orders"), row_groups=True))
+    return view_of(spread(table(spark, folder, "orders"), row_groups=True, bounded=True))
 
 
 def ticket_envelope(spark: SparkSession, folder: str) -> DataFrame:

@@ -23,7 +23,12 @@ from deskwright.rules import QualityRules
 from deskwright.session import size_shuffles
 from deskwright.sources.fingerprint import input_fingerprint, manifest_fingerprint
 from deskwright.sources.formats import detect_format
-from deskwright.sources.readers import IndexedExport, read_tickets
+from deskwright.sources.readers import (
+    IndexedExport,
+    numbered_tickets,
+    read_tickets,
+    spread_tickets,
+)
 from deskwright.streaming.first_rows import KeyState
 
 # Batch id of the stage folder of a one-pass run.
@@ -102,8 +107,9 @@ def _process(spark, path, rules, store, run, fmt, multi_line, commit_rows, on_co
     """Process what is not committed yet, whatever the size of the commits before."""
     done = store.commits_of(run["run_id"])
     if not done and commit_rows is None:
-        envelope = read_tickets(spark, path, fmt, multi_line)
-        staged = stage(store, run, envelope, rules, WHOLE_INPUT)
+        envelope, scan = numbered_tickets(spark, path, fmt, multi_line)
+        spread = spread_tickets(envelope, scan, fmt, bounded=True)
+        staged = stage(store, run, spread, rules, WHOLE_INPUT)
         process_unit(
             store, run, staged, envelope, rules, WHOLE_INPUT, row_offset=0
         )
@@ -117,9 +123,10 @@ def _process(spark, path, rules, store, run, fmt, multi_line, commit_rows, on_co
     with KeyState(spark, store.path("key_state", run["run_id"])) as keys:
         while offset < total:
             until = total if commit_rows is None else min(offset + commit_rows, total)
-            unit = export.rows(offset, until)
+            unit, scan = export.numbered(offset, until)
             batch_id = first + commits
-            staged = stage(store, run, unit, rules, batch_id)
+            spread = spread_tickets(unit, scan, fmt, bounded=True)
+            staged = stage(store, run, spread, rules, batch_id)
             process_unit(store, run, staged, unit, rules, batch_id, offset, keys)
             if not run["dry_run"]:
                 load_tickets(store, run)

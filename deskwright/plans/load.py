@@ -122,7 +122,8 @@ def process_unit(
 ) -> None:
     """Flag repeats, quarantine the rejected rows and commit one unit.
 
-    ``row_offset`` counts the rows of earlier units. ``keys`` holds the first row of every key, for
+    Only rows rejected as repeats are fetched from ``envelope``, which need not be spread over the cores
+    as the rows to evaluate. ``row_offset`` counts the rows of earlier units. ``keys`` holds the first row of every key, for
     runs of several units: a key of an earlier unit makes every later row with it a repeat.
     """
     run_id = run["run_id"]

@@ -125,20 +125,26 @@ def batch_index(row_number: Column, batch_size: int) -> Column:
 
 # A task with so many times its fair share of the rows makes the others wait.
 UNEVEN = 2
-# Rows that are moved go to tasks of about so many.
-SPREAD_ROWS = 250_000
+# Rows that are moved go to tasks of about so many, which take seconds to evaluate.
+SPREAD_ROWS = 100_000
 
 
 def spread(
-    rows: DataFrame, scan: DataFrame | None = None, row_groups: bool = False, by: str | None = None
+    rows: DataFrame,
+    scan: DataFrame | None = None,
+    row_groups: bool = False,
+    by: str | None = None,
+    bounded: bool = False,
 ) -> DataFrame:
     """Use all cores when an input was cut into fewer tasks than there are cores, or into uneven ones.
 
-    Large inputs already have many more splits than cores and are returned as they are, so nothing
-    is shuffled at scale. ``scan`` is the bare file scan behind ``rows``: asking it for its number of
-    splits runs nothing. With ``row_groups`` the scan is of Parquet files, where a split may hold
-    nothing since row groups are read whole: rows are counted by split then, from the files' footers.
-    ``by`` names a unique column, which saves sorting rows that are moved.
+    Large texts already have many more splits than cores and are returned as they are, not shuffled.
+    ``scan`` is the bare file scan behind ``rows``: asking it for its number of splits runs nothing.
+    With ``row_groups`` the scan is of Parquet files. A split of these may hold nothing, since row groups
+    are read whole, or millions of rows: rows are counted by split, from the files' footers. ``bounded``
+    is for long work on each row: rows of Parquet files are moved as well if a task would have many more
+    than SPREAD_ROWS, so that the longest does not grow with the input. ``by`` names a unique column,
+    which saves sorting rows that are moved.
     """
     cores = rows.sparkSession.sparkContext.defaultParallelism
     scan = rows if scan is None else scan
@@ -146,6 +152,7 @@ def spread(
     if row_groups:
         held = scan.groupBy(F.spark_partition_id().alias("split")).agg(F.count("*").alias("n"))
         most, total = held.agg(F.max("n"), F.sum("n")).first()
-        uneven = uneven or (most or 0) * cores > UNEVEN * (total or 0)
+        fair = (total or 0) / cores
+        uneven = uneven or (most or 0) > UNEVEN * (min(fair, SPREAD_ROWS) if bounded else fair)
         wanted = max(cores, -(-(total or 0) // SPREAD_ROWS))
     return rows.repartition(wanted, *([by] if by else [])) if uneven else rows

@@ -189,15 +189,27 @@ def scan_export(
     return _from_parquet(reader, only or [path], schema)
 
 
+def numbered_tickets(
+    spark: SparkSession, path: str, fmt: str | None = None, multi_line: bool = True
+) -> tuple[DataFrame, DataFrame]:
+    """Numbered envelope of an export, in the tasks that its files are cut into, and the bare scan."""
+    fmt = detect_format(path, fmt)
+    scan = scan_export(spark, path, fmt, multi_line)
+    single = fmt == "parquet" and len(scan.inputFiles()) == 1
+    return number_rows(scan, single_file=single), scan
+
+
+def spread_tickets(numbered: DataFrame, scan: DataFrame, fmt: str, bounded: bool = False) -> DataFrame:
+    """A numbered envelope with its rows spread over the cores, ``bounded`` for long work on each."""
+    return spread(numbered, scan, row_groups=fmt == "parquet", by="row_number", bounded=bounded)
+
+
 def read_tickets(
     spark: SparkSession, path: str, fmt: str | None = None, multi_line: bool = True
 ) -> DataFrame:
     """Numbered envelope of an export file or of a folder of export files."""
     fmt = detect_format(path, fmt)
-    scan = scan_export(spark, path, fmt, multi_line)
-    single = fmt == "parquet" and len(scan.inputFiles()) == 1
-    numbered = number_rows(scan, single_file=single)
-    return spread(numbered, scan, row_groups=fmt == "parquet", by="row_number")
+    return spread_tickets(*numbered_tickets(spark, path, fmt, multi_line), fmt)
 
 
 class IndexedExport:
@@ -237,13 +249,17 @@ class IndexedExport:
         overlapping = self.index.where((F.col("_file_start") < until) & (end > after))
         return sorted(r[0] for r in overlapping.select(FILE).collect())
 
-    def rows(self, after: int = 0, until: int | None = None) -> DataFrame:
-        """Numbered envelope of the rows after number ``after`` up to ``until``."""
+    def numbered(self, after: int = 0, until: int | None = None) -> tuple[DataFrame, DataFrame]:
+        """Numbered envelope of the rows after number ``after`` up to ``until``, and the bare scan."""
         until = self.total if until is None else until
         scan = self._scan([unquote(f) for f in self.files(after, until)] or None)
         numbered = number_rows(scan, files=self.index)
         inside = (F.col("row_number") > after) & (F.col("row_number") <= until)
-        return spread(numbered.where(inside), scan, row_groups=self.fmt == "parquet", by="row_number")
+        return numbered.where(inside), scan
+
+    def rows(self, after: int = 0, until: int | None = None) -> DataFrame:
+        """The same envelope alone, spread over the cores."""
+        return spread_tickets(*self.numbered(after, until), self.fmt)
 
 
 def envelope_of(rows: DataFrame, row_number: Column | str = "row_number") -> DataFrame:

@@ -31,8 +31,8 @@ from deskwright.plans.reports import write_reports
 from deskwright.plans.store import TicketStore
 from deskwright.rules import QualityRules
 from deskwright.sources.formats import detect_format
-from deskwright.sources.numbering import number_rows, spread
-from deskwright.sources.readers import check_headers, scan_export
+from deskwright.sources.numbering import number_rows
+from deskwright.sources.readers import check_headers, scan_export, spread_tickets
 from deskwright.streaming.first_rows import KeyState
 
 
@@ -52,10 +52,9 @@ def ingest_batch(
     if run["input_format"] == "csv":
         check_headers(rows)
     numbered = number_rows(rows, first_number=offset + 1)
-    parquet = run["input_format"] == "parquet"
-    envelope = spread(numbered, rows, row_groups=parquet, by="row_number")
-    staged = stage(store, run, envelope, rules, batch_id)
-    process_unit(store, run, staged, envelope, rules, batch_id, offset, keys)
+    spread = spread_tickets(numbered, rows, run["input_format"], bounded=True)
+    staged = stage(store, run, spread, rules, batch_id)
+    process_unit(store, run, staged, numbered, rules, batch_id, offset, keys)
     if not run["dry_run"]:
         load_tickets(store, run)
     return True

@@ -7,10 +7,11 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from deskwright import run_stream
+from deskwright import run_export, run_stream
 from deskwright.catalogue import queries
 from deskwright.plans.store import TicketStore
-from deskwright.sources.readers import read_tickets
+from deskwright.sources import numbering
+from deskwright.sources.readers import numbered_tickets, read_tickets, spread_tickets
 
 ROWS = 4_000
 
@@ -78,3 +79,29 @@ def test_exports_have_more_files_when_they_are_larger(spark, orders, monkeypatch
     assert sorted(map(tuple, numbered.collect())) == [(i + 1, str(i)) for i in range(800)]
     path, files = queries._arriving(spark, orders)
     assert files == 4 and len(spark.read.parquet(path).inputFiles()) == 16
+
+
+def test_tasks_that_evaluate_rows_do_not_grow_with_the_input(spark, tmp_path, monkeypatch):
+    """Even splits of many rows each, which only evaluation finds too long."""
+    path, cores = str(tmp_path / "in.parquet"), spark.sparkContext.defaultParallelism
+    texts = [F.sha2(F.col("id").cast("string"), 256).alias(c) for c in ("ticket_id", "title")]
+    spark.range(0, ROWS, 1, cores).select(*texts).write.parquet(path)
+    monkeypatch.setattr(numbering, "SPREAD_ROWS", 100)
+    numbered, scan = numbered_tickets(spark, path)
+    assert max(sizes(numbered)) >= ROWS / cores
+    assert sorted(sizes(spread_tickets(numbered, scan, "parquet"))) == sorted(sizes(numbered))
+    rows = spread_tickets(numbered, scan, "parquet", bounded=True)
+    assert max(sizes(rows)) <= 200
+    assert sorted(map(tuple, rows.select("row_number", "data.title").collect())) == sorted(
+        map(tuple, numbered.select("row_number", "data.title").collect())
+    )
+
+
+def test_a_run_evaluates_rows_in_bounded_tasks(spark, tmp_path, rules, monkeypatch):
+    path, root = str(tmp_path / "in.parquet"), str(tmp_path / "store")
+    texts = [F.sha2(F.col("id").cast("string"), 256).alias(c) for c in ("ticket_id", "title")]
+    spark.range(0, ROWS, 1, spark.sparkContext.defaultParallelism).select(*texts).write.parquet(path)
+    monkeypatch.setattr(numbering, "SPREAD_ROWS", 100)
+    found = run_export(spark, path, rules, root).first()
+    staged = spark.read.parquet(TicketStore(spark, root).path("stage", found["run_id"], 0))
+    assert found["total_records"] == ROWS and len(staged.inputFiles()) == ROWS // 100
