@@ -47,9 +47,17 @@ class KeyState:
         with self._lock:
             self._written.append(path)
 
+    def _hand_over(self, claims: DataFrame) -> None:
+        """Write a unit's claims and show them to the stream at once, so that it reads them in one batch."""
+        name, hadoop = uuid.uuid4().hex, self.spark._jvm.org.apache.hadoop.fs.Path
+        claims.write.parquet(f"{self.folder}/written/{name}")
+        written, shown = hadoop(f"{self.folder}/written/{name}"), hadoop(f"{self.folder}/claims/{name}")
+        system = shown.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        system.mkdirs(shown.getParent())
+        if not system.rename(written, shown):
+            raise OSError(f"the claims in {written} could not be moved to {shown}")
+
     def _start(self) -> None:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/claims")
-        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).mkdirs(path)
         claims = (
             self.spark.readStream.schema(CLAIM)
             .option("recursiveFileLookup", "true")
@@ -78,7 +86,7 @@ class KeyState:
 
         ``claims(ticket_key, row_number)`` are the rows of a unit, all of them after the offset.
         """
-        claims.write.parquet(f"{self.folder}/claims/{uuid.uuid4().hex}")
+        self._hand_over(claims)
         if self.query is None:
             self._start()
         self.query.processAllAvailable()
@@ -87,7 +95,7 @@ class KeyState:
         if not written:
             return self.spark.createDataFrame([], FIRST)
         found = self.spark.read.schema(FIRST).parquet(*written)
-        # The files of a unit may come in several micro-batches, the later ones with earlier rows.
+        # After a crash a unit's claims may come in several micro-batches, the later ones with earlier rows.
         least = found.groupBy("ticket_key").agg(F.min("first_row_number").alias("first_row_number"))
         return least.where(F.col("first_row_number") > row_offset)
 

@@ -160,6 +160,19 @@ def test_keyed_state_equals_plain_version(spark, tmp_path):
     assert max(o["numRowsTotal"] for o in operators) == len(seen)
 
 
+def test_claims_of_a_unit_are_read_in_one_micro_batch(spark, tmp_path):
+    """The running stream sees the files of a unit all at once, or none of them."""
+    with KeyState(spark, str(tmp_path)) as state:
+        state.first_rows(claims_of(spark, [("k0", 1)]), 0)
+        for unit in range(1, 4):
+            first = unit * 1_000
+            claims = spark.range(first, first + 1_000, 1, 50).selectExpr(
+                "CAST(id AS STRING) AS ticket_key", "id AS row_number"
+            )
+            assert state.first_rows(claims, first - 1).count() == 1_000
+        assert [p["numInputRows"] for p in state.progress() if p["numInputRows"]] == [1] + [1_000] * 3
+
+
 @pytest.mark.parametrize("fmt", ["csv", "jsonl", "parquet"])
 def test_row_ranges_read_only_their_files(spark, tmp_path, fmt):
     path, index = f"{tmp_path}/in of it.{fmt}", f"{tmp_path}/index"
