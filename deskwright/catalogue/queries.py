@@ -768,9 +768,8 @@ def synthetic_tickets(spark, folder):
     return synthetic.synthetic_export(indexes, "o_orderkey")
 
 
-# Runs. A run is stored once per session and folder; the queries read its tables.
+# Runs. Every query makes a run of its own over the tables as they are, and reads what it stored.
 
-_RUNS: dict[tuple, TicketStore] = {}
 _SUMMARY = [
     "status", "dry_run", "incremental", "input_format",
     "total_records", "accepted_records", "quarantined_records", "duplicate_records",
@@ -792,29 +791,23 @@ def _stop_after(commits: int) -> Callable[[int], None]:
 
 
 def _batch_store(spark: SparkSession, folder: str) -> TicketStore:
-    key = (spark.sparkContext.applicationId, folder, "batch")
-    if key not in _RUNS:
-        root, path = scratch_path(spark, "store"), _written(spark, folder, "parquet")
-        run_export(spark, path, VIEW_RULES, root, incremental=True)
-        _RUNS[key] = TicketStore(spark, root)
-    return _RUNS[key]
+    root, path = scratch_path(spark, "store"), _written(spark, folder, "parquet")
+    run_export(spark, path, VIEW_RULES, root, incremental=True)
+    return TicketStore(spark, root)
 
 
 def _stream_store(spark: SparkSession, folder: str) -> TicketStore:
     """A stream over four pairs of files that is stopped after two commits and started again."""
-    key = (spark.sparkContext.applicationId, folder, "stream")
-    if key not in _RUNS:
-        root, (path, files) = scratch_path(spark, "store"), _arriving(spark, folder)
-        schema = spark.read.parquet(path).schema
-        options = dict(name="tickets", fmt="parquet", schema=schema, files_per_batch=files)
-        try:
-            run_stream(spark, path, VIEW_RULES, root, **options, on_commit=_stop_after(2))
-        except Exception as error:  # the streaming engine wraps the interruption
-            if Interrupted.__name__ not in str(error):
-                raise
-        run_stream(spark, path, VIEW_RULES, root, **options)
-        _RUNS[key] = TicketStore(spark, root)
-    return _RUNS[key]
+    root, (path, files) = scratch_path(spark, "store"), _arriving(spark, folder)
+    schema = spark.read.parquet(path).schema
+    options = dict(name="tickets", fmt="parquet", schema=schema, files_per_batch=files)
+    try:
+        run_stream(spark, path, VIEW_RULES, root, **options, on_commit=_stop_after(2))
+    except Exception as error:  # the streaming engine wraps the interruption
+        if Interrupted.__name__ not in str(error):
+            raise
+    run_stream(spark, path, VIEW_RULES, root, **options)
+    return TicketStore(spark, root)
 
 
 def _summary(store: TicketStore) -> DataFrame:

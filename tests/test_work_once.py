@@ -63,3 +63,16 @@ def test_exports_are_laid_out_before_their_texts_are_made(spark, tmp_path):
         F.collect_list("row_number").alias("n")
     )
     assert sum((r["n"] for r in parts.orderBy("p").collect()), []) == list(range(1, 101))
+
+
+def test_a_query_makes_its_own_run_over_the_tables_as_they_are(spark, tmp_path):
+    day, schema = datetime(1997, 3, 1), (
+        "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
+        "o_orderdate timestamp, o_orderpriority string"
+    )
+    for n in (30, 60):
+        rows = [(i, i % 7, "OFP"[i % 3], 1.0, day, "3-MEDIUM") for i in range(n)]
+        orders = spark.createDataFrame(rows, schema)
+        orders.write.mode("overwrite").parquet(str(tmp_path / "orders.parquet"))
+        found = queries.QUERIES["run_checkpoint"](spark, str(tmp_path)).first()
+        assert found["row_offset"] == n
