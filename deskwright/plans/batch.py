@@ -24,6 +24,7 @@ from deskwright.session import size_shuffles
 from deskwright.sources.fingerprint import input_fingerprint, manifest_fingerprint
 from deskwright.sources.formats import detect_format
 from deskwright.sources.readers import (
+    FilesByHeader,
     IndexedExport,
     numbered_tickets,
     read_tickets,
@@ -62,11 +63,12 @@ def run_export(
     all, it stops before its next commit.
     """
     store = TicketStore(spark, root)
-    fmt = detect_format(path, fmt)
+    fmt, headers = detect_format(path, fmt), FilesByHeader(spark, path, multi_line)
     if by_manifest:
         found = manifest_fingerprint(spark, path).first()
     else:
-        found = input_fingerprint(spark, path, read_tickets(spark, path, fmt, multi_line)).first()
+        rows = read_tickets(spark, path, fmt, multi_line, headers)
+        found = input_fingerprint(spark, path, rows).first()
     size_shuffles(spark, found["input_size_bytes"])
     run = describe_run(rules, path, found["fingerprint"], fmt, dry_run, incremental)
     run_id = run["run_id"]
@@ -90,7 +92,9 @@ def run_export(
             schema_version=rules.schema_version,
         )
         with attempt(store, run):
-            _process(spark, path, rules, store, run, fmt, multi_line, commit_rows, on_commit)
+            _process(
+                spark, path, rules, store, run, fmt, multi_line, commit_rows, on_commit, headers
+            )
             finish_run(store, run, rules)
         summary = stored_summary(store, run_id)
         write_reports(store, summary, run_id)
@@ -103,11 +107,13 @@ def _completed(store: TicketStore, run_id: str) -> DataFrame:
     return summary
 
 
-def _process(spark, path, rules, store, run, fmt, multi_line, commit_rows, on_commit) -> None:
+def _process(
+    spark, path, rules, store, run, fmt, multi_line, commit_rows, on_commit, headers
+) -> None:
     """Process what is not committed yet, whatever the size of the commits before."""
     done = store.commits_of(run["run_id"])
     if not done and commit_rows is None:
-        envelope, scan = numbered_tickets(spark, path, fmt, multi_line)
+        envelope, scan = numbered_tickets(spark, path, fmt, multi_line, headers)
         spread = spread_tickets(envelope, scan, fmt, bounded=True)
         staged = stage(store, run, spread, rules, WHOLE_INPUT)
         process_unit(
@@ -118,7 +124,8 @@ def _process(spark, path, rules, store, run, fmt, multi_line, commit_rows, on_co
         return
     offset = done[-1]["row_offset"] if done else 0
     first = done[-1]["batch_id"] + 1 if done else 0
-    export = IndexedExport(spark, path, store.path("splits", run["run_id"]), fmt, multi_line)
+    index = store.path("splits", run["run_id"])
+    export = IndexedExport(spark, path, index, fmt, multi_line, headers)
     total, commits = export.total, 0
     with KeyState(spark, store.path("key_state", run["run_id"])) as keys:
         while offset < total:

@@ -58,14 +58,16 @@ def file_starts(scan: DataFrame, rows: Column | None = None) -> DataFrame:
     return files.select(FILE, "_file_rows", start.alias("_file_start"))
 
 
-def split_starts(scan: DataFrame, files: DataFrame | None = None) -> DataFrame:
-    """One row per file split: first position and number of rows before it.
+def split_rows(scan: DataFrame) -> DataFrame:
+    """One row per file split: first position and number of rows."""
+    return scan.groupBy(FILE, BLOCK).agg(F.min(POSITION).alias("_first"), F.count("*").alias("_rows"))
 
-    ``files`` are the file starts of a scan of these files or of more; if not given, of this scan.
+
+def split_starts(splits: DataFrame, files: DataFrame | None = None) -> DataFrame:
+    """The first position of every one of ``splits`` (see ``split_rows``) and the number of rows before it.
+
+    ``files`` are the file starts of a scan of these files or of more; if not given, of these splits.
     """
-    splits = scan.groupBy(FILE, BLOCK).agg(
-        F.min(POSITION).alias("_first"), F.count("*").alias("_rows")
-    )
     if files is None:
         files = file_starts(splits, F.sum("_rows"))
     before_split = (
@@ -81,6 +83,12 @@ def split_starts(scan: DataFrame, files: DataFrame | None = None) -> DataFrame:
     )
 
 
+def _stored(frame: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(frame.sparkSession, name)
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
 def number_rows(
     scan: DataFrame,
     first_number: int = 1,
@@ -89,7 +97,8 @@ def number_rows(
 ) -> DataFrame:
     """Replace the position columns by a dense ``row_number`` starting at ``first_number``.
 
-    The split starts are written out first. Up to BROADCAST_SPLITS of them are broadcast, so that
+    The rows of every split are counted in one scan and written out, as file and split starts both
+    need them, and so are the split starts. Up to BROADCAST_SPLITS of these are broadcast, so that
     rows are not moved; beyond that rows join by split (for Parquet and multi-line CSV, by file).
     ``single_file`` says that positions are already row indexes of one file. With the ``files`` of a
     larger scan, numbers are those that the rows have there.
@@ -99,10 +108,8 @@ def number_rows(
         return scan.select(number.alias("row_number"), "*").drop(FILE, BLOCK, POSITION)
     if POSITION not in scan.columns:
         scan = scan.withColumn(POSITION, F.monotonically_increasing_id())
-    spark = scan.sparkSession
-    path = scratch_path(spark, "splits")
-    split_starts(scan, files).write.parquet(path)
-    starts = spark.read.parquet(path)
+    counted = _stored(split_rows(scan), "split-rows")
+    starts = _stored(split_starts(counted, files), "splits")
     if starts.count() <= BROADCAST_SPLITS:
         starts = F.broadcast(starts)
     number = F.col("_start") + F.col(POSITION) - F.col("_first") + F.lit(first_number)

@@ -12,7 +12,10 @@ from deskwright.catalogue import queries
 from deskwright.operators.classify import masked_payload
 from deskwright.operators.merge import TICKET_KEY
 from deskwright.plans import load
+from deskwright.plans.batch import run_export
 from deskwright.plans.store import TICKET_SCHEMA, TicketStore
+from deskwright.sources import readers
+from deskwright.sources.numbering import BLOCK, FILE, POSITION, number_rows
 
 
 def plan(frame):
@@ -76,3 +79,38 @@ def test_a_query_makes_its_own_run_over_the_tables_as_they_are(spark, tmp_path):
         orders.write.mode("overwrite").parquet(str(tmp_path / "orders.parquet"))
         found = queries.QUERIES["run_checkpoint"](spark, str(tmp_path)).first()
         assert found["row_offset"] == n
+
+
+def test_the_rows_of_splits_are_counted_in_one_scan(spark):
+    scanned = spark.sparkContext.accumulator(0)
+
+    def scan(rows):
+        for row in rows:
+            scanned.add(1)
+            yield row
+
+    placed = [("b", 0, 0, 6), ("a", 0, 0, 1), ("a", 0, 1, 2), ("a", 9, 7, 3), ("a", 9, 8, 4), ("a", 9, 9, 5)]
+    rows = spark.sparkContext.parallelize(placed, 3).mapPartitions(scan)
+    frame = spark.createDataFrame(rows, f"{FILE} string, {BLOCK} long, {POSITION} long, value long")
+    numbered = number_rows(frame)
+    assert scanned.value == len(placed)
+    assert sorted(tuple(r) for r in numbered.collect()) == [(n, n) for n in range(1, 7)]
+
+
+def test_an_attempt_finds_the_headers_of_its_files_once(spark, rules, good, tmp_path, monkeypatch):
+    folder, root, searched = tmp_path / "in.csv", str(tmp_path / "store"), []
+    folder.mkdir()
+    for part, order in enumerate((list(good), list(good), list(good)[::-1])):
+        lines = [",".join(order)]
+        for n in (1, 2):
+            row = {**good, "ticket_id": f"SD-{part}-{n}", "description": "none"}
+            lines.append(",".join(row[c] for c in order))
+        (folder / f"{part}.csv").write_text("\n".join(lines) + "\n", encoding="utf-8")
+    found = readers.headers_of
+    monkeypatch.setattr(readers, "headers_of", lambda *given: searched.append(given) or found(*given))
+    # Units of three rows end inside a file; the second has files of either header.
+    summary = run_export(spark, str(folder), rules, root, "csv", commit_rows=3).first()
+    assert (summary["total_records"], summary["accepted_records"]) == (6, 6)
+    assert len(searched) == 1
+    ids = sorted(t["ticket_id"] for t in TicketStore(spark, root).tickets().collect())
+    assert ids == [f"SD-{part}-{n}" for part in range(3) for n in (1, 2)]
